@@ -10,13 +10,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from frostlake.operators import gold as G
+from frostlake.operators.filters import fault_or_breach, nan_to_null
 from frostlake.operators.silver import cast_sensors, silver
 from frostlake.operators.staging import drop_exact_duplicates, drop_missing_critical, staging
+from frostlake.plans import conformance as C
 from frostlake.plans import oracle as O
 from frostlake.plans import serving as S
-from frostlake.sources.fixtures import telemetry
+from frostlake.plans.workspace import decoded_live_stream, workspace
+from frostlake.schema import LIVE_FIELDS
+from frostlake.session import path_exists, scratch_path
+from frostlake.sinks import files as K
+from frostlake.sources import lake as LK
+from frostlake.sources import topics as TP
+from frostlake.sources.fixtures import live, telemetry
+from frostlake.streaming import live as L
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,10 +71,166 @@ def _dashboard() -> dict[str, Query]:
     }
 
 
+def _filters() -> dict[str, Query]:
+    return {
+        "fault_or_breach": lambda s, d: fault_or_breach(silver_of(s, d)),
+        "nan_to_null": lambda s, d: nan_to_null(silver_of(s, d)),
+    }
+
+
+# ------------------------------------------------------------- lake I/O
+
+
+def _read_raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LK.read_raw_json(spark, workspace(spark, sf_dir).raw_json)
+
+
+def _land_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "raw_landing")
+    K.land_raw(spark, workspace(spark, sf_dir).raw_json, out)
+    return LK.read_raw_json(spark, out)
+
+
+def _read_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LK.read_layer(spark, workspace(spark, sf_dir).lake, "silver")
+
+
+def _write_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "layer")
+    K.write_layer(gold_of(spark, sf_dir, "mart_daily_costs"), out)
+    return spark.read.parquet(out)
+
+
+def _export_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = gold_of(spark, sf_dir, "mart_daily_costs")
+    out = scratch_path(spark, "export_csv")
+    K.export_csv(df, out)
+    return spark.read.schema(df.schema).option("header", True).option("nullValue", "null").option(
+        "escape", '"'
+    ).csv(out)
+
+
+def _export_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = gold_of(spark, sf_dir, "mart_daily_costs")
+    out = scratch_path(spark, "export_json")
+    K.export_json(df, out)
+    return spark.read.schema(df.schema).json(out)
+
+
+def _encode_keyed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keyed = K.encode_keyed_json(live(spark, sf_dir))
+    out = scratch_path(spark, "keyed")
+    keyed.write.parquet(out)
+    back = spark.read.parquet(out)
+    decoded = TP.decode_json_values(back, TP.live_schema_with_seq(), keep=("key",))
+    return TP.accepted(decoded)
+
+
+def _lake_io() -> dict[str, Query]:
+    return {
+        "read_raw_json": _read_raw_json,
+        "land_raw": _land_raw,
+        "read_layer": _read_layer,
+        "write_layer": _write_layer,
+        "export_csv": _export_csv,
+        "export_json": _export_json,
+        "encode_keyed_json": _encode_keyed_json,
+        "pipeline_run_log": lambda s, d: s.read.parquet(f"{workspace(s, d).lake}/_runs"),
+        "lake_manifest": lambda s, d: K.lake_manifest(s, workspace(s, d).lake),
+    }
+
+
+# ------------------------------------------------------------- serving over the lake
+
+
+def lake_view_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7: register every layer of the written lake, then count each view."""
+    names = S.register_lake_views(spark, workspace(spark, sf_dir).lake)
+    parts = [spark.table(n).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("view_name"), "row_count")
+             for n in names]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _register_gold_views(spark: SparkSession, sf_dir: str, tables: tuple[str, ...], with_silver: bool) -> None:
+    slv = silver_of(spark, sf_dir)
+    frames = {f"gold_{t}": G.gold_table(slv, t) for t in tables}
+    if with_silver:
+        frames["silver"] = slv
+    S.register_views(spark, frames)
+
+
+def _conformance_query(key: str) -> Query:
+    text, tables = C.CONFORMANCE[key]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _register_gold_views(spark, sf_dir, tables, with_silver="silver" in text)
+        return spark.sql(text)
+
+    return run
+
+
+def _run_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _register_gold_views(spark, sf_dir, C.RUN_SQL_TABLES, with_silver=False)
+    return S.run_sql(spark, C.RUN_SQL_EXAMPLE)
+
+
+def _serving_lake() -> dict[str, Query]:
+    out: dict[str, Query] = {
+        "register_lake_views": lake_view_counts,
+        "run_sql": _run_sql,
+        "list_tables": lambda s, d: S.list_tables(s, workspace(s, d).lake),
+    }
+    for key in C.CONFORMANCE:
+        out[key] = _conformance_query(key)
+    return out
+
+
+# ------------------------------------------------------------- streaming
+
+
+def _drain_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second drain with the same checkpoint finds nothing new, so the
+    given fallback (the live records of ``events``) is used."""
+    ws = workspace(spark, sf_dir)
+    out = scratch_path(spark, "drain_again")
+    L.start_dump_json(decoded_live_stream(spark, ws.live_json), out, ws.drain_checkpoint).awaitTermination()
+    schema = TP.live_schema_with_seq()
+    primary = spark.read.schema(schema).json(out) if path_exists(spark, out) else spark.createDataFrame([], schema)
+    return TP.empty_source_fallback(primary, live(spark, sf_dir))
+
+
+def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.read_latest_and_count(spark, workspace(spark, sf_dir).latest)
+
+
+def _streaming() -> dict[str, Query]:
+    schema = TP.live_schema_with_seq()
+    return {
+        "decode_json_values": lambda s, d: TP.accepted(
+            TP.decode_json_values(s.read.text(workspace(s, d).live_json), schema)
+        ),
+        "drain_topic": lambda s, d: s.read.schema(schema).json(workspace(s, d).live_drained),
+        "live_non_null": lambda s, d: s.read.schema(schema).json(workspace(s, d).live_accepted),
+        "empty_source_fallback": _drain_fallback,
+        "last_n_readings": lambda s, d: L.read_last_n(s, workspace(s, d).last100),
+        "latest_reading": lambda s, d: _latest(s, d).select("latest.*"),
+        "messages_received": lambda s, d: _latest(s, d).select("messages_received"),
+        "live_points": lambda s, d: L.to_chart_points(L.read_last_n(s, workspace(s, d).last20)),
+        "live_kpis": lambda s, d: L.live_kpis(_latest(s, d).select("latest.*")),
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_medallion())
+    out.update(_filters())
     out.update(_dashboard())
+    out.update(_lake_io())
+    out.update(_serving_lake())
+    out.update(_streaming())
     return out
 
 
@@ -119,8 +285,77 @@ def _dashboard_sql() -> dict[str, str]:
     }
 
 
+def _filters_sql() -> dict[str, str]:
+    return {
+        "fault_or_breach": O.with_layers(
+            "SELECT * FROM silver WHERE Active_Fault_Code != '0' OR SLA_Breach_Flag = 1"
+        ),
+        "nan_to_null": O.with_layers("SELECT * FROM silver"),
+    }
+
+
+def _lake_io_sql() -> dict[str, str]:
+    return {
+        "read_raw_json": O.with_layers("SELECT * FROM telemetry", upto="telemetry"),
+        "land_raw": O.with_layers("SELECT * FROM telemetry", upto="telemetry"),
+        "read_layer": O.with_layers("SELECT * FROM silver"),
+        "write_layer": O.with_layers("SELECT * FROM gold_mart_daily_costs", gold=("mart_daily_costs",)),
+        "export_csv": O.with_layers("SELECT * FROM gold_mart_daily_costs", gold=("mart_daily_costs",)),
+        "export_json": O.with_layers("SELECT * FROM gold_mart_daily_costs", gold=("mart_daily_costs",)),
+        "encode_keyed_json": O.with_live('SELECT "Device_ID" AS key, * FROM live'),
+    }
+
+
+def _serving_lake_sql() -> dict[str, str]:
+    counts = [
+        "SELECT 'batch' AS view_name, COUNT(*) AS row_count FROM telemetry",
+        "SELECT 'staging' AS view_name, COUNT(*) AS row_count FROM staging",
+        "SELECT 'silver' AS view_name, COUNT(*) AS row_count FROM silver",
+    ] + [f"SELECT 'gold_{t}' AS view_name, COUNT(*) AS row_count FROM gold_{t}" for t in G.GOLD_TABLES]
+    out = {
+        "register_lake_views": O.with_layers("\nUNION ALL\n".join(counts), gold=G.GOLD_TABLES),
+        "run_sql": O.with_layers(C.RUN_SQL_EXAMPLE.rstrip(";") + " LIMIT 1000", gold=C.RUN_SQL_TABLES),
+    }
+    for key, (text, tables) in C.CONFORMANCE.items():
+        out[key] = O.with_layers(text, gold=tables)
+    return out
+
+
+def _streaming_sql() -> dict[str, str]:
+    cols = ", ".join(f'"{c}"' for c in ("seq",) + LIVE_FIELDS)
+    ok = 'WHERE "Entering_Chilled_Water_Temperature_Sensor" IS NOT NULL'
+    newest = f"SELECT {cols} FROM live {ok} ORDER BY seq DESC LIMIT 1"
+    return {
+        "decode_json_values": O.with_live(f"SELECT {cols} FROM live"),
+        "drain_topic": O.with_live(f"SELECT {cols} FROM live"),
+        "live_non_null": O.with_live(f"SELECT {cols} FROM live {ok}"),
+        "empty_source_fallback": O.with_live(f"SELECT {cols} FROM live"),
+        "last_n_readings": O.with_live(f"SELECT {cols} FROM live {ok} ORDER BY seq DESC LIMIT 100"),
+        "latest_reading": O.with_live(newest),
+        "messages_received": O.with_live(f"SELECT COUNT(*) AS messages_received FROM live {ok}"),
+        "live_points": O.with_live(
+            "SELECT seq, TRY_CAST(\"timestamp\" AS TIMESTAMP) AS time, "
+            '"Entering_Chilled_Water_Temperature_Sensor" AS enteringTemp, '
+            '"Leaving_Chilled_Water_Temperature_Sensor" AS leavingTemp, '
+            '"System_Power_Consumption_kW" AS power '
+            f"FROM live {ok} ORDER BY seq DESC LIMIT 20"
+        ),
+        "live_kpis": O.with_live(
+            'SELECT "System_Power_Consumption_kW" AS latest_power_kw, "Device_ID" AS device_id, '
+            + O.round2('"Entering_Chilled_Water_Temperature_Sensor" - "Leaving_Chilled_Water_Temperature_Sensor"')
+            + " AS temp_delta, "
+            + """CASE WHEN "Active_Fault_Code" = '0' THEN 'Normal' ELSE "Active_Fault_Code" END AS fault_label """
+            + f"FROM ({newest})"
+        ),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(O.medallion_oracles())
+    out.update(_filters_sql())
     out.update(_dashboard_sql())
+    out.update(_lake_io_sql())
+    out.update(_serving_lake_sql())
+    out.update(_streaming_sql())
     return out
