@@ -11,6 +11,7 @@ import os
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from frostlake.schema import RAW_SCHEMA
 from frostlake.session import is_local_path, local_path, path_exists
@@ -37,7 +38,8 @@ def read_raw_json(spark: SparkSession, path: str, keep_corrupt: bool = False) ->
     reader = spark.read.option("mode", "PERMISSIVE")
     schema = RAW_SCHEMA
     if keep_corrupt:
-        schema = RAW_SCHEMA.add(CORRUPT_COLUMN, "string")
+        # a new StructType: .add() would mutate the shared RAW_SCHEMA
+        schema = T.StructType([*RAW_SCHEMA.fields, T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     return reader.schema(schema).json(path)
 
