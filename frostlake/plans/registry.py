@@ -202,25 +202,26 @@ def _drain_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TP.empty_source_fallback(primary, live(spark, sf_dir))
 
 
-def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.read_latest_and_count(spark, workspace(spark, sf_dir).latest)
+def _live_view(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return L.read_live_views(spark, workspace(spark, sf_dir).live_views)[name]
+
+    return run
 
 
 def _streaming() -> dict[str, Query]:
     schema = TP.live_schema_with_seq()
-    return {
+    out: dict[str, Query] = {
         "decode_json_values": lambda s, d: TP.accepted(
             TP.decode_json_values(s.read.text(workspace(s, d).live_json), schema)
         ),
         "drain_topic": lambda s, d: s.read.schema(schema).json(workspace(s, d).live_drained),
         "live_non_null": lambda s, d: s.read.schema(schema).json(workspace(s, d).live_accepted),
         "empty_source_fallback": _drain_fallback,
-        "last_n_readings": lambda s, d: L.read_last_n(s, workspace(s, d).last100),
-        "latest_reading": lambda s, d: _latest(s, d).select("latest.*"),
-        "messages_received": lambda s, d: _latest(s, d).select("messages_received"),
-        "live_points": lambda s, d: L.to_chart_points(L.read_last_n(s, workspace(s, d).last20)),
-        "live_kpis": lambda s, d: L.live_kpis(_latest(s, d).select("latest.*")),
     }
+    for name in ("last_n_readings", "latest_reading", "messages_received", "live_points", "live_kpis"):
+        out[name] = _live_view(name)
+    return out
 
 
 def queries() -> dict[str, Query]:

@@ -21,8 +21,10 @@ from frostlake.sources.fixtures import live, telemetry
 from frostlake.sources.topics import accepted, decode_json_values, file_value_stream, live_schema_with_seq
 from frostlake.streaming import live as L
 
-# Fixed value: the live messages arrive in this many files (micro-batches).
-LIVE_FILES = 3
+# The live messages arrive as LIVE_FILES files, LIVE_PARALLEL
+# per micro-batch (like a topic with LIVE_PARALLEL partitions): 3 batches.
+LIVE_PARALLEL = 8
+LIVE_FILES = 3 * LIVE_PARALLEL
 
 
 @dataclass
@@ -33,9 +35,7 @@ class Workspace:
     live_json: str
     live_drained: str
     live_accepted: str
-    last100: str
-    last20: str
-    latest: str
+    live_views: str
     drain_checkpoint: str
 
 
@@ -44,7 +44,7 @@ _CACHE: dict[tuple[str, str], Workspace] = {}
 
 
 def decoded_live_stream(spark: SparkSession, live_json: str) -> DataFrame:
-    values = file_value_stream(spark, live_json, max_files_per_trigger=1)
+    values = file_value_stream(spark, live_json, max_files_per_trigger=LIVE_PARALLEL)
     return accepted(decode_json_values(values, live_schema_with_seq()))
 
 
@@ -57,9 +57,7 @@ def _build(spark: SparkSession, sf_dir: str) -> Workspace:
         live_json=f"{root}/live_json",
         live_drained=f"{root}/live_drained",
         live_accepted=f"{root}/live_accepted",
-        last100=f"{root}/last100",
-        last20=f"{root}/last20",
-        latest=f"{root}/latest",
+        live_views=f"{root}/live_views",
         drain_checkpoint=f"{root}/_ckpt/drain",
     )
     # raw JSON lines, the pipeline's input format
@@ -78,13 +76,10 @@ def _build(spark: SparkSession, sf_dir: str) -> Workspace:
     # accepted live messages
     acc = L.accepted_live(decoded_live_stream(spark, ws.live_json))
     L.start_dump_json(acc, ws.live_accepted, f"{root}/_ckpt/accepted").awaitTermination()
-    # R1 / R4 inputs / R2 + R3
-    acc = L.accepted_live(decoded_live_stream(spark, ws.live_json))
-    L.start_last_n(acc, ws.last100, f"{root}/_ckpt/last100", n=100, available_now=True).awaitTermination()
-    acc = L.accepted_live(decoded_live_stream(spark, ws.live_json))
-    L.start_last_n(acc, ws.last20, f"{root}/_ckpt/last20", n=20, available_now=True).awaitTermination()
-    acc = L.accepted_live(decoded_live_stream(spark, ws.live_json))
-    L.start_latest_and_count(acc, ws.latest, f"{root}/_ckpt/latest", available_now=True).awaitTermination()
+    # One query, one parse per message
+    L.start_live_views(
+        decoded_live_stream(spark, ws.live_json), ws.live_views, f"{root}/_ckpt/live_views", available_now=True
+    ).awaitTermination()
     return ws
 
 

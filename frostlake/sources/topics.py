@@ -70,17 +70,23 @@ def decode_json_values(
 ) -> DataFrame:
     """Message text -> typed record, with a ``_corrupt_record`` column.
 
-    A value is rejected (``_corrupt_record`` = the text) when it is not one
-    JSON object: malformed text, an array, a scalar, or null. Works on batch
-    and streaming DataFrames alike (a per-row expression).
+    A value is rejected (``_corrupt_record`` holds its text) when it is not
+    one JSON object: malformed text, an array, a scalar or ``null`` (PERMISSIVE
+    ``from_json`` reports all of these). A null or blank value is reported as
+    ``""``. A missing field is null, not a rejection.
+
+    The text is parsed exactly once per message: the parsed struct is
+    expanded by a one-element ``inline`` generator, which predicates (such as
+    ``accepted``/F5 filters) cannot be pushed below - a plain projection would
+    let the optimizer copy ``from_json`` into every filter and field. Works on
+    batch and streaming DataFrames alike.
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
     text = F.col(value_column).cast("string")
-    parsed = F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    is_object = F.coalesce(F.ltrim(text).startswith("{"), F.lit(False))
-    corrupt = F.when(~is_object, F.coalesce(text, F.lit("null"))).otherwise(parsed[CORRUPT])
-    fields = [F.when(corrupt.isNull(), parsed[f.name]).alias(f.name) for f in schema.fields]
-    return df.select(*[F.col(k) for k in keep], *fields, corrupt.alias(CORRUPT))
+    blank = F.coalesce(F.length(F.trim(text)), F.lit(0)) == 0
+    safe = F.when(blank, F.lit('""')).otherwise(text)
+    parsed = F.from_json(safe, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return df.select(*[F.col(k) for k in keep], F.inline(F.array(parsed)))
 
 
 def accepted(decoded: DataFrame) -> DataFrame:

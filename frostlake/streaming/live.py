@@ -7,9 +7,12 @@ oracle) and runs in Structured Streaming:
   ``foreachBatch``: snapshot ``v{batch}`` = top N of (snapshot before it ∪ the
   batch). Snapshots are written to new folders and never in place, so
   replaying a batch after a failure rewrites the same result.
-* R2/R3 (latest message, running count) are one global streaming aggregate:
-  ``max_by(struct(*), seq)`` and ``count``, with state of a single row; each
-  micro-batch is partially aggregated per partition first.
+* R2/R3 (latest message, running count) are a global ``max_by(struct(*),
+  seq)`` + ``count``: either a stateful streaming aggregate (state of one
+  row) or, in ``LiveViewsWriter``, the batch's row merged with the previous
+  snapshot's row. Each micro-batch is partially aggregated per partition.
+* ``start_live_views`` serves R1-R4 from ONE streaming query: each message is
+  read and parsed once, whatever the number of views.
 """
 
 from __future__ import annotations
@@ -240,3 +243,89 @@ def start_dump_json(
 def accepted_live(decoded_stream: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """F5 over decoded records: the messages the live views count."""
     return live_non_null(decoded_stream)
+
+
+# ------------------------------------------------------------------ all live views, one query
+
+
+class LiveViewsWriter:
+    """One ``foreachBatch`` writer for every live view of a decoded stream.
+
+    Each micro-batch is read and parsed once, persisted, and then:
+
+    * optionally archived as JSON lines under ``archive/batch_id=<b>``
+      (overwrite per batch id, so a replay does not duplicate rows);
+    * filtered with F5 and merged into the newest-``n`` snapshot (R1; R4 is
+      its newest ``chart_n``);
+    * merged into the latest-message-and-count snapshot (R2 + R3): the batch's
+      own ``max_by``/``count`` row combined with the previous snapshot's row.
+
+    State is two bounded snapshots (n rows and one row), never the stream.
+    """
+
+    def __init__(self, root: str, n: int = LAST_N_DEFAULT, order_col: str = SEQ_COLUMN, archive: bool = False):
+        self.root, self.n, self.order_col, self.archive = root.rstrip("/"), n, order_col, archive
+        self.last_n = LastNSnapshots(f"{self.root}/last_n", n, order_col)
+        self.latest_root = f"{self.root}/latest"
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            if self.archive:
+                batch.write.mode("overwrite").option("ignoreNullFields", "false").json(
+                    f"{self.root}/archive/batch_id={batch_id}"
+                )
+            ok = live_non_null(batch)
+            self.last_n(ok, batch_id)
+            cur = latest_and_count(ok, self.order_col)
+            older = [b for b in list_snapshots(spark, self.latest_root) if b < batch_id]
+            if older:
+                prev = spark.read.schema(cur.schema).parquet(snapshot_path(self.latest_root, older[-1]))
+                cur = cur.unionByName(prev).agg(
+                    F.max_by("latest", F.col(f"latest.{self.order_col}")).alias("latest"),
+                    F.sum("messages_received").cast("bigint").alias("messages_received"),
+                )
+            cur.coalesce(1).write.mode("overwrite").parquet(snapshot_path(self.latest_root, batch_id))
+            for b in older[:-1]:
+                LastNSnapshots._delete(spark, snapshot_path(self.latest_root, b))
+        finally:
+            batch.unpersist()
+
+
+def start_live_views(
+    decoded_stream: DataFrame,
+    root: str,
+    checkpoint: str,
+    n: int = LAST_N_DEFAULT,
+    order_col: str = SEQ_COLUMN,
+    archive: bool = False,
+    available_now: bool = False,
+    processing_time: str = "1 second",
+) -> StreamingQuery:
+    """Run R1-R4 (and optionally the archive) as a single streaming query."""
+    w = decoded_stream.writeStream.foreachBatch(LiveViewsWriter(root, n, order_col, archive)).option(
+        "checkpointLocation", checkpoint
+    )
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+def read_live_views(
+    spark: SparkSession, root: str, chart_n: int = CHART_POINTS_DEFAULT, order_col: str = SEQ_COLUMN
+) -> dict[str, DataFrame]:
+    """Batch DataFrames of the current live views (empty dict before the
+    first micro-batch)."""
+    root = root.rstrip("/")
+    last = read_last_n(spark, f"{root}/last_n", order_col)
+    lat = read_latest_and_count(spark, f"{root}/latest")
+    if last is None or lat is None:
+        return {}
+    latest = lat.where(F.col("latest").isNotNull()).select("latest.*")
+    return {
+        "last_n_readings": last,
+        "live_points": to_chart_points(last_n_readings(last, chart_n, order_col), order_col),
+        "latest_reading": latest,
+        "messages_received": lat.select("messages_received"),
+        "live_kpis": live_kpis(latest),
+    }

@@ -133,3 +133,18 @@ def test_replayed_batch_is_idempotent(spark, tmp_dir):
     w(batch1, 1)  # replay after a failure
     assert L.read_last_n(spark, f"{tmp_dir}/s").collect() == first
     assert [r.seq for r in first] == [5, 6, 7, 8, 9]
+
+
+def test_one_query_live_views_equal_batch(spark, live_files, tmp_dir):
+    d, lv = live_files
+    ok = L.accepted_live(lv)
+    L.start_live_views(_stream(spark, f"{d}/src"), f"{tmp_dir}/views", f"{tmp_dir}/ck", archive=True,
+                       available_now=True).awaitTermination()
+    v = L.read_live_views(spark, f"{tmp_dir}/views")
+    assert v["last_n_readings"].collect() == L.last_n_readings(ok, 100).collect()
+    assert v["live_points"].collect() == L.live_points(ok, 20).collect()
+    assert v["latest_reading"].collect() == L.latest_reading(ok).collect()
+    assert v["messages_received"].collect() == L.messages_received(ok).collect()
+    assert v["live_kpis"].collect() == L.live_kpis(L.latest_reading(ok)).collect()
+    archived = spark.read.json(f"{tmp_dir}/views/archive")
+    assert archived.count() == lv.count()
