@@ -130,10 +130,13 @@ class RunLog:
     _t0: float = field(default_factory=time.time)
 
     def record(self, stage: str, started: float, rows: int | None = None) -> float:
-        secs = time.time() - started
+        """Log a stage that started at ``started`` and ends now."""
+        return self.add(stage, started, time.time() - started, rows)
+
+    def add(self, stage: str, started: float, seconds: float, rows: int | None = None) -> float:
         when = dt.datetime.fromtimestamp(started, tz=dt.timezone.utc)
-        self.entries.append((self.run_id, len(self.entries), stage, when, secs, rows))
-        return secs
+        self.entries.append((self.run_id, len(self.entries), stage, when, seconds, rows))
+        return seconds
 
     def close(self) -> float:
         return self.record("total", self._t0)

@@ -73,7 +73,11 @@ def telemetry_select_list(dialect: str = "spark") -> list[str]:
     num = "CAST(CAST({b}+((event_id*{m}+user_id) % {mod}) AS DOUBLE)/{d} AS STRING)"
     by_name: dict[str, str] = {}
     if dialect == "spark":
-        by_name["timestamp"] = "CAST(unix_millis(CAST(ts AS TIMESTAMP)) AS STRING)"
+        # epoch milliseconds of the NTZ wall clock read as UTC, independent of
+        # the session time zone (equal to unix_millis under a UTC session)
+        by_name["timestamp"] = (
+            "CAST(timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS STRING)"
+        )
     else:
         # floor to whole milliseconds, as unix_millis does (epoch_ms rounds)
         by_name["timestamp"] = "CAST(CAST(floor(epoch_us(ts) / 1000) AS BIGINT) AS STRING)"
