@@ -9,7 +9,9 @@ Scale notes
 -----------
 * raw -> batch reads JSON with a fixed schema (no inference pass).
 * staging is the one wide step over the full data: a hash aggregate on all
-  columns, partially combined before the shuffle.
+  columns, partially combined before the shuffle. Its shuffle width is derived
+  from the batch layer's size on storage (``shuffle_partitions_for``), never
+  below the session default; AQE coalesces small partitions.
 * silver is narrow; optionally ``partition_by=("Date",)`` for pruned reads.
 * gold (shared form) scans silver twice: once into hourly partial states,
   once for the three off-grain dimensions. Both results are small and are
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import time
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from frostlake.operators import gold as G
 from frostlake.operators.silver import DEFAULT_RULES, SilverRules, silver
 from frostlake.operators.staging import staging
-from frostlake.session import scratch_path
+from frostlake.session import scratch_path, shuffle_partitions_for
 from frostlake.sinks.files import RunLog, write_layer
 from frostlake.sources.lake import read_layer, read_raw_json, resolve_table
 
@@ -47,6 +50,18 @@ class PipelineConfig:
     max_concurrent_writes: int = 4
 
 
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, n: int):
+    """Run the enclosed actions with ``spark.sql.shuffle.partitions = n``."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and
     read it back: computed once, lineage cut, survives executor loss."""
@@ -88,7 +103,10 @@ def run_pipeline(
 
     t = time.time()
     batch = read_layer(spark, lake_root, "batch", fmt=fmt)
-    n = write_layer(staging(batch), resolve_table(lake_root, "staging"), fmt, config.overwrite_schema)
+    # the one full-data shuffle: size it from the batch layer's bytes
+    width = shuffle_partitions_for(spark, resolve_table(lake_root, "batch"))
+    with _shuffle_partitions(spark, width):
+        n = write_layer(staging(batch), resolve_table(lake_root, "staging"), fmt, config.overwrite_schema)
     log.record("staging", t, n)
 
     t = time.time()

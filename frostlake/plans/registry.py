@@ -202,6 +202,20 @@ def _drain_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TP.empty_source_fallback(primary, live(spark, sf_dir))
 
 
+def _tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live views as an unbounded query on a 1-second processing-time
+    trigger, stopped once it has caught up. (A Kafka tail starts at the latest
+    offsets; the file-fed stand-in starts at the first file.)"""
+    ws = workspace(spark, sf_dir)
+    root = scratch_path(spark, "tail")
+    q = L.start_live_views(decoded_live_stream(spark, ws.live_json), root, f"{root}/_ckpt", processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return L.read_live_views(spark, root)["last_n_readings"]
+
+
 def _live_view(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return L.read_live_views(spark, workspace(spark, sf_dir).live_views)[name]
@@ -218,6 +232,7 @@ def _streaming() -> dict[str, Query]:
         "drain_topic": lambda s, d: s.read.schema(schema).json(workspace(s, d).live_drained),
         "live_non_null": lambda s, d: s.read.schema(schema).json(workspace(s, d).live_accepted),
         "empty_source_fallback": _drain_fallback,
+        "tail_topic": _tail,
     }
     for name in ("last_n_readings", "latest_reading", "messages_received", "live_points", "live_kpis"):
         out[name] = _live_view(name)
@@ -313,7 +328,12 @@ def _serving_lake_sql() -> dict[str, str]:
         "SELECT 'staging' AS view_name, COUNT(*) AS row_count FROM staging",
         "SELECT 'silver' AS view_name, COUNT(*) AS row_count FROM silver",
     ] + [f"SELECT 'gold_{t}' AS view_name, COUNT(*) AS row_count FROM gold_{t}" for t in G.GOLD_TABLES]
+    catalogue = [("batch", None), ("staging", None), ("silver", None)] + [("gold", t) for t in sorted(G.GOLD_TABLES)]
+    values = ", ".join(
+        f"('{layer}', {'NULL' if t is None else repr(t)}, '{'gold_' + t if t else layer}')" for layer, t in catalogue
+    )
     out = {
+        "list_tables": f'SELECT * FROM (VALUES {values}) AS c(layer, "table", view_name)',
         "register_lake_views": O.with_layers("\nUNION ALL\n".join(counts), gold=G.GOLD_TABLES),
         "run_sql": O.with_layers(C.RUN_SQL_EXAMPLE.rstrip(";") + " LIMIT 1000", gold=C.RUN_SQL_TABLES),
     }
@@ -332,6 +352,7 @@ def _streaming_sql() -> dict[str, str]:
         "live_non_null": O.with_live(f"SELECT {cols} FROM live {ok}"),
         "empty_source_fallback": O.with_live(f"SELECT {cols} FROM live"),
         "last_n_readings": O.with_live(f"SELECT {cols} FROM live {ok} ORDER BY seq DESC LIMIT 100"),
+        "tail_topic": O.with_live(f"SELECT {cols} FROM live {ok} ORDER BY seq DESC LIMIT 100"),
         "latest_reading": O.with_live(newest),
         "messages_received": O.with_live(f"SELECT COUNT(*) AS messages_received FROM live {ok}"),
         "live_points": O.with_live(

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frostlake.plans.medallion import run_pipeline
-from frostlake.session import scratch_path
+from frostlake.session import app_id, scratch_path
 from frostlake.sinks.files import dump_json
 from frostlake.sources.fixtures import live, telemetry
 from frostlake.sources.topics import accepted, decode_json_values, file_value_stream, live_schema_with_seq
@@ -84,7 +84,7 @@ def _build(spark: SparkSession, sf_dir: str) -> Workspace:
 
 
 def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (app_id(spark), sf_dir.rstrip("/"))
     with _LOCK:
         if key not in _CACHE:
             _CACHE[key] = _build(spark, sf_dir)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -46,6 +47,22 @@ def build_session(
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    try:
+        return spark.conf.get("spark.app.id")
+    except Exception:  # noqa: BLE001
+        sc = _context(spark)
+        return sc.applicationId if sc is not None else str(id(spark))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints, stream state and scratch tables.
 
@@ -54,12 +71,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     fresh local folder is created and registered.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="frostlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        if sc is not None:
+            sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -81,11 +100,70 @@ def is_local_path(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
+def _hadoop_fs(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check that works for any Hadoop file system."""
     if is_local_path(path):
         return os.path.exists(local_path(path))
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(hconf).exists(p)
+    fs, p = _hadoop_fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def list_subdirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-folders of ``path`` (metadata only; [] if missing)."""
+    if is_local_path(path):
+        lp = local_path(path)
+        if not os.path.isdir(lp):
+            return []
+        return sorted(d for d in os.listdir(lp) if os.path.isdir(os.path.join(lp, d)))
+    fs, p = _hadoop_fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursively delete ``path`` (used to retire old stream snapshots)."""
+    if is_local_path(path):
+        shutil.rmtree(local_path(path), ignore_errors=True)
+        return
+    fs, p = _hadoop_fs(spark, path)
+    fs.delete(p, True)
+
+
+def path_size_bytes(spark: SparkSession, path: str) -> int | None:
+    """Total bytes under ``path`` from file-system metadata (no data read)."""
+    if is_local_path(path):
+        lp = local_path(path)
+        if not os.path.exists(lp):
+            return None
+        total = 0
+        for dirpath, _, files in os.walk(lp):
+            total += sum(os.path.getsize(os.path.join(dirpath, f)) for f in files)
+        return total
+    try:
+        fs, p = _hadoop_fs(spark, path)
+        return int(fs.getContentSummary(p).getLength())
+    except Exception:  # noqa: BLE001 - sizing is advisory
+        return None
+
+
+def shuffle_partitions_for(
+    spark: SparkSession, input_path: str, bytes_per_partition: int = 256 * 1024 * 1024, expansion: float = 3.0
+) -> int:
+    """Shuffle width for a full-data shuffle of the table at ``input_path``.
+
+    Columnar input expands when rows are shuffled (``expansion``); aim for
+    ``bytes_per_partition`` of shuffle data per reducer. Never below the
+    session's ``spark.sql.shuffle.partitions``; AQE coalesces what is small.
+    """
+    default = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    size = path_size_bytes(spark, input_path)
+    if not size:
+        return default
+    return max(default, -(-int(size * expansion) // bytes_per_partition))

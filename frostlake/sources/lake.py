@@ -7,14 +7,12 @@ that connector is on the classpath (not available here, so untested).
 
 from __future__ import annotations
 
-import os
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from frostlake.schema import RAW_SCHEMA
-from frostlake.session import is_local_path, local_path, path_exists
+from frostlake.session import list_subdirs, path_exists
 
 LAYERS = ("batch", "staging", "silver", "gold")
 CORRUPT_COLUMN = "_corrupt_record"
@@ -84,16 +82,4 @@ def list_lake_tables(spark: SparkSession, lake_root: str) -> list[tuple[str, str
 
 
 def _list_dirs(spark: SparkSession, path: str) -> list[str]:
-    if is_local_path(path):
-        p = local_path(path)
-        if not os.path.isdir(p):
-            return []
-        return sorted(d for d in os.listdir(p) if os.path.isdir(os.path.join(p, d)) and not d.startswith(("_", ".")))
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    hp = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hp.getFileSystem(hconf)
-    if not fs.exists(hp):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(hp) if s.isDirectory()]
-    return sorted(n for n in names if not n.startswith(("_", ".")))
+    return [d for d in list_subdirs(spark, path) if not d.startswith(("_", "."))]

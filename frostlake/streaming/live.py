@@ -27,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 from frostlake.functions.columns import round2
 from frostlake.operators.filters import live_non_null
 from frostlake.schema import SEQ_COLUMN
-from frostlake.session import is_local_path, local_path
+from frostlake.session import delete_path, list_subdirs, path_exists
 
 LAST_N_DEFAULT = 100
 CHART_POINTS_DEFAULT = 20
@@ -96,35 +96,18 @@ def live_kpis(latest: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ stream forms
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(hconf), p
-
-
 _SNAP = re.compile(r"^v(\d+)$")
 
 
 def list_snapshots(spark: SparkSession, root: str) -> list[int]:
     """Batch ids of the committed snapshots under ``root`` (metadata only)."""
-    if is_local_path(root):
-        import os
-
-        p = local_path(root)
-        if not os.path.isdir(p):
-            return []
-        names = [d for d in os.listdir(p) if os.path.exists(os.path.join(p, d, "_SUCCESS"))]
-    else:
-        fs, p = _fs(spark, root)
-        if not fs.exists(p):
-            return []
-        names = [
-            s.getPath().getName()
-            for s in fs.listStatus(p)
-            if s.isDirectory() and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
-        ]
-    return sorted(int(m.group(1)) for m in (_SNAP.match(n) for n in names) if m)
+    root = root.rstrip("/")
+    ids = []
+    for name in list_subdirs(spark, root):
+        m = _SNAP.match(name)
+        if m and path_exists(spark, f"{root}/{name}/_SUCCESS"):
+            ids.append(int(m.group(1)))
+    return sorted(ids)
 
 
 def snapshot_path(root: str, batch_id: int) -> str:
@@ -156,8 +139,7 @@ class LastNSnapshots:
 
     @staticmethod
     def _delete(spark: SparkSession, path: str) -> None:
-        fs, p = _fs(spark, path)
-        fs.delete(p, True)
+        delete_path(spark, path)
 
 
 def read_last_n(spark: SparkSession, root: str, order_col: str = SEQ_COLUMN) -> DataFrame | None:
