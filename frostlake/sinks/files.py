@@ -6,6 +6,7 @@ import datetime as dt
 import time
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -138,6 +139,15 @@ class RunLog:
         self.entries.append((self.run_id, len(self.entries), stage, when, seconds, rows))
         return seconds
 
+    @contextmanager
+    def timed(self, stage: str, rows: int | None = None):
+        """Time a block, e.g. one serving request, as a stage of this log."""
+        started = time.time()
+        try:
+            yield
+        finally:
+            self.record(stage, started, rows)
+
     def close(self) -> float:
         return self.record("total", self._t0)
 

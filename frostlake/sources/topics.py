@@ -28,8 +28,12 @@ def kafka_stream(
     starting_offsets: str = "earliest",
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Raw Kafka stream: ``value`` as UTF-8 text plus a ``seq`` that orders
-    messages (offset within a partition)."""
+    """Raw Kafka stream: ``value`` as UTF-8 text plus an arrival order ``seq``.
+
+    Offsets only order messages within one partition, so ``seq`` is the
+    struct (broker timestamp, partition, offset): comparable across
+    partitions, and usable by ``orderBy``/``max_by`` like a number.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
@@ -43,9 +47,9 @@ def kafka_stream(
     return raw.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
-        F.col("partition"),
-        F.col("offset").alias(SEQ_COLUMN),
-        F.col("timestamp").alias("kafka_timestamp"),
+        F.struct(
+            F.col("timestamp").alias("ts"), F.col("partition").alias("partition"), F.col("offset").alias("offset")
+        ).alias(SEQ_COLUMN),
     )
 
 
@@ -54,6 +58,11 @@ def tail_topic(spark: SparkSession, bootstrap_servers: str, topic: str, options:
     return kafka_stream(spark, bootstrap_servers, topic, "latest", options)
 
 
+def decode_topic(stream: DataFrame, schema: T.StructType = LIVE_SCHEMA) -> DataFrame:
+    """Kafka records -> accepted typed records with their arrival ``seq``."""
+    return accepted(decode_json_values(stream, schema, keep=(SEQ_COLUMN,)))
+
+
 def file_value_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Message values from text files: one line, one message (``value``)."""
     reader = spark.readStream.format("text")

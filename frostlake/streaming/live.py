@@ -311,3 +311,45 @@ def read_live_views(
         "messages_received": lat.select("messages_received"),
         "live_kpis": live_kpis(latest),
     }
+
+
+# ------------------------------------------------------------------ topic entry points
+
+
+def drain_topic(
+    spark: SparkSession,
+    bootstrap_servers: str,
+    topic: str,
+    out_path: str,
+    checkpoint: str,
+    options: dict | None = None,
+) -> StreamingQuery:
+    """S4 + K3: drain everything not yet consumed (from the earliest offsets
+    on the first run, then from the checkpoint) into JSON lines, and stop.
+
+    The end offsets are fixed when the run starts (``availableNow``); a
+    second drain reads only what arrived since. Needs the Kafka connector.
+    """
+    from frostlake.sources.topics import decode_topic, kafka_stream
+
+    stream = decode_topic(kafka_stream(spark, bootstrap_servers, topic, "earliest", options))
+    q = start_dump_json(stream, out_path, checkpoint, available_now=True)
+    q.awaitTermination()
+    return q
+
+
+def tail_topic_views(
+    spark: SparkSession,
+    bootstrap_servers: str,
+    topic: str,
+    root: str,
+    checkpoint: str,
+    options: dict | None = None,
+    processing_time: str = "1 second",
+) -> StreamingQuery:
+    """S5 + R1-R4: tail the topic from the latest offsets and keep the live
+    views current every ``processing_time``. Needs the Kafka connector."""
+    from frostlake.sources.topics import decode_topic, tail_topic
+
+    stream = decode_topic(tail_topic(spark, bootstrap_servers, topic, options))
+    return start_live_views(stream, root, checkpoint, processing_time=processing_time)

@@ -153,3 +153,11 @@ def test_dedupe_on_text_before_cast(spark):
 def test_empty_input(spark):
     df = silver(staging(raw_df(spark, [])))
     assert df.count() == 0 and len(df.columns) == 57
+
+
+def test_drop_missing_critical_equals_dropna(spark):
+    rows = [raw_row(), raw_row(Device_ID=None), raw_row(Leaving_Chilled_Water_Temperature_Sensor=None)]
+    df = raw_df(spark, rows)
+    from frostlake.schema import CRITICAL_COLUMNS
+
+    assert sorted(drop_missing_critical(df).collect()) == sorted(df.dropna(subset=list(CRITICAL_COLUMNS)).collect())

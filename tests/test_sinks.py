@@ -80,3 +80,20 @@ def test_run_log(spark):
     log.close()
     df = log.to_df(spark)
     assert [r.stage for r in df.orderBy("seq").collect()] == ["staging", "total"]
+
+
+def test_run_log_timed_and_shuffle_sizing(spark, tmp_dir):
+    from frostlake.session import shuffle_partitions_for
+
+    log = K.RunLog()
+    with log.timed("request"):
+        pass
+    assert log.entries[0][2] == "request"
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert shuffle_partitions_for(spark, f"{tmp_dir}/missing") == default
+    os.makedirs(f"{tmp_dir}/big")
+    with open(f"{tmp_dir}/big/f.bin", "wb") as f:
+        f.truncate(10 * 1024 * 1024)  # sparse 10 MB
+    assert shuffle_partitions_for(spark, f"{tmp_dir}/big", bytes_per_partition=1024 * 1024, expansion=2.0) == max(
+        default, 20
+    )

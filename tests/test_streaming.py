@@ -148,3 +148,25 @@ def test_one_query_live_views_equal_batch(spark, live_files, tmp_dir):
     assert v["live_kpis"].collect() == L.live_kpis(L.latest_reading(ok)).collect()
     archived = spark.read.json(f"{tmp_dir}/views/archive")
     assert archived.count() == lv.count()
+
+
+def test_struct_arrival_order_like_kafka(spark, tmp_dir):
+    """Kafka arrival order is (timestamp, partition, offset); the views accept
+    any orderable column, including that struct."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0 + dt.timedelta(seconds=i // 3), i % 3, i, 70.0, f"D{i}") for i in range(30)]
+    df = spark.createDataFrame(rows, "ts timestamp, p int, o long, Entering_Chilled_Water_Temperature_Sensor double, "
+                                     "Device_ID string")
+    df = df.select(F.struct("ts", F.col("p").alias("partition"), F.col("o").alias("offset")).alias("seq"),
+                   "Entering_Chilled_Water_Temperature_Sensor", "Device_ID")
+    w = L.LiveViewsWriter(f"{tmp_dir}/v", n=5)
+    w(df.where(F.col("seq.offset") < 20), 0)
+    w(df.where(F.col("seq.offset") >= 20), 1)
+    last = L.read_last_n(spark, f"{tmp_dir}/v/last_n").collect()
+    assert [r.seq.offset for r in last] == [25, 26, 27, 28, 29]
+    lat = L.read_latest_and_count(spark, f"{tmp_dir}/v/latest").collect()[0]
+    assert lat.latest.Device_ID == "D29" and lat.messages_received == 30
