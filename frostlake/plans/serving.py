@@ -216,3 +216,66 @@ def list_tables(spark: SparkSession, lake_root: str | None = None) -> DataFrame:
         pairs = list_lake_tables(spark, lake_root)
     rows = [(layer, table, view_name(layer, table)) for layer, table in pairs]
     return spark.createDataFrame(rows, CATALOGUE_SCHEMA)
+
+
+# ------------------------------------------------------------- response shapes
+#
+# What the serving endpoints returned, as plain dicts (no HTTP server). Only
+# bounded results reach the driver: one page, a capped free-SQL result, or
+# dashboard aggregates (one row per day / hour).
+
+
+def _records(df: DataFrame) -> list[dict]:
+    return [r.asDict(recursive=True) for r in nan_to_null(df).collect()]
+
+
+def table_page_response(
+    spark: SparkSession,
+    lake_root: str,
+    layer: str,
+    table: str | None = None,
+    page: int = 1,
+    limit: int = DEFAULT_PAGE_LIMIT,
+    order_by: Sequence[str] | None = None,
+    fmt: str = "parquet",
+) -> dict:
+    """Q5 + Q6 as a response: ``{"data", "pagination", "latency_ms"}``."""
+    import time
+
+    started = time.time()
+    df = read_layer(spark, lake_root, layer, table if layer == "gold" else None, fmt)
+    data = _records(page_table(df, page, limit, order_by))
+    total = count_table(df).collect()[0]["total"]
+    return {
+        "data": data,
+        "pagination": {"page": page, "limit": limit, "total": total, "has_next": has_next_page(total, page, limit)},
+        "latency_ms": round((time.time() - started) * 1000, 2),
+    }
+
+
+def query_response(spark: SparkSession, lake_root: str | None, text: str, cap: int = DEFAULT_SQL_CAP) -> dict:
+    """Q7 + Q8 as a response: ``{"data", "latency_ms"}``."""
+    import time
+
+    started = time.time()
+    if lake_root:
+        register_lake_views(spark, lake_root)
+    data = _records(run_sql(spark, text, cap))
+    return {"data": data, "latency_ms": round((time.time() - started) * 1000, 2)}
+
+
+def dashboard_response(spark: SparkSession, lake_root: str, fmt: str = "parquet") -> dict:
+    """Q1-Q4 as a response: ``{"metrics", "totals", "latency_ms"}``."""
+    import time
+
+    started = time.time()
+    daily = read_layer(spark, lake_root, "gold", "mart_daily_costs", fmt)
+    sla = read_layer(spark, lake_root, "gold", "mart_sla_breach_summary", fmt)
+    hourly = read_layer(spark, lake_root, "gold", "fact_hourly_telemetry", fmt)
+    metrics = {
+        "daily_costs": _records(dashboard_daily_costs(daily)),
+        "sla_breaches": _records(dashboard_sla_breaches(sla)),
+        "hourly_temperatures": _records(dashboard_hourly_temperatures(hourly)),
+    }
+    totals = _records(dashboard_totals(daily, sla))[0]
+    return {"metrics": metrics, "totals": totals, "latency_ms": round((time.time() - started) * 1000, 2)}

@@ -105,3 +105,19 @@ def test_dashboard_totals_null_is_zero(spark):
     row = S.dashboard_totals(costs, sla).collect()[0]
     assert (row.total_cost, row.total_power, row.total_breaches) == (0.0, 0.0, 0)
     assert isinstance(T.LongType(), T.LongType)
+
+
+def test_response_shapes(spark, lake):
+    page = S.table_page_response(spark, lake, "gold", "mart_daily_costs", page=2, limit=10)
+    assert len(page["data"]) == 10 and page["pagination"]["page"] == 2
+    assert page["pagination"]["total"] == spark.table("gold_mart_daily_costs").count()
+    assert set(page["data"][0]) == {"Date", "Device_ID", "Daily_Cost_USD", "Daily_Power_kW"}
+    silver_page = S.table_page_response(spark, lake, "silver", "ignored", limit=5)
+    assert len(silver_page["data"]) == 5
+    q = S.query_response(spark, lake, "SELECT Device_ID, COUNT(*) AS n FROM silver GROUP BY Device_ID;")
+    assert sum(r["n"] for r in q["data"]) == spark.table("silver").count()
+    dash = S.dashboard_response(spark, lake)
+    assert {"daily_costs", "sla_breaches", "hourly_temperatures"} == set(dash["metrics"])
+    assert dash["totals"]["total_breaches"] == sum(r["total_breaches"] for r in dash["metrics"]["sla_breaches"])
+    dates = [r["Date"] for r in dash["metrics"]["daily_costs"]]
+    assert dates == sorted(dates)
