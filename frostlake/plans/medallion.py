@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame, SparkSession
 from frostlake.operators import gold as G
 from frostlake.operators.silver import DEFAULT_RULES, SilverRules, silver
 from frostlake.operators.staging import staging
-from frostlake.session import scratch_path, shuffle_partitions_for
-from frostlake.sinks.files import RunLog, write_layer
+from frostlake.session import delete_path, shuffle_partitions_for
+from frostlake.sinks.files import RunLog, materialize, write_layer
 from frostlake.sources.lake import read_layer, read_raw_json, resolve_table
 
 
@@ -62,24 +62,24 @@ def _shuffle_partitions(spark: SparkSession, n: int):
         spark.conf.set(key, old)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared checkpoint folder and
-    read it back: computed once, lineage cut, survives executor loss."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
-def build_gold(spark: SparkSession, silver_df: DataFrame, form: str = "shared", rounding: str = "round2") -> dict:
-    """The 15 gold DataFrames; in the shared form the two intermediate
-    aggregates are materialized once."""
+def build_gold(
+    spark: SparkSession,
+    silver_df: DataFrame,
+    form: str = "shared",
+    rounding: str = "round2",
+    scratch: list[str] | None = None,
+) -> dict:
+    """The 15 gold DataFrames. In the shared form the two intermediate
+    aggregates are materialized once; their paths are appended to
+    ``scratch`` so the caller can remove them after the writes."""
     if form == "direct":
         return G.gold_tables(silver_df, "direct", rounding)
     with ThreadPoolExecutor(max_workers=2) as pool:
         f_partials = pool.submit(materialize, G.hourly_partials(silver_df), "gold-hourly-partials")
         f_dims = pool.submit(materialize, G.dimension_sets(silver_df), "gold-dimension-sets")
-        partials, dims = f_partials.result(), f_dims.result()
+        (partials, p1), (dims, p2) = f_partials.result(), f_dims.result()
+    if scratch is not None:
+        scratch += [p1, p2]
     tables = G.gold_from_partials(partials, rounding)
     tables.update(G.dims_from_sets(dims))
     tables["fact_fault_events"] = G.fact_fault_events(silver_df)
@@ -122,7 +122,8 @@ def run_pipeline(
 
     t_gold = time.time()
     slv = read_layer(spark, lake_root, "silver", fmt=fmt)
-    tables = build_gold(spark, slv, config.gold_form, config.rules.rounding)
+    scratch: list[str] = []
+    tables = build_gold(spark, slv, config.gold_form, config.rules.rounding, scratch)
 
     def write_one(item):
         name, df = item
@@ -134,6 +135,8 @@ def run_pipeline(
         done = list(pool.map(write_one, tables.items()))
     for name, t, secs, n in done:
         log.add(f"gold/{name}", t, secs, n)
+    for path in scratch:
+        delete_path(spark, path)
     log.record("gold", t_gold)
     log.close()
     if config.run_log:

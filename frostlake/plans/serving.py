@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from frostlake.functions.columns import round2
 from frostlake.operators.filters import nan_to_null
 from frostlake.operators.gold import GOLD_TABLES
+from frostlake.sinks.files import materialize
 from frostlake.sources.lake import LAYERS, TableNotFound, list_lake_tables, read_layer
 
 DEFAULT_PAGE_LIMIT = 50
@@ -96,23 +97,65 @@ def dashboard_totals(
 # ------------------------------------------------------------- paging
 
 
+# Pages that end within this many rows use a top-k; deeper pages use the
+# distributed path (a top-k would merge page*limit rows per split in one task).
+TOP_K_PAGE_ROWS = 100_000
+
+
 def page_table(
     df: DataFrame,
     page: int = 1,
     limit: int = DEFAULT_PAGE_LIMIT,
     order_by: Sequence[str] | None = None,
+    top_k_rows: int = TOP_K_PAGE_ROWS,
 ) -> DataFrame:
     """Q5: rows ``(page-1)*limit .. page*limit`` in a stable order.
 
     Spark has no inherent row order, so a page is only reproducible under a
-    total order: by default all columns. Planned as a top-k
-    (``TakeOrderedAndProject``) - each split keeps its best ``page*limit``
-    rows, never a full sort of the table.
+    total order: by default all columns. A shallow page is a top-k
+    (``TakeOrderedAndProject``: each split keeps its best ``page*limit``
+    rows). A deep page (beyond ``top_k_rows``) is cut from a distributed
+    sort instead, so no task ever holds more than its own sorted range.
     """
     if page < 1 or limit < 0:
         raise ValueError("page starts at 1 and limit must be >= 0")
-    keys = list(order_by) if order_by else df.columns
-    return df.orderBy(*[F.col(k).asc_nulls_first() for k in keys]).offset((page - 1) * limit).limit(limit)
+    keys = [F.col(k).asc_nulls_first() for k in (list(order_by) if order_by else df.columns)]
+    offset = (page - 1) * limit
+    if offset + limit <= top_k_rows:
+        return df.orderBy(*keys).offset(offset).limit(limit)
+    return _deep_page(df, keys, offset, limit)
+
+
+def _deep_page(df: DataFrame, keys: list, offset: int, limit: int) -> DataFrame:
+    """Rows ``[offset, offset+limit)`` of ``df`` sorted by ``keys``.
+
+    The table is range-partitioned and sorted within partitions (a global
+    sort, as ``orderBy`` plans it), then materialized so both passes see the
+    same layout. The only driver-side data is one row count per partition;
+    the global index of a row is its partition's starting offset plus its
+    position inside the partition (the low bits of
+    ``monotonically_increasing_id``).
+    """
+    spark = df.sparkSession
+    cols = df.columns
+    ordered = df.orderBy(*keys).select(
+        *cols,
+        F.spark_partition_id().alias("__pid"),
+        (F.monotonically_increasing_id() % F.lit(1 << 33)).alias("__pos"),
+    )
+    ordered, _ = materialize(ordered, "deep-page")
+    counts = sorted((r["__pid"], r["n"]) for r in ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect())
+    starts, run = {}, 0
+    for pid, n in counts:
+        starts[pid] = run
+        run += n
+    wanted = [pid for pid, n in counts if starts[pid] < offset + limit and starts[pid] + n > offset]
+    if not wanted:
+        return ordered.where(F.lit(False)).select(*cols)
+    start_col = F.coalesce(*[F.when(F.col("__pid") == pid, F.lit(starts[pid])) for pid in wanted])
+    idx = start_col + F.col("__pos")
+    page = ordered.where(F.col("__pid").isin(wanted)).where((idx >= offset) & (idx < offset + limit))
+    return page.orderBy(F.col("__pid"), F.col("__pos")).select(*cols)
 
 
 def count_table(df: DataFrame) -> DataFrame:

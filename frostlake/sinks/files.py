@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from frostlake.session import path_exists
+from frostlake.session import path_exists, scratch_path
 
 
 class SchemaMismatch(ValueError):
@@ -61,6 +61,16 @@ def write_layer(
     return int(obs.get["rows"]) if obs else None
 
 
+def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    read it back: computed once, lineage cut, survives executor loss.
+    Returns the new DataFrame and the table's path (for later clean-up)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path), path
+
+
 def land_raw(spark: SparkSession, source_path: str, raw_dir: str) -> None:
     """K2: keep an untouched, line-for-line copy of the raw input."""
     spark.read.text(source_path).write.mode("overwrite").text(raw_dir)

@@ -121,3 +121,11 @@ def test_response_shapes(spark, lake):
     assert dash["totals"]["total_breaches"] == sum(r["total_breaches"] for r in dash["metrics"]["sla_breaches"])
     dates = [r["Date"] for r in dash["metrics"]["daily_costs"]]
     assert dates == sorted(dates)
+
+
+def test_deep_page_path_equals_top_k(spark, lake):
+    df = spark.table("gold_fact_hourly_telemetry")
+    for page, limit in ((1, 7), (3, 50), (40, 13), (10_000, 50)):
+        a = [tuple(r) for r in S.page_table(df, page, limit).collect()]
+        b = [tuple(r) for r in S.page_table(df, page, limit, top_k_rows=0).collect()]
+        assert a == b, (page, limit)
