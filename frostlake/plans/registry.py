@@ -195,6 +195,7 @@ def _drain_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second drain with the same checkpoint finds nothing new, so the
     given fallback (the live records of ``events``) is used."""
     ws = workspace(spark, sf_dir)
+    ws.live_drained  # the first drain, which advances the drain checkpoint
     out = scratch_path(spark, "drain_again")
     L.start_dump_json(decoded_live_stream(spark, ws.live_json), out, ws.drain_checkpoint).awaitTermination()
     schema = TP.live_schema_with_seq()

@@ -1,15 +1,15 @@
-"""On-disk inputs that Spark derives from the driver tables, built once.
+"""On-disk inputs that Spark derives from the driver tables, built on demand.
 
-Round-trip, lake-catalogue and streaming queries need files: a written lake,
-and message files to stream. They are produced here by Spark jobs from
-``events`` (so they scale with it), under the shared checkpoint folder, once
-per application and data directory.
+Round-trip, lake-catalogue and streaming queries need files: raw JSON lines,
+a written lake, message files to stream, and the outputs of streaming runs.
+Each is produced by Spark jobs from ``events`` (so it scales with the data),
+under the shared checkpoint folder, the first time a query needs it, and then
+reused for the rest of the application.
 """
 
 from __future__ import annotations
 
 import threading
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,65 +27,88 @@ LIVE_PARALLEL = 8
 LIVE_FILES = 3 * LIVE_PARALLEL
 
 
-@dataclass
+def decoded_live_stream(spark: SparkSession, live_json: str) -> DataFrame:
+    values = file_value_stream(spark, live_json, max_files_per_trigger=LIVE_PARALLEL)
+    return accepted(decode_json_values(values, live_schema_with_seq()))
+
+
 class Workspace:
-    root: str
-    lake: str
-    raw_json: str
-    live_json: str
-    live_drained: str
-    live_accepted: str
-    live_views: str
-    drain_checkpoint: str
+    """Lazily built folders; each property runs its Spark jobs once."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.root = scratch_path(spark, "workspace")
+        self.drain_checkpoint = f"{self.root}/_ckpt/drain"
+        self._lock = threading.RLock()
+        self._built: dict[str, str] = {}
 
-_LOCK = threading.Lock()
-_CACHE: dict[tuple[str, str], Workspace] = {}
+    def _once(self, name: str, build) -> str:
+        with self._lock:
+            if name not in self._built:
+                path = f"{self.root}/{name}"
+                build(path)
+                self._built[name] = path
+            return self._built[name]
 
+    @property
+    def raw_json(self) -> str:
+        """The telemetry raw layer as JSON lines (the pipeline's input)."""
+        return self._once("raw_json", lambda p: dump_json(telemetry(self.spark, self.sf_dir), p))
 
-def decoded_live_stream(spark: SparkSession, live_json: str) -> DataFrame:
-    values = file_value_stream(spark, live_json, max_files_per_trigger=LIVE_PARALLEL)
-    return accepted(decode_json_values(values, live_schema_with_seq()))
+    @property
+    def lake(self) -> str:
+        """A lake written by the full pipeline from ``raw_json``."""
+        return self._once("lake", lambda p: run_pipeline(self.spark, self.raw_json, p))
+
+    @property
+    def live_json(self) -> str:
+        """Live messages as JSON lines in LIVE_FILES files by arrival range."""
+
+        def build(p: str) -> None:
+            lv = live(self.spark, self.sf_dir)
+            lv.repartitionByRange(LIVE_FILES, F.col("seq")).write.option("ignoreNullFields", "false").json(p)
 
+        return self._once("live_json", build)
 
-def _build(spark: SparkSession, sf_dir: str) -> Workspace:
-    root = scratch_path(spark, "workspace")
-    ws = Workspace(
-        root=root,
-        lake=f"{root}/lake",
-        raw_json=f"{root}/raw_json",
-        live_json=f"{root}/live_json",
-        live_drained=f"{root}/live_drained",
-        live_accepted=f"{root}/live_accepted",
-        live_views=f"{root}/live_views",
-        drain_checkpoint=f"{root}/_ckpt/drain",
-    )
-    # raw JSON lines, the pipeline's input format
-    dump_json(telemetry(spark, sf_dir), ws.raw_json)
-    run_pipeline(spark, ws.raw_json, ws.lake)
-
-    # live messages: JSON lines in LIVE_FILES files by arrival range
-    lv = live(spark, sf_dir)
-    lv.repartitionByRange(LIVE_FILES, F.col("seq")).write.mode("overwrite").option("ignoreNullFields", "false").json(
-        ws.live_json
-    )
-
-    # S4 + K3: drain everything decodable into JSON lines
-    stream = decoded_live_stream(spark, ws.live_json)
-    L.start_dump_json(stream, ws.live_drained, ws.drain_checkpoint).awaitTermination()
-    # accepted live messages
-    acc = L.accepted_live(decoded_live_stream(spark, ws.live_json))
-    L.start_dump_json(acc, ws.live_accepted, f"{root}/_ckpt/accepted").awaitTermination()
-    # One query, one parse per message
-    L.start_live_views(
-        decoded_live_stream(spark, ws.live_json), ws.live_views, f"{root}/_ckpt/live_views", available_now=True
-    ).awaitTermination()
-    return ws
+    @property
+    def live_drained(self) -> str:
+        """S4 + K3: everything decodable drained into JSON lines (the drain's
+        checkpoint is ``drain_checkpoint``)."""
+
+        def build(p: str) -> None:
+            stream = decoded_live_stream(self.spark, self.live_json)
+            L.start_dump_json(stream, p, self.drain_checkpoint).awaitTermination()
+
+        return self._once("live_drained", build)
+
+    @property
+    def live_accepted(self) -> str:
+        """F5 applied on the stream, dumped to JSON lines."""
+
+        def build(p: str) -> None:
+            acc = L.accepted_live(decoded_live_stream(self.spark, self.live_json))
+            L.start_dump_json(acc, p, f"{self.root}/_ckpt/accepted").awaitTermination()
+
+        return self._once("live_accepted", build)
+
+    @property
+    def live_views(self) -> str:
+        """R1-R4 from one streaming query (one parse per message)."""
+
+        def build(p: str) -> None:
+            stream = decoded_live_stream(self.spark, self.live_json)
+            L.start_live_views(stream, p, f"{self.root}/_ckpt/live_views", available_now=True).awaitTermination()
+
+        return self._once("live_views", build)
+
+
+_LOCK = threading.Lock()
+_CACHE: dict[tuple[str, str], Workspace] = {}
 
 
 def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
     key = (app_id(spark), sf_dir.rstrip("/"))
     with _LOCK:
         if key not in _CACHE:
-            _CACHE[key] = _build(spark, sf_dir)
+            _CACHE[key] = Workspace(spark, sf_dir)
         return _CACHE[key]
