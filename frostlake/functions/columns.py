@@ -20,9 +20,6 @@ ColumnOrName = Column | str
 MIN_EPOCH_SECONDS = -62135596800
 MAX_EPOCH_SECONDS = 253402300799
 
-# |x| below this fits DECIMAL(18,6) with room to spare.
-_DECIMAL_SAFE_ABS = 1e11
-
 
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -39,12 +36,11 @@ def round2(c: ColumnOrName, scale: int = 2) -> Column:
     The value is first fixed to six decimals, then rounded half-up. Native
     ``round`` on a double rounds the binary value, so a reading such as
     ``1.005`` (stored as 1.00499999...) lands on different sides in different
-    engines and summation orders. Values too large for DECIMAL(18,6), NaN and
-    infinities fall back to native rounding.
+    engines and summation orders. Values that do not fit DECIMAL(18,6)
+    (|x| >= 1e12), NaN and infinities fall back to native rounding.
     """
     x = _col(c)
-    fixed = F.round(x.cast("decimal(18,6)"), scale).cast("double")
-    return F.when(F.abs(x) < F.lit(_DECIMAL_SAFE_ABS), fixed).otherwise(F.round(x, scale))
+    return F.coalesce(F.round(x.try_cast("decimal(18,6)"), scale).cast("double"), F.round(x, scale))
 
 
 def round_native(c: ColumnOrName, scale: int = 2) -> Column:

@@ -12,13 +12,10 @@ from __future__ import annotations
 
 
 def _r2(x: str) -> str:
-    return (
-        f"CASE WHEN abs({x}) < 1e11 THEN CAST(ROUND(CAST({x} AS DECIMAL(18,6)), 2) AS DOUBLE) "
-        f"ELSE ROUND({x}, 2) END"
-    )
+    return f"COALESCE(CAST(ROUND(TRY_CAST({x} AS DECIMAL(18,6)), 2) AS DOUBLE), ROUND({x}, 2))"
 
 
-# key -> (SQL text, gold tables it reads, reads silver)
+# key -> (SQL text, gold tables it reads); texts that name `silver` also read it
 CONFORMANCE: dict[str, tuple[str, tuple[str, ...]]] = {
     "sql_join_fault_dim": (
         "SELECT f.timestamp_formatted, f.Device_ID, f.Active_Fault_Code, f.Setpoint_Deviation, "

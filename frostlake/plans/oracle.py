@@ -23,10 +23,7 @@ def q(name: str) -> str:
 
 
 def round2(x: str) -> str:
-    return (
-        f"CASE WHEN abs({x}) < 1e11 THEN CAST(ROUND(CAST({x} AS DECIMAL(18,6)), 2) AS DOUBLE) "
-        f"ELSE ROUND({x}, 2) END"
-    )
+    return f"COALESCE(CAST(ROUND(TRY_CAST({x} AS DECIMAL(18,6)), 2) AS DOUBLE), ROUND({x}, 2))"
 
 
 def _staging() -> str:
