@@ -36,7 +36,7 @@ from frostlake.operators.silver import DEFAULT_RULES, SilverRules, silver
 from frostlake.operators.staging import staging
 from frostlake.session import delete_path, shuffle_partitions_for
 from frostlake.sinks.files import RunLog, materialize, write_layer
-from frostlake.sources.lake import read_layer, read_raw_json, resolve_table
+from frostlake.sources.lake import conform_raw, read_layer, read_raw_json, resolve_table
 
 
 @dataclass(frozen=True)
@@ -97,7 +97,7 @@ def run_pipeline(
     fmt = config.fmt
 
     t = time.time()
-    raw_df = read_raw_json(spark, raw) if isinstance(raw, str) else raw
+    raw_df = read_raw_json(spark, raw) if isinstance(raw, str) else conform_raw(raw)
     n = write_layer(raw_df, resolve_table(lake_root, "batch"), fmt, config.overwrite_schema)
     log.record("batch", t, n)
 

@@ -21,7 +21,9 @@ class SchemaMismatch(ValueError):
 
 
 def _schema_signature(schema: T.StructType) -> list[tuple[str, str]]:
-    return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    """Column names and types, order-insensitive (partition columns are read
+    back last, which is not a schema change)."""
+    return sorted((f.name, f.dataType.simpleString()) for f in schema.fields)
 
 
 def write_layer(

@@ -42,6 +42,20 @@ def read_raw_json(spark: SparkSession, path: str, keep_corrupt: bool = False) ->
     return reader.schema(schema).json(path)
 
 
+def conform_raw(df: DataFrame) -> DataFrame:
+    """Bring any raw DataFrame to the 40-field text shape: known fields are
+    rendered as text (a JSON number becomes its text), missing fields are
+    null, unknown fields are dropped - as ``read_raw_json`` reads files."""
+    from pyspark.sql import functions as F
+
+    present = {c.lower(): c for c in df.columns}
+    cols = [
+        (F.col(present[f.lower()]).cast("string") if f.lower() in present else F.lit(None).cast("string")).alias(f)
+        for f in RAW_SCHEMA.fieldNames()
+    ]
+    return df.select(*cols)
+
+
 def resolve_table(lake_root: str, layer: str, table: str | None = None) -> str:
     """S3: path of a layer; only gold has sub-tables, other layers ignore ``table``."""
     if layer not in LAYERS:
