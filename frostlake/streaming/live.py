@@ -69,9 +69,12 @@ def live_points(df: DataFrame, n: int = CHART_POINTS_DEFAULT, order_col: str = S
 
 
 def to_chart_points(df: DataFrame, order_col: str = SEQ_COLUMN) -> DataFrame:
+    """``time`` is the message's ISO text read as a wall clock (TIMESTAMP_NTZ,
+    as a browser reads an ISO time without offset): independent of the
+    session time zone; null when the text is not a timestamp."""
     return df.select(
         F.col(order_col),
-        F.try_to_timestamp(F.col("timestamp")).alias("time"),
+        F.col("timestamp").try_cast("timestamp_ntz").alias("time"),
         F.col("Entering_Chilled_Water_Temperature_Sensor").alias("enteringTemp"),
         F.col("Leaving_Chilled_Water_Temperature_Sensor").alias("leavingTemp"),
         F.col("System_Power_Consumption_kW").alias("power"),
