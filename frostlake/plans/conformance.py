@@ -81,6 +81,23 @@ CONFORMANCE: dict[str, tuple[str, tuple[str, ...]]] = {
         "WHERE g.Device_ID = f.Device_ID)",
         ("fact_hourly_telemetry",),
     ),
+    "sql_lag_cost_change": (
+        "SELECT Device_ID, Date, Daily_Cost_USD, "
+        + _r2(
+            "Daily_Cost_USD - LAG(Daily_Cost_USD) OVER (PARTITION BY Device_ID ORDER BY Date ASC NULLS LAST)"
+        )
+        + " AS cost_change FROM gold_mart_daily_costs",
+        ("mart_daily_costs",),
+    ),
+    "sql_three_way_join": (
+        "SELECT c.Device_ID, c.Date, c.Daily_Cost_USD, s.Total_Breaches, f.Filter_Alerts, h.Avg_EER "
+        "FROM gold_mart_daily_costs c "
+        "JOIN gold_mart_sla_breach_summary s ON s.Device_ID = c.Device_ID AND s.Date = c.Date "
+        "JOIN gold_mart_filter_diagnostics f ON f.Device_ID = c.Device_ID AND f.Date = c.Date "
+        "JOIN gold_mart_cooling_efficiency h ON h.Device_ID = c.Device_ID AND h.Date = c.Date "
+        "WHERE s.Total_Breaches > 3",
+        ("mart_daily_costs", "mart_sla_breach_summary", "mart_filter_diagnostics", "mart_cooling_efficiency"),
+    ),
     "sql_grouping_sets_shift": (
         "SELECT Date, Operational_Shift, CAST(GROUPING_ID(Date, Operational_Shift) AS BIGINT) AS gid, "
         f"{_r2('AVG(Avg_Power_kW)')} AS avg_power, CAST(COUNT(*) AS BIGINT) AS hours "
