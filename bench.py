@@ -92,6 +92,10 @@ def main() -> None:
             "spark.driver.memory": "16g",
             "spark.checkpoint.dir": f"{scratch}/_checkpoints",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+            # let the JIT compile the large generated methods of 40-57 column
+            # rows (HotSpot skips methods over 8000 bytes by default)
+            "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+            "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
         },
     )
     spark.sparkContext.setCheckpointDir(f"{scratch}/_checkpoints")
