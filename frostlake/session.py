@@ -67,14 +67,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints, stream state and scratch tables.
 
     Reads ``spark.checkpoint.dir`` from the session (what a cluster sets to a
-    shared file system). Only when it is unset - local runs and tests - a
-    fresh local folder is created and registered.
+    shared file system). Only when it is unset on a ``local`` master - local
+    runs and tests - a fresh local folder is created and registered; on a
+    cluster an unset folder is an error, since executors on other machines
+    could not see a driver-local folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: set it to a folder on shared storage "
+                "(e.g. hdfs:// or s3a://) for checkpoints, stream state and intermediate tables"
+            )
         root = tempfile.mkdtemp(prefix="frostlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         if sc is not None:
