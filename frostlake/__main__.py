@@ -90,9 +90,12 @@ def main(argv: list[str] | None = None) -> int:
 
     args = p.parse_args(argv)
 
+    from pyspark.sql import SparkSession
+
     from frostlake.plans import serving as S
     from frostlake.session import build_session
 
+    owned = SparkSession.getActiveSession() is None
     spark = build_session()
     if args.cmd == "pipeline":
         from frostlake.plans.medallion import PipelineConfig, run_pipeline
@@ -122,7 +125,8 @@ def main(argv: list[str] | None = None) -> int:
 
         q = start_live_views(_stream_source(spark, args), args.root, args.checkpoint, available_now=args.once)
         q.awaitTermination()
-    spark.stop()
+    if owned:
+        spark.stop()
     return 0
 
 

@@ -170,3 +170,17 @@ def test_struct_arrival_order_like_kafka(spark, tmp_dir):
     assert [r.seq.offset for r in last] == [25, 26, 27, 28, 29]
     lat = L.read_latest_and_count(spark, f"{tmp_dir}/v/latest").collect()[0]
     assert lat.latest.Device_ID == "D29" and lat.messages_received == 30
+
+
+def test_stream_rejects_bad_messages_and_counts_accepted(spark, tmp_dir):
+    src = f"{tmp_dir}/src"
+    lines = [_msg(1), "{broken", "[1, 2]", "", _msg(2, ent=None), "42", _msg(3), "null", _msg(4)]
+    _write_lines(src, "a.json", lines)
+    L.start_live_views(_stream(spark, src), f"{tmp_dir}/views", f"{tmp_dir}/ck", available_now=True,
+                       archive=True).awaitTermination()
+    v = L.read_live_views(spark, f"{tmp_dir}/views")
+    assert v["messages_received"].collect()[0][0] == 3  # 1, 3, 4: decodable and with a temperature
+    assert [r.seq for r in v["last_n_readings"].collect()] == [1, 3, 4]
+    assert v["latest_reading"].collect()[0].seq == 4
+    archived = spark.read.json(f"{tmp_dir}/views/archive").select("seq").collect()
+    assert sorted(r.seq for r in archived) == [1, 2, 3, 4]  # the archive keeps every decoded message
