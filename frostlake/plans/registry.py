@@ -53,6 +53,9 @@ def _medallion() -> dict[str, Query]:
     }
     for name in G.GOLD_TABLES:
         qs[name] = lambda s, d, _n=name: gold_of(s, d, _n)
+    # the same tables in the shared one-pass form the pipeline runs
+    for name in G.GOLD_TABLES:
+        qs[f"shared_{name}"] = lambda s, d, _n=name: G.gold_tables(silver_of(s, d), "shared")[_n]
     return qs
 
 
@@ -376,6 +379,8 @@ def _streaming_sql() -> dict[str, str]:
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(O.medallion_oracles())
+    for name in G.GOLD_TABLES:
+        out[f"shared_{name}"] = out[name]
     out.update(_filters_sql())
     out.update(_dashboard_sql())
     out.update(_lake_io_sql())
