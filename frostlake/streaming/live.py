@@ -18,8 +18,6 @@ oracle) and runs in Structured Streaming:
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -225,7 +223,7 @@ def start_dump_json(
     return w.start()
 
 
-def accepted_live(decoded_stream: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def accepted_live(decoded_stream: DataFrame) -> DataFrame:
     """F5 over decoded records: the messages the live views count."""
     return live_non_null(decoded_stream)
 
