@@ -35,7 +35,7 @@ from frostlake.operators import gold as G
 from frostlake.operators.silver import DEFAULT_RULES, SilverRules, silver
 from frostlake.operators.staging import staging
 from frostlake.session import delete_path, shuffle_partitions_for
-from frostlake.sinks.files import RunLog, materialize, write_layer
+from frostlake.sinks.files import RunLog, land_raw, materialize, write_layer
 from frostlake.sources.lake import conform_raw, read_layer, read_raw_json, resolve_table
 
 
@@ -48,6 +48,7 @@ class PipelineConfig:
     silver_partition_by: tuple[str, ...] = ()
     run_log: bool = True
     max_concurrent_writes: int = 4
+    land_raw: bool = True
 
 
 @contextmanager
@@ -96,6 +97,11 @@ def run_pipeline(
     log = RunLog()
     fmt = config.fmt
 
+    if isinstance(raw, str) and config.land_raw:
+        t = time.time()
+        land_raw(spark, raw, f"{lake_root.rstrip('/')}/raw")  # K2: untouched copy of the input
+        log.record("raw", t)
+
     t = time.time()
     raw_df = read_raw_json(spark, raw) if isinstance(raw, str) else conform_raw(raw)
     n = write_layer(raw_df, resolve_table(lake_root, "batch"), fmt, config.overwrite_schema)

@@ -172,6 +172,14 @@ class RunLog:
     def as_dict(self) -> dict[str, float]:
         return {e[2]: e[4] for e in self.entries}
 
+    def to_text(self) -> str:
+        """The run as readable lines, one per stage, total last."""
+        lines = [f"run {self.run_id}"]
+        for _, _, stage, when, secs, rows in self.entries:
+            extra = f", {rows} rows" if rows is not None else ""
+            lines.append(f"[{stage}] started {when:%Y-%m-%d %H:%M:%S} UTC, {secs:.2f}s{extra}")
+        return "\n".join(lines)
+
 
 # ------------------------------------------------------------------ manifest
 

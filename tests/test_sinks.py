@@ -123,3 +123,17 @@ def test_conform_raw(spark):
     assert tuple(out.columns) == RAW_FIELDS and set(out.dtypes[i][1] for i in range(40)) == {"string"}
     r = out.collect()[0]
     assert r.timestamp == "1704067200000" and r.CO2_Level_PPM == "500" and r.Oil_Temperature_Sensor is None
+
+
+def test_pipeline_lands_raw_and_logs_text(spark, tmp_dir):
+    from conftest import SF_SMALL
+
+    from frostlake.plans.medallion import run_pipeline
+    from frostlake.sources.fixtures import telemetry
+
+    raw = f"{tmp_dir}/in"
+    K.dump_json(telemetry(spark, SF_SMALL), raw)
+    log = run_pipeline(spark, raw, f"{tmp_dir}/lake")
+    assert spark.read.text(f"{tmp_dir}/lake/raw").count() == spark.read.text(raw).count()
+    text = log.to_text()
+    assert "[raw]" in text and "[staging]" in text and text.splitlines()[-1].startswith("[total]")
