@@ -1,0 +1 @@
+"""Plans: the batch pipeline, serving queries, free-SQL conformance, registry."""

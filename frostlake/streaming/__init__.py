@@ -1,0 +1,29 @@
+"""Structured Streaming live views (R1-R5) and topic drain/tail entry points."""
+
+from frostlake.streaming.live import (
+    LiveViewsWriter,
+    drain_topic,
+    last_n_readings,
+    latest_reading,
+    live_kpis,
+    live_points,
+    messages_received,
+    read_live_views,
+    start_dump_json,
+    start_live_views,
+    tail_topic_views,
+)
+
+__all__ = [
+    "LiveViewsWriter",
+    "drain_topic",
+    "last_n_readings",
+    "latest_reading",
+    "live_kpis",
+    "live_points",
+    "messages_received",
+    "read_live_views",
+    "start_dump_json",
+    "start_live_views",
+    "tail_topic_views",
+]
