@@ -69,9 +69,21 @@ def test_fact_fault_events_three_valued(spark):
 
 
 def test_empty_silver_gives_empty_gold(spark, silver_small):
+    from frostlake.plans import serving as S
+
     empty = silver_small.limit(0)
-    for name, df in G.gold_tables(empty, "shared").items():
-        assert df.count() == 0, name
+    for form in ("shared", "direct"):
+        tables = G.gold_tables(empty, form)
+        for name, df in tables.items():
+            assert df.count() == 0, (form, name)
+    t = G.gold_tables(empty, "direct")
+    assert S.dashboard_daily_costs(t["mart_daily_costs"]).count() == 0
+    assert S.dashboard_sla_breaches(t["mart_sla_breach_summary"]).count() == 0
+    assert S.dashboard_hourly_temperatures(t["fact_hourly_telemetry"]).count() == 0
+    row = S.dashboard_totals(t["mart_daily_costs"], t["mart_sla_breach_summary"]).collect()[0]
+    assert (row.total_cost, row.total_power, row.total_breaches) == (0.0, 0.0, 0)
+    assert S.count_table(empty).collect()[0].total == 0
+    assert S.page_table(empty, 1, 10).count() == 0
 
 
 def test_shared_plan_scans_silver_twice(spark, silver_small):
