@@ -5,6 +5,7 @@
     python -m frostlake page LAKE LAYER [TABLE] [--page 1] [--limit 50]
     python -m frostlake sql LAKE "SELECT ..." [--cap 1000]
     python -m frostlake dashboard LAKE
+    python -m frostlake export LAKE LAYER [TABLE] --out DIR [--format csv|json] [--page 1] [--limit 50]
     python -m frostlake drain (--files DIR | --kafka SERVERS --topic T) --out OUT --checkpoint CK
     python -m frostlake live (--files DIR | --kafka SERVERS --topic T) --root ROOT --checkpoint CK [--once]
 
@@ -73,6 +74,15 @@ def main(argv: list[str] | None = None) -> int:
     a = sub.add_parser("dashboard", help="dashboard metrics and totals")
     a.add_argument("lake")
 
+    a = sub.add_parser("export", help="export one page of a layer or gold table as CSV or JSON")
+    a.add_argument("lake")
+    a.add_argument("layer")
+    a.add_argument("table", nargs="?")
+    a.add_argument("--out", required=True)
+    a.add_argument("--format", default="csv", choices=("csv", "json"))
+    a.add_argument("--page", type=int, default=1)
+    a.add_argument("--limit", type=int, default=50)
+
     for name, help_ in (("drain", "drain a topic/folder into JSON lines"), ("live", "keep the live views current")):
         a = sub.add_parser(name, help=help_)
         src = a.add_mutually_exclusive_group(required=True)
@@ -116,6 +126,14 @@ def main(argv: list[str] | None = None) -> int:
         _print(S.query_response(spark, args.lake, args.query, args.cap))
     elif args.cmd == "dashboard":
         _print(S.dashboard_response(spark, args.lake))
+    elif args.cmd == "export":
+        from frostlake.sinks.files import export_csv, export_json
+        from frostlake.sources.lake import read_layer
+
+        df = read_layer(spark, args.lake, args.layer, args.table if args.layer == "gold" else None)
+        page = S.page_table(df, args.page, args.limit)
+        (export_csv if args.format == "csv" else export_json)(page, args.out, single_file=True)
+        _print({"exported": args.out, "format": args.format, "page": args.page, "limit": args.limit})
     elif args.cmd == "drain":
         from frostlake.streaming.live import start_dump_json
 

@@ -281,14 +281,18 @@ def table_page_response(
     limit: int = DEFAULT_PAGE_LIMIT,
     order_by: Sequence[str] | None = None,
     fmt: str = "parquet",
+    log=None,
 ) -> dict:
-    """Q5 + Q6 as a response: ``{"data", "pagination", "latency_ms"}``."""
+    """Q5 + Q6 as a response: ``{"data", "pagination", "latency_ms"}``.
+    With a ``RunLog``, the request's latency is logged as ``serve/page``."""
     import time
 
     started = time.time()
     df = read_layer(spark, lake_root, layer, table if layer == "gold" else None, fmt)
     data = _records(page_table(df, page, limit, order_by))
     total = count_table(df).collect()[0]["total"]
+    if log is not None:
+        log.record("serve/page", started, len(data))
     return {
         "data": data,
         "pagination": {"page": page, "limit": limit, "total": total, "has_next": has_next_page(total, page, limit)},
@@ -296,19 +300,25 @@ def table_page_response(
     }
 
 
-def query_response(spark: SparkSession, lake_root: str | None, text: str, cap: int = DEFAULT_SQL_CAP) -> dict:
-    """Q7 + Q8 as a response: ``{"data", "latency_ms"}``."""
+def query_response(
+    spark: SparkSession, lake_root: str | None, text: str, cap: int = DEFAULT_SQL_CAP, log=None
+) -> dict:
+    """Q7 + Q8 as a response: ``{"data", "latency_ms"}`` (logged as
+    ``serve/query`` when a ``RunLog`` is given)."""
     import time
 
     started = time.time()
     if lake_root:
         register_lake_views(spark, lake_root)
     data = _records(run_sql(spark, text, cap))
+    if log is not None:
+        log.record("serve/query", started, len(data))
     return {"data": data, "latency_ms": round((time.time() - started) * 1000, 2)}
 
 
-def dashboard_response(spark: SparkSession, lake_root: str, fmt: str = "parquet") -> dict:
-    """Q1-Q4 as a response: ``{"metrics", "totals", "latency_ms"}``."""
+def dashboard_response(spark: SparkSession, lake_root: str, fmt: str = "parquet", log=None) -> dict:
+    """Q1-Q4 as a response: ``{"metrics", "totals", "latency_ms"}`` (logged
+    as ``serve/dashboard`` when a ``RunLog`` is given)."""
     import time
 
     started = time.time()
@@ -321,4 +331,6 @@ def dashboard_response(spark: SparkSession, lake_root: str, fmt: str = "parquet"
         "hourly_temperatures": _records(dashboard_hourly_temperatures(hourly)),
     }
     totals = _records(dashboard_totals(daily, sla))[0]
+    if log is not None:
+        log.record("serve/dashboard", started)
     return {"metrics": metrics, "totals": totals, "latency_ms": round((time.time() - started) * 1000, 2)}

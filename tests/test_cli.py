@@ -30,4 +30,23 @@ def test_cli_pipeline_and_serving(spark, tmp_dir, capsys):
     dash = _run(capsys, "dashboard", lake)
     assert len(dash["metrics"]["daily_costs"]) == spark.read.parquet(f"{lake}/gold/mart_daily_costs").select(
         "Date").distinct().count()
+    out_csv = f"{tmp_dir}/export"
+    _run(capsys, "export", lake, "gold", "mart_daily_costs", "--out", out_csv, "--limit", "7")
+    back = spark.read.option("header", True).csv(out_csv)
+    assert back.count() == 7 and set(back.columns) == {"Date", "Device_ID", "Daily_Cost_USD", "Daily_Power_kW"}
     assert not spark.sparkContext._jsc.sc().isStopped()  # an existing session is left running
+
+
+def test_serving_latency_goes_to_the_run_log(spark, tmp_dir, capsys):
+    from frostlake.plans import serving as S
+    from frostlake.plans.medallion import run_pipeline
+    from frostlake.sinks.files import RunLog
+
+    lake = f"{tmp_dir}/lake"
+    run_pipeline(spark, telemetry(spark, SF_SMALL), lake)
+    log = RunLog()
+    S.table_page_response(spark, lake, "silver", limit=3, log=log)
+    S.query_response(spark, lake, "SELECT 1 AS x", log=log)
+    S.dashboard_response(spark, lake, log=log)
+    assert [e[2] for e in log.entries] == ["serve/page", "serve/query", "serve/dashboard"]
+    assert log.entries[0][5] == 3
