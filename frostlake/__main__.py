@@ -51,7 +51,7 @@ def main(argv: list[str] | None = None) -> int:
     a = sub.add_parser("pipeline", help="raw JSON -> batch -> staging -> silver -> gold")
     a.add_argument("raw")
     a.add_argument("lake")
-    a.add_argument("--format", default="parquet")
+    a.add_argument("--format", default="auto", help="parquet, delta, or auto (delta when installed)")
     a.add_argument("--gold-form", default="shared", choices=("shared", "direct"))
     a.add_argument("--overwrite-schema", action="store_true")
     a.add_argument("--partition-silver-by-date", action="store_true")
@@ -104,14 +104,17 @@ def main(argv: list[str] | None = None) -> int:
 
     from frostlake.plans import serving as S
     from frostlake.session import build_session
+    from frostlake.sources.lake import lake_format
 
     owned = SparkSession.getActiveSession() is None
     spark = build_session()
     if args.cmd == "pipeline":
         from frostlake.plans.medallion import PipelineConfig, run_pipeline
 
+        from frostlake.sources.lake import resolve_format
+
         cfg = PipelineConfig(
-            fmt=args.format,
+            fmt=resolve_format(spark, args.format),
             gold_form=args.gold_form,
             overwrite_schema=args.overwrite_schema,
             silver_partition_by=("Date",) if args.partition_silver_by_date else (),
@@ -121,16 +124,18 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "tables":
         _print([r.asDict() for r in S.list_tables(spark, args.lake).collect()])
     elif args.cmd == "page":
-        _print(S.table_page_response(spark, args.lake, args.layer, args.table, args.page, args.limit))
+        fmt = lake_format(spark, args.lake)
+        _print(S.table_page_response(spark, args.lake, args.layer, args.table, args.page, args.limit, fmt=fmt))
     elif args.cmd == "sql":
-        _print(S.query_response(spark, args.lake, args.query, args.cap))
+        _print(S.query_response(spark, args.lake, args.query, args.cap, fmt=lake_format(spark, args.lake)))
     elif args.cmd == "dashboard":
-        _print(S.dashboard_response(spark, args.lake))
+        _print(S.dashboard_response(spark, args.lake, fmt=lake_format(spark, args.lake)))
     elif args.cmd == "export":
         from frostlake.sinks.files import export_csv, export_json
         from frostlake.sources.lake import read_layer
 
-        df = read_layer(spark, args.lake, args.layer, args.table if args.layer == "gold" else None)
+        fmt = lake_format(spark, args.lake)
+        df = read_layer(spark, args.lake, args.layer, args.table if args.layer == "gold" else None, fmt)
         page = S.page_table(df, args.page, args.limit)
         (export_csv if args.format == "csv" else export_json)(page, args.out, single_file=True)
         _print({"exported": args.out, "format": args.format, "page": args.page, "limit": args.limit})

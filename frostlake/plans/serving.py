@@ -301,7 +301,7 @@ def table_page_response(
 
 
 def query_response(
-    spark: SparkSession, lake_root: str | None, text: str, cap: int = DEFAULT_SQL_CAP, log=None
+    spark: SparkSession, lake_root: str | None, text: str, cap: int = DEFAULT_SQL_CAP, log=None, fmt: str = "parquet"
 ) -> dict:
     """Q7 + Q8 as a response: ``{"data", "latency_ms"}`` (logged as
     ``serve/query`` when a ``RunLog`` is given)."""
@@ -309,7 +309,7 @@ def query_response(
 
     started = time.time()
     if lake_root:
-        register_lake_views(spark, lake_root)
+        register_lake_views(spark, lake_root, fmt)
     data = _records(run_sql(spark, text, cap))
     if log is not None:
         log.record("serve/query", started, len(data))

@@ -42,6 +42,33 @@ def read_raw_json(spark: SparkSession, path: str, keep_corrupt: bool = False) ->
     return reader.schema(schema).json(path)
 
 
+def delta_available(spark: SparkSession) -> bool:
+    """Whether the Delta Lake data source is on the classpath."""
+    try:
+        jvm = spark.sparkContext._jvm
+        jvm.java.lang.Class.forName("org.apache.spark.sql.delta.sources.DeltaDataSource")
+        return True
+    except Exception:  # noqa: BLE001 - not installed, or no JVM access (Connect)
+        return False
+
+
+def resolve_format(spark: SparkSession, fmt: str = "auto") -> str:
+    """``auto`` picks ``delta`` when available, else ``parquet``."""
+    if fmt != "auto":
+        return fmt
+    return "delta" if delta_available(spark) else "parquet"
+
+
+def lake_format(spark: SparkSession, lake_root: str) -> str:
+    """The format a lake was written in: ``delta`` when its layers carry a
+    Delta log, else ``parquet`` (metadata only)."""
+    root = lake_root.rstrip("/")
+    for layer in ("silver", "staging", "batch"):
+        if path_exists(spark, f"{root}/{layer}/_delta_log"):
+            return "delta"
+    return "parquet"
+
+
 def conform_raw(df: DataFrame) -> DataFrame:
     """Bring any raw DataFrame to the 40-field text shape: known fields are
     rendered as text (a JSON number becomes its text), missing fields are
