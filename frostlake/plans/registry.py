@@ -149,8 +149,12 @@ def _lake_io() -> dict[str, Query]:
 def lake_view_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q7: register every layer of the written lake, then count each view."""
     names = S.register_lake_views(spark, workspace(spark, sf_dir).lake)
-    parts = [spark.table(n).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("view_name"), "row_count")
-             for n in names]
+    parts = [
+        spark.table(n).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("view_name"), "row_count")
+        for n in names
+    ]
+    if not parts:
+        return spark.createDataFrame([], "view_name string, row_count bigint")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
