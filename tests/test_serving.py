@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from conftest import SF_SMALL
 
@@ -126,3 +128,13 @@ def test_deep_page_path_equals_top_k(spark, lake):
         a = [tuple(r) for r in S.page_table(df, page, limit).collect()]
         b = [tuple(r) for r in S.page_table(df, page, limit, top_k_rows=0).collect()]
         assert a == b, (page, limit)
+
+
+def test_format_detection(spark, lake, tmp_dir):
+    from frostlake.sources.lake import delta_available, lake_format, resolve_format
+
+    assert lake_format(spark, lake) == "parquet"
+    os.makedirs(f"{tmp_dir}/dl/silver/_delta_log")
+    assert lake_format(spark, f"{tmp_dir}/dl") == "delta"
+    assert resolve_format(spark, "parquet") == "parquet"
+    assert resolve_format(spark, "auto") == ("delta" if delta_available(spark) else "parquet")
