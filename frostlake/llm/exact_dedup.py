@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from frostlake.llm import exchange as X
 from frostlake.llm.common import drop_rows, fresh_name, materialize, small_enough, with_row_id
@@ -83,8 +84,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     owners = max(spark.sparkContext.defaultParallelism, -(-n // HASHES_PER_OWNER))
 
     schema = T.StructType.fromDDL(f"kind tinyint, row long, n_chars long, sha binary, fp long, {X.LIST_SCHEMA}").add("doc_id", docs.schema["doc_id"].dataType)
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     sent = materialize(docs.mapInArrow(_send(bits, owners, to_arrow_schema(schema)), schema), "digests")
     rows = sent.where("kind = 0").select("row", "doc_id", "n_chars", "sha", "fp")
     lists = sent.where("kind = 1").select("shard", "owner", "n", "low", "code")
@@ -110,9 +109,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .where("n > 1")
         .select("fp", F.unhex(F.sha2("body", 256)).alias("sha"))
     )
-    members = rows.join(classes, ["fp", "sha"], "left_semi")
+    # aggregated before it meets the verified classes, so that a large class is combined map-side
     best = F.min(F.struct((-F.col("n_chars")).alias("short"), F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
-    keep = members.groupBy("fp", "sha").agg(best.alias("best"), F.count("*").alias("size"))
+    groups = rows.groupBy("fp", "sha").agg(best.alias("best"), F.count("*").alias("size")).where("size > 1")
+    keep = groups.join(classes, ["fp", "sha"], "left_semi")
     keep = materialize(keep.select("fp", "sha", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"), "size"), "classes")
     single = F.col("size").isNull()
     return rows.join(small_enough(keep), ["fp", "sha"], "left").select(

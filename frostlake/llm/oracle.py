@@ -14,6 +14,15 @@ WITH n AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
 """
 
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS first_id, payload_bytes >= 1000 AS large FROM p)
+SELECT page_id, payload_bytes, sha1(body) AS payload_digest,
+       CASE WHEN large AND first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN large AND first_id <> page_id THEN first_id END AS refers_to
+FROM r
+"""
+
 DECONTAMINATION = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
@@ -41,4 +50,4 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP, "op4_decontamination": DECONTAMINATION}
+    return {"op1_exact_dedup": EXACT_DEDUP, "op3_warc": WARC, "op4_decontamination": DECONTAMINATION}

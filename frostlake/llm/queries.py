@@ -9,8 +9,14 @@ from pyspark.sql import functions as F
 
 from frostlake.llm.decontaminate import contamination
 from frostlake.llm.exact_dedup import exact_dedup
+from frostlake.llm.packing import pack_documents
 from frostlake.llm.simhash_dedup import simhash_dedup
 from frostlake.llm.suffix_dedup import suffix_dedup
+from frostlake.llm.warc import rewrite
+from frostlake.session import scratch_path
+
+#: A byte-level vocabulary for many languages; the folder is the same on every machine.
+VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +29,17 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), VOCABULARY, buckets=16, budget=65_536).drop("row")
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rewrite(_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"), min_bytes=1000)
+    return found.select(
+        F.col("page_id").cast("long"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long")
+    )
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), size=10, slop=2)
     return found.select(
@@ -49,6 +66,8 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_packing": op2_packing,
+        "op3_warc": op3_warc,
         "op4_decontamination": op4_decontamination,
         "op5_simhash_dedup": op5_simhash_dedup,
         "op8_suffix_dedup": op8_suffix_dedup,
