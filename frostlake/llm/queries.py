@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from frostlake.llm.decontaminate import contamination
 from frostlake.llm.exact_dedup import exact_dedup
 from frostlake.llm.packing import pack_documents
+from frostlake.llm.quality import classify
 from frostlake.llm.simhash_dedup import simhash_dedup
 from frostlake.llm.suffix_dedup import suffix_dedup
 from frostlake.llm.warc import rewrite
@@ -63,6 +64,10 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -71,6 +76,7 @@ def queries() -> dict[str, Query]:
         "op4_decontamination": op4_decontamination,
         "op5_simhash_dedup": op5_simhash_dedup,
         "op8_suffix_dedup": op8_suffix_dedup,
+        "op9_quality": op9_quality,
     }
 
 
