@@ -91,7 +91,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def flagged(batches):
         for b in batches:
             got = [X.open_list(r["owner"], r["n"], r["low"], r["code"], bits, owners)[X.open_bitmap(r["bitmap"], r["n"])] for r in b.to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(got)).astype(np.int64) if got else [], pa.int64())], ["fp"])
+            yield pa.RecordBatch.from_arrays([pa.array(X.distinct(np.concatenate(got)).astype(np.int64) if got else [], pa.int64())], ["fp"])
 
     replies = X.answer(lists, bits, owners).drop("n")
     suspects = materialize(lists.join(replies, ["shard", "owner"]).mapInArrow(flagged, "fp long").distinct(), "suspects")

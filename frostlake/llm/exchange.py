@@ -15,6 +15,12 @@ LIST_SCHEMA = "shard long, owner long, n long, low int, code binary"
 REPLY_SCHEMA = "shard long, owner long, n long, bitmap binary"
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted, each once; much faster for 64-bit values than numpy's own, which hashes."""
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]]] if len(values) else values
+
+
 def golomb_low_bits(n: int, span: int) -> int:
     """Bits sent as they are: about log2 of the mean difference."""
     return max(0, (span // max(n, 1)).bit_length() - 1)
@@ -99,7 +105,7 @@ def answer(lists: DataFrame, bits: int, owners: int, earlier: bool = False) -> D
         pdf = pdf.sort_values("shard")
         parts = [open_list(r.owner, r.n, r.low, r.code, bits, owners) for r in pdf.itertuples()]
         every = np.sort(np.concatenate(parts))
-        twice = np.unique(every[1:][every[1:] == every[:-1]])
+        twice = distinct(every[1:][every[1:] == every[:-1]])
         del every
         met = np.zeros(len(twice), bool)
         maps = []

@@ -33,41 +33,39 @@ from frostlake.llm import exchange as X
 from frostlake.llm.common import fresh_name, materialize, small_enough, with_row_id
 
 #: Text bytes of a shard (a longer document is a shard of its own) and of a partition by id.
-SHARD_BYTES = 6_000_000
+SHARD_BYTES = 4_000_000
 PART_BYTES = 48_000_000
 HASHES_PER_OWNER = 2_000_000
 #: An odd base and its inverse modulo 2**64, and an odd multiplier for mixing.
 BASE = 0x9E3779B97F4A7C15
 MIX = np.uint64(0xD6E8FEB86659FD93)
-_POWERS: dict[int, np.ndarray] = {}
+#: Positions that are hashed at a time: their arrays stay in the processor's cache.
+BLOCK = 1 << 16
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    if len(_POWERS.get(base, ())) < n:
-        step = np.full(max(n, 1 << 16), np.uint64(base))
-        step[0] = 1
-        _POWERS[base] = np.cumprod(step, dtype=np.uint64)
-    return _POWERS[base][:n]
-
-
-def _table() -> np.ndarray:
-    every = [int.from_bytes(hashlib.sha256(bytes([b])).digest()[:8], "big") | 1 for b in range(256)]
-    return np.array(every, np.uint64)
+    step = np.full(n, np.uint64(base))
+    step[0] = 1
+    return np.cumprod(step, dtype=np.uint64)
 
 
 class Grams:
-    """Rolling hashes of all grams of a text; element i is that of the gram starting at byte i."""
-
-    def __init__(self, raw: np.ndarray):
-        n = len(raw)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_table()[raw] * _powers(BASE, n), out=self.sums[1:])
-
-    def of(self, width: int) -> np.ndarray:
-        n = len(self.sums) - width
-        if n <= 0:
-            return np.empty(0, np.uint64)
-        h = (self.sums[width:] - self.sums[:-width]) * _powers(pow(BASE, -1, 1 << 64), n)
+    """Rolling hashes: element i is that of the gram of some width that starts at byte i."""
+
+    def __init__(self, longest: int):
+        every = [int.from_bytes(hashlib.sha256(bytes([b])).digest()[:8], "big") | 1 for b in range(256)]
+        self.table = np.array(every, np.uint64)
+        self.up = _powers(BASE, longest + 1)
+        self.down = _powers(pow(BASE, -1, 1 << 64), longest + 1)
+
+    def sums(self, raw: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(self.table[raw] * self.up[: len(raw)], out=out[1:])
+        return out
+
+    def of(self, sums: np.ndarray, width: int) -> np.ndarray:
+        h = sums[width:] - sums[:-width]
+        h *= self.down[: len(h)]
         h ^= h >> np.uint64(32)
         h *= MIX
         h ^= h >> np.uint64(29)
@@ -88,47 +86,51 @@ class Shard:
     """Documents laid end to end; windows cross none of their borders."""
 
     def __init__(self, text: bytes, sizes: np.ndarray, width: int):
-        self.sizes, self.width = sizes, width
+        self.raw, self.sizes, self.width = np.frombuffer(text, np.uint8), sizes, width
         self.starts = np.cumsum(sizes) - sizes
-        raw = np.frombuffer(text, np.uint8)
-        n = max(0, len(raw) - width + 1)
-        grams = Grams(raw)
-        self.windows = grams.of(width)
         self.doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        self.inside = self.doc[:n] == self.doc[width - 1 :] if n else np.empty(0, bool)
-        gram = -(-width // 2)
-        self.digit = _least(grams.of(gram), width - gram + 1)
-        self.digit[~self.inside] = 0
+        self.grams = Grams(BLOCK + width)
+
+    def blocks(self, windows: bool):
+        """(first position, digit, whether the window lies in one document, window hashes if asked for) by block."""
+        width, gram = self.width, -(-self.width // 2)
+        for a in range(0, len(self.raw) - width + 1, BLOCK):
+            sums = self.grams.sums(self.raw[a : a + BLOCK + width - 1])
+            digit = _least(self.grams.of(sums, gram), width - gram + 1)
+            inside = self.doc[a : a + len(digit)] == self.doc[a + width - 1 : a + width - 1 + len(digit)]
+            yield a, digit, inside, self.grams.of(sums, width) if windows else None
 
 
-def _first_digits(shard: Shard, ids: np.ndarray, bits: int) -> np.ndarray:
+def _first_digits(shard: Shard, ranks: np.ndarray, bits: int) -> np.ndarray:
     """Sorted digits of the shard, twice if two of its documents have it."""
-    new = np.r_[True, (shard.digit[1:] != shard.digit[:-1]) | (shard.doc[1 : len(shard.digit)] != shard.doc[: len(shard.digit) - 1])] if len(shard.digit) else np.empty(0, bool)
-    new &= shard.inside
-    digit, rank = shard.digit[new] >> np.uint64(64 - bits), ids[shard.doc[: len(new)][new]]
-    order = np.argsort(digit, kind="stable")
+    digits, docs = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for a, digit, inside, _ in shard.blocks(False):
+        doc = shard.doc[a : a + len(digit)]
+        new = np.flatnonzero(np.r_[True, (digit[1:] != digit[:-1]) | (doc[1:] != doc[:-1]) | ~inside[:-1]] & inside)
+        digits.append(digit[new])
+        docs.append(ranks[doc[new]])
+    digit, rank = np.concatenate(digits) >> np.uint64(64 - bits), np.concatenate(docs)
+    order = np.argsort(digit)
     digit, rank = digit[order], rank[order]
     if not len(digit):
         return digit
     edge = np.flatnonzero(np.r_[True, digit[1:] != digit[:-1]])
     twice = np.maximum.reduceat(rank, edge) > np.minimum.reduceat(rank, edge)
-    return np.sort(np.r_[digit[edge], digit[edge][twice]])
+    return np.repeat(digit[edge], 1 + twice)
 
 
 def _open(replies: list[dict], values: np.ndarray, bits: int, owners: int) -> np.ndarray:
     """Values that the replies (owner, n, bitmap) flag among the shard's own sorted list."""
     maps = {r["owner"]: X.open_bitmap(r["bitmap"], r["n"]) for r in replies}
     got = [values[a:b][maps[o]] for o, a, b in X.cuts(values, bits, owners)]
-    return np.unique(np.concatenate(got)) if got else np.empty(0, np.uint64)
+    return X.distinct(np.concatenate(got)) if got else np.empty(0, np.uint64)
 
 
-def _has(values: np.ndarray, among: np.ndarray) -> np.ndarray:
-    """Which ``values`` are in the sorted ``among``; a bit table first, as most are not."""
+def _has(values: np.ndarray, among: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+    """Which ``values`` are in the sorted ``among``; the bit table first, if there is one, as most are not."""
     if not len(among):
         return np.zeros(len(values), bool)
-    table = np.zeros(1 << 24, bool)
-    table[(among >> np.uint64(9)) & np.uint64((1 << 24) - 1)] = True
-    maybe = table[(values >> np.uint64(9)) & np.uint64((1 << 24) - 1)]
+    maybe = np.ones(len(values), bool) if table is None else table[values & np.uint64(len(table) - 1)]
     some = values[maybe]
     at = np.searchsorted(among, some)
     at[at == len(among)] = 0
@@ -136,12 +138,18 @@ def _has(values: np.ndarray, among: np.ndarray) -> np.ndarray:
     return maybe
 
 
-def _left_over(shard: Shard, digits: np.ndarray, bits: int) -> np.ndarray:
-    """Positions of windows whose first digit is in two documents."""
-    change = np.r_[True, shard.digit[1:] != shard.digit[:-1]] if len(shard.digit) else np.empty(0, bool)
-    run = np.cumsum(change) - 1
-    ok = _has(shard.digit[change] >> np.uint64(64 - bits), digits)
-    return np.flatnonzero(ok[run] & shard.inside) if len(run) else np.empty(0, np.int64)
+def _left_over(shard: Shard, digits: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of windows whose first digit is in two documents."""
+    table = np.zeros(1 << max(10, (8 * len(digits)).bit_length()), bool)
+    table[digits & np.uint64(len(table) - 1)] = True
+    at, windows = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    for a, digit, inside, window in shard.blocks(True):
+        change = np.r_[True, digit[1:] != digit[:-1]]
+        ok = _has(digit[change] >> np.uint64(64 - bits), digits, table)
+        here = np.flatnonzero(ok[np.cumsum(change) - 1] & inside)
+        at.append(here + a)
+        windows.append(window[here])
+    return np.concatenate(at), np.concatenate(windows)
 
 
 def _cut_shards(schema: pa.Schema):
@@ -229,8 +237,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def suffixes(own: pa.Table, replies: pa.Table) -> pa.Table:
         row = own.to_pylist()[0]
         shard, _, ranks = _load(row, width)
-        at = _left_over(shard, _open(replies.to_pylist(), _first_digits(shard, ranks, bits), bits, owners), bits)
-        return pa.Table.from_pandas(X.list_frame(row["shard"], np.unique(shard.windows[at]), 64, owners), list_schema, preserve_index=False)
+        _, window = _left_over(shard, _open(replies.to_pylist(), _first_digits(shard, ranks, bits), bits, owners), bits)
+        return pa.Table.from_pandas(X.list_frame(row["shard"], X.distinct(window), 64, owners), list_schema, preserve_index=False)
 
     two = shards.groupBy("shard").cogroup(one.groupBy("shard")).applyInArrow(suffixes, X.LIST_SCHEMA)
     two = materialize(X.answer(two, 64, owners, earlier=True), "window-replies")
@@ -242,8 +250,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         replies = replies.to_pylist()
         shard, text, ranks = _load(row, width)
         digits_hit = _open([r for r in replies if r["pass"] == 1], _first_digits(shard, ranks, bits), bits, owners)
-        at = _left_over(shard, digits_hit, bits)
-        window, rank = shard.windows[at], ranks[shard.doc[at]]
+        at, window = _left_over(shard, digits_hit, bits)
+        rank = ranks[shard.doc[at]]
         values, which = np.unique(window, return_inverse=True)
         earlier = _has(window, _open([r for r in replies if r["pass"] == 2], values, 64, owners))
         least = np.full(len(values), np.iinfo(np.int64).max)
