@@ -74,8 +74,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b longs): root is the component's smallest node.
 
     Alternating large-star and small-star rounds. Each round joins every edge to the minimum of
-    its neighbourhood (an aggregate, so a hub is pre-aggregated and its join side can be split) and
-    is written to the shared folder. Loops and repeated edges are ignored.
+    its neighbourhood. The minima are an aggregate, so a hub is combined map-side, and are written
+    first, so that both sides of the join are plain shuffles, of which Spark can split a hub's. Each
+    round is written to the shared folder. Loops and repeated edges are ignored.
     """
     links = materialize(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
@@ -89,9 +90,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
             )
         seen = mark
         both = links.union(links.select("b", "a")).toDF("u", "v")
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = materialize(large, "large")
+        low = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(low, "a").select(
             F.explode(
                 F.array(

@@ -23,6 +23,21 @@ SELECT page_id, payload_bytes, sha1(body) AS payload_digest,
 FROM r
 """
 
+CHAT = r"""
+WITH t AS (
+  SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place
+  FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)
+), c AS (
+  SELECT conv_id, count(*) AS n_turns, list({'role': role, 'text': text} ORDER BY place) AS said FROM t GROUP BY conv_id
+), g AS (SELECT min(conv_id) AS conv_id, n_turns, said, count(*) AS n_logged FROM c GROUP BY n_turns, said),
+stay AS (
+  SELECT * FROM g WHERE NOT EXISTS (SELECT 1 FROM g AS o WHERE o.n_turns > g.n_turns AND o.said[1] = g.said[1] AND o.said[: g.n_turns] = g.said)
+)
+SELECT t.conv_id, t.place, n_turns, n_logged,
+       '<|im_start|>' || coalesce(role, 'user') || chr(10) || regexp_replace(coalesce(text, ''), '<\|(im_start|im_end)\|>', '< |\1|>', 'g') || '<|im_end|>' || chr(10) AS rendered
+FROM t JOIN stay USING (conv_id)
+""".replace("\\\\", "\\")
+
 DECONTAMINATION = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
@@ -50,4 +65,4 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP, "op3_warc": WARC, "op4_decontamination": DECONTAMINATION}
+    return {"op1_exact_dedup": EXACT_DEDUP, "op3_warc": WARC, "op6_chat_formatting": CHAT, "op4_decontamination": DECONTAMINATION}

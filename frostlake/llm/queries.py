@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from frostlake.llm.chat import format_chats
 from frostlake.llm.decontaminate import contamination
 from frostlake.llm.exact_dedup import exact_dedup
+from frostlake.llm.licenses import license_scan
+from frostlake.llm.line_dedup import line_dedup
 from frostlake.llm.packing import pack_documents
 from frostlake.llm.quality import classify
 from frostlake.llm.simhash_dedup import simhash_dedup
@@ -56,6 +59,14 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(_table(spark, sf_dir, "conversations"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_table(spark, sf_dir, "documents")).drop("row_id")
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup(_table(spark, sf_dir, "documents"), width=50)
     cut = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
@@ -68,6 +79,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.3)
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup(_table(spark, sf_dir, "documents"), max_bits=3, similarity=0.8)
+    return found.select("doc_id", "n_lines", "n_dropped", "kept_text")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -75,8 +91,11 @@ def queries() -> dict[str, Query]:
         "op3_warc": op3_warc,
         "op4_decontamination": op4_decontamination,
         "op5_simhash_dedup": op5_simhash_dedup,
+        "op6_chat_formatting": op6_chat_formatting,
+        "op7_license_scan": op7_license_scan,
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_quality": op9_quality,
+        "op10_line_dedup": op10_line_dedup,
     }
 
 

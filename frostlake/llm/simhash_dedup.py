@@ -231,7 +231,7 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nodes = materialize(rows.groupBy("fp").agg(best.alias("best"), F.count("*").alias("n")), "nodes")
     parts = connected_components(hamming_links(nodes.select("fp"), max_bits, split_at))
     linked = nodes.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "best", "n", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked"))
-    tops = linked.where("linked").groupBy("root").agg(F.min("best").alias("top"))
+    tops = materialize(linked.where("linked").groupBy("root").agg(F.min("best").alias("top")), "tops")
     groups = linked.where("linked OR n > 1").join(tops, "root", "left").select("fp", F.coalesce("top", "best").alias("top"))
     groups = materialize(groups.select("fp", F.col("top.doc_id").alias("component_id"), F.col("top.row").alias("top_row")), "groups")
     alone = F.col("top_row").isNull()

@@ -210,7 +210,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     slim = materialize(docs.select("row", "doc_id", F.octet_length("text").alias("n"), F.sha2("text", 256).alias("sha")), "texts")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
     first = slim.where(F.col("n") >= width).groupBy("sha").agg(F.min(order).alias("first"), F.count("*").alias("size")).where("size > 1")
-    copies = slim.join(first, "sha").where(F.col("first") < order).select("row", "doc_id", "n")
+    copies = slim.join(small_enough(materialize(first, "first-texts")), "sha").where(F.col("first") < order).select("row", "doc_id", "n")
     copies = materialize(copies, "copies")
     total = slim.agg(F.sum("n")).first()[0] or 0
     parts = max(spark.sparkContext.defaultParallelism, -(-total // PART_BYTES))
