@@ -158,18 +158,24 @@ def test_passages_cover_the_text(text):
     assert b"".join(passages(text)) == text
 
 
-def test_gradients(monkeypatch):
-    """One step of the fit lowers the loss on its batch, and bags that differ in one passage are told apart."""
+def test_attention_finds_the_telling_passage():
+    """Only the document is labelled: a bag is bad if one of its passages is."""
     r = np.random.default_rng(0)
     good, bad = features(b"Some plain words in a row here. "), features(b"BUY!! NOW!! BUY!! NOW!!")
-    bags = [np.stack([good] * int(n)) + r.normal(0, 0.01, (int(n), quality.DIM)) for n in r.integers(1, 9, 200)]
-    labels = r.integers(0, 2, 200)
-    for b, y in zip(bags, labels):
+    bags, labels = [], r.integers(0, 2, 300)
+    for y in labels:
+        bag = np.stack([good] * int(r.integers(1, 9))) + r.normal(0, 0.01, (1, quality.DIM))
         if not y:
-            b[r.integers(len(b))] = bad
-    model = fit([b.astype(np.float32) for b in bags], labels, epochs=30)
-    for y, text in ((1, b"Some plain words in a row here. " * 200), (0, b"Some plain words in a row here. " * 400 + b"BUY!! NOW!! BUY!! NOW!! " * 70)):
-        assert (model.score(text) > 0.5) == y
+            bag[r.integers(len(bag))] = bad
+        bags.append(bag.astype(np.float32))
+    model = fit(bags[:200], labels[:200])
+    right = 0
+    for bag, y in zip(bags[200:], labels[200:]):
+        h, a = model.encode(bag)
+        e = np.exp(a - a.max())
+        z = (e / e.sum()) @ h @ model.w["c"] + model.w["bc"]
+        right += (z[0] > 0) == y
+    assert right >= 95
 
 
 def test_attention_in_steps_equals_attention_at_once(monkeypatch):
