@@ -27,11 +27,15 @@ def live_non_null(df: DataFrame, column: str = "Entering_Chilled_Water_Temperatu
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
-    """NaN becomes null in every float/double column."""
+    """NaN becomes null in every float/double column.
+
+    Columns are taken by position, so unaliased expressions and columns of
+    the same name (``SELECT *`` over a join) pass through.
+    """
+    fields = df.schema.fields
+    places = [f"c{i}" for i in range(len(fields))]
     cols = [
-        _nan_to_null(F.col(f.name)).alias(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-        else F.col(f.name)
-        for f in df.schema.fields
+        (_nan_to_null(F.col(c)) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(c)).alias(f.name)
+        for c, f in zip(places, fields)
     ]
-    return df.select(*cols)
+    return df.toDF(*places).select(*cols)

@@ -106,8 +106,7 @@ CONFORMANCE: dict[str, tuple[str, tuple[str, ...]]] = {
     ),
 }
 
-# The capped free-SQL example: an ordered inner query, no LIMIT of its own,
-# so ``run_sql`` applies its default cap of 1000 rows.
+# The free-SQL example: all rows come back, as nobody asks for a cap.
 RUN_SQL_EXAMPLE = (
     "SELECT Device_ID, Date, Hour_of_Day, Avg_Power_kW, Total_Cost_USD FROM gold_fact_hourly_telemetry "
     "ORDER BY Device_ID ASC NULLS LAST, Date ASC NULLS LAST, Hour_of_Day ASC NULLS LAST;"

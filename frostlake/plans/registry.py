@@ -343,7 +343,7 @@ def _serving_lake_sql() -> dict[str, str]:
     out = {
         "list_tables": f'SELECT * FROM (VALUES {values}) AS c(layer, "table", view_name)',
         "register_lake_views": O.with_layers("\nUNION ALL\n".join(counts), gold=G.GOLD_TABLES),
-        "run_sql": O.with_layers(C.RUN_SQL_EXAMPLE.rstrip(";") + " LIMIT 1000", gold=C.RUN_SQL_TABLES),
+        "run_sql": O.with_layers(C.RUN_SQL_EXAMPLE.rstrip(";"), gold=C.RUN_SQL_TABLES),
     }
     for key, (text, tables) in C.CONFORMANCE.items():
         out[key] = O.with_layers(text, gold=tables)

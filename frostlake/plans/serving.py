@@ -7,7 +7,6 @@ so a dashboard over 100 TB of telemetry is the same plan as over a sample.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,6 @@ from pyspark.sql import types as T
 from frostlake.functions.columns import round2
 from frostlake.operators.filters import nan_to_null
 from frostlake.operators.gold import GOLD_TABLES
-from frostlake.sinks.files import materialize
 from frostlake.sources.lake import LAYERS, TableNotFound, list_lake_tables, read_layer
 
 DEFAULT_PAGE_LIMIT = 50
@@ -97,65 +95,22 @@ def dashboard_totals(
 # ------------------------------------------------------------- paging
 
 
-# Pages that end within this many rows use a top-k; deeper pages use the
-# distributed path (a top-k would merge page*limit rows per split in one task).
-TOP_K_PAGE_ROWS = 100_000
-
-
 def page_table(
     df: DataFrame,
     page: int = 1,
     limit: int = DEFAULT_PAGE_LIMIT,
     order_by: Sequence[str] | None = None,
-    top_k_rows: int = TOP_K_PAGE_ROWS,
 ) -> DataFrame:
     """Q5: rows ``(page-1)*limit .. page*limit`` in a stable order.
 
-    Spark has no inherent row order, so a page is only reproducible under a
-    total order: by default all columns. A shallow page is a top-k
-    (``TakeOrderedAndProject``: each split keeps its best ``page*limit``
-    rows). A deep page (beyond ``top_k_rows``) is cut from a distributed
-    sort instead, so no task ever holds more than its own sorted range.
+    Spark has no inherent row order, so pages only fit together under a total
+    order: the columns of ``order_by``, then all others as tie-breakers.
     """
     if page < 1 or limit < 0:
         raise ValueError("page starts at 1 and limit must be >= 0")
-    keys = [F.col(k).asc_nulls_first() for k in (list(order_by) if order_by else df.columns)]
-    offset = (page - 1) * limit
-    if offset + limit <= top_k_rows:
-        return df.orderBy(*keys).offset(offset).limit(limit)
-    return _deep_page(df, keys, offset, limit)
-
-
-def _deep_page(df: DataFrame, keys: list, offset: int, limit: int) -> DataFrame:
-    """Rows ``[offset, offset+limit)`` of ``df`` sorted by ``keys``.
-
-    The table is range-partitioned and sorted within partitions (a global
-    sort, as ``orderBy`` plans it), then materialized so both passes see the
-    same layout. The only driver-side data is one row count per partition;
-    the global index of a row is its partition's starting offset plus its
-    position inside the partition (the low bits of
-    ``monotonically_increasing_id``).
-    """
-    spark = df.sparkSession
-    cols = df.columns
-    ordered = df.orderBy(*keys).select(
-        *cols,
-        F.spark_partition_id().alias("__pid"),
-        (F.monotonically_increasing_id() % F.lit(1 << 33)).alias("__pos"),
-    )
-    ordered, _ = materialize(ordered, "deep-page")
-    counts = sorted((r["__pid"], r["n"]) for r in ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect())
-    starts, run = {}, 0
-    for pid, n in counts:
-        starts[pid] = run
-        run += n
-    wanted = [pid for pid, n in counts if starts[pid] < offset + limit and starts[pid] + n > offset]
-    if not wanted:
-        return ordered.where(F.lit(False)).select(*cols)
-    start_col = F.coalesce(*[F.when(F.col("__pid") == pid, F.lit(starts[pid])) for pid in wanted])
-    idx = start_col + F.col("__pos")
-    page = ordered.where(F.col("__pid").isin(wanted)).where((idx >= offset) & (idx < offset + limit))
-    return page.orderBy(F.col("__pid"), F.col("__pos")).select(*cols)
+    first = list(order_by or ())
+    keys = [F.col(k).asc_nulls_first() for k in [*first, *(c for c in df.columns if c not in first)]]
+    return df.orderBy(*keys).offset((page - 1) * limit).limit(limit)
 
 
 def count_table(df: DataFrame) -> DataFrame:
@@ -197,26 +152,6 @@ def register_lake_views(spark: SparkSession, lake_root: str, fmt: str = "parquet
     return names
 
 
-_COMMENT_OR_STRING = re.compile(r"--[^\n]*|/\*.*?\*/|'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|`[^`]*`", re.S)
-
-
-def _has_top_level_limit(text: str) -> bool:
-    """True when the statement's own result is limited (a LIMIT outside any
-    parentheses); identifiers such as ``Limit_X`` and limits inside subqueries
-    do not count."""
-    stripped = _COMMENT_OR_STRING.sub(" ", text)
-    depth = 0
-    for tok in re.finditer(r"[()]|\b[A-Za-z_][A-Za-z0-9_]*\b", stripped):
-        t = tok.group(0)
-        if t == "(":
-            depth += 1
-        elif t == ")":
-            depth -= 1
-        elif depth == 0 and t.upper() == "LIMIT":
-            return True
-    return False
-
-
 def clean_sql(text: str) -> str:
     text = text.strip()
     if text.endswith(";"):
@@ -224,19 +159,19 @@ def clean_sql(text: str) -> str:
     return text
 
 
-def run_sql(spark: SparkSession, text: str, cap: int = DEFAULT_SQL_CAP) -> DataFrame:
-    """Q8: read-only free SQL over the registered views.
+def run_sql(spark: SparkSession, text: str, cap: int | None = None) -> DataFrame:
+    """Q8: free SQL over the registered views; only queries run, no DDL or DML.
 
     Trims the text and one trailing ``;``. The statement is first analysed as
-    a subquery, so DDL/DML cannot run. Unless the statement limits its own
-    result, the DataFrame is capped at ``cap`` rows. NaN becomes null (F6).
+    a subquery, so DDL/DML cannot run. All rows are returned unless ``cap``
+    is given. NaN becomes null (F6). Functions that reach outside the views
+    (reflection, script transforms, path relations) are not refused: run
+    untrusted text in a session that has no rights beyond them.
     """
     text = clean_sql(text)
     spark.sql(f"SELECT * FROM (\n{text}\n)")  # analysis only: rejects non-queries
-    df = spark.sql(text)
-    if cap is not None and not _has_top_level_limit(text):
-        df = df.limit(cap)
-    return nan_to_null(df)
+    df = nan_to_null(spark.sql(text))
+    return df if cap is None else df.limit(cap)
 
 
 # ------------------------------------------------------------- catalogue
@@ -303,17 +238,19 @@ def table_page_response(
 def query_response(
     spark: SparkSession, lake_root: str | None, text: str, cap: int = DEFAULT_SQL_CAP, log=None, fmt: str = "parquet"
 ) -> dict:
-    """Q7 + Q8 as a response: ``{"data", "latency_ms"}`` (logged as
-    ``serve/query`` when a ``RunLog`` is given)."""
+    """Q7 + Q8 as a response: ``{"data", "truncated", "latency_ms"}`` (logged as
+    ``serve/query`` when a ``RunLog`` is given). At most ``cap`` rows are sent;
+    ``truncated`` says that there are more."""
     import time
 
     started = time.time()
     if lake_root:
         register_lake_views(spark, lake_root, fmt)
-    data = _records(run_sql(spark, text, cap))
+    data = _records(run_sql(spark, text, cap + 1))
+    data, truncated = data[:cap], len(data) > cap
     if log is not None:
         log.record("serve/query", started, len(data))
-    return {"data": data, "latency_ms": round((time.time() - started) * 1000, 2)}
+    return {"data": data, "truncated": truncated, "latency_ms": round((time.time() - started) * 1000, 2)}
 
 
 def dashboard_response(spark: SparkSession, lake_root: str, fmt: str = "parquet", log=None) -> dict:

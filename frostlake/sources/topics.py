@@ -8,7 +8,7 @@ arrival column ``seq`` (Kafka would give partition/offset).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,14 +32,15 @@ def kafka_stream(
 
     Offsets only order messages within one partition, so ``seq`` is the
     struct (broker timestamp, partition, offset): comparable across
-    partitions, and usable by ``orderBy``/``max_by`` like a number.
+    partitions, and usable by ``orderBy``/``max_by`` like a number. Expired
+    offsets fail the stream, as Spark does by default; a caller who can do
+    without them passes ``failOnDataLoss`` in ``options``.
     """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
-        .option("failOnDataLoss", "false")
     )
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
@@ -82,7 +83,9 @@ def decode_json_values(
     A value is rejected (``_corrupt_record`` holds its text) when it is not
     one JSON object: malformed text, an array, a scalar or ``null`` (PERMISSIVE
     ``from_json`` reports all of these). A null or blank value is reported as
-    ``""``. A missing field is null, not a rejection.
+    ``""``. A missing field is null, and so is one whose value does not have
+    the field's type: the record stays. Numbers may come as text, and a whole
+    number as a decimal (``1000.0``) in an integer field.
 
     The text is parsed exactly once per message: the parsed struct is
     expanded by a one-element ``inline`` generator, which predicates (such as
@@ -90,12 +93,26 @@ def decode_json_values(
     let the optimizer copy ``from_json`` into every filter and field. Works on
     batch and streaming DataFrames alike.
     """
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    # parsed as text, so that no field's type can reject the message
+    as_text = [T.StructField(f.name, T.StringType(), True) for f in schema.fields]
+    with_corrupt = T.StructType([*as_text, T.StructField(CORRUPT, T.StringType(), True)])
     text = F.col(value_column).cast("string")
     blank = F.coalesce(F.length(F.trim(text)), F.lit(0)) == 0
     safe = F.when(blank, F.lit('""')).otherwise(text)
     parsed = F.from_json(safe, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return df.select(*[F.col(k) for k in keep], F.inline(F.array(parsed)))
+    rows = df.select(*[F.col(k) for k in keep], F.inline(F.array(parsed)))
+    return rows.select(*keep, *[_typed(f).alias(f.name) for f in schema.fields], CORRUPT)
+
+
+def _typed(field: T.StructField) -> Column:
+    text = F.col(field.name)
+    if isinstance(field.dataType, T.StringType):
+        return text
+    value = text.try_cast(field.dataType)
+    if isinstance(field.dataType, T.IntegralType):
+        number = text.try_cast(T.DoubleType())
+        return F.coalesce(value, F.when(number == F.floor(number), number.try_cast(field.dataType)))
+    return value
 
 
 def accepted(decoded: DataFrame) -> DataFrame:

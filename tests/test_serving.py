@@ -23,25 +23,20 @@ def lake(spark):
     return root
 
 
-def test_top_level_limit_detection():
-    f = S._has_top_level_limit
-    assert f("SELECT * FROM t LIMIT 5")
-    assert f("select * from t order by a limit 5")
-    assert not f("SELECT Limit_X FROM t")
-    assert not f("SELECT * FROM (SELECT * FROM t LIMIT 5) x")
-    assert not f("SELECT 'LIMIT 3' AS s FROM t")
-    assert not f("SELECT * FROM t -- LIMIT 3")
-    assert not f('SELECT "limit" FROM t')
-
-
-def test_run_sql_caps_and_trims(spark, lake):
+def test_run_sql_caps_only_when_asked(spark, lake):
     n_silver = spark.table("silver").count()
-    assert S.run_sql(spark, "SELECT * FROM silver;").count() == min(n_silver, 1000)
+    assert S.run_sql(spark, " SELECT * FROM silver ; ").count() == n_silver
     assert S.run_sql(spark, "SELECT * FROM silver;", cap=100).count() == 100
-    assert S.run_sql(spark, "  SELECT * FROM silver LIMIT 500 ; ", cap=100).count() == 500
-    assert S.run_sql(spark, "SELECT * FROM silver", cap=10).count() == 10
-    n = spark.table("gold_mart_pump_maintenance").count()
-    assert S.run_sql(spark, "SELECT * FROM gold_mart_pump_maintenance").count() == n
+    assert S.run_sql(spark, "SELECT id AS limit FROM range(5000)").count() == 5000
+    some = S.query_response(spark, lake, "SELECT id AS limit FROM range(50)", cap=20)
+    assert len(some["data"]) == 20 and some["truncated"]
+    assert not S.query_response(spark, lake, "SELECT id FROM range(20)", cap=20)["truncated"]
+
+
+def test_run_sql_takes_unnamed_and_equal_columns(spark, lake):
+    assert S.run_sql(spark, "SELECT 1.5, sum(id * 0.12) FROM range(3) GROUP BY id % 2").count() == 2
+    both = S.run_sql(spark, "SELECT * FROM range(3) a JOIN (SELECT id, CAST('NaN' AS DOUBLE) AS x FROM range(3)) b ON a.id = b.id")
+    assert both.columns == ["id", "id", "x"] and [tuple(r) for r in both.collect()] == [(i, i, None) for i in range(3)]
 
 
 def test_run_sql_with_cte_and_order(spark, lake):
@@ -122,12 +117,10 @@ def test_response_shapes(spark, lake):
     assert dates == sorted(dates)
 
 
-def test_deep_page_path_equals_top_k(spark, lake):
-    df = spark.table("gold_fact_hourly_telemetry")
-    for page, limit in ((1, 7), (3, 50), (40, 13), (10_000, 50)):
-        a = [tuple(r) for r in S.page_table(df, page, limit).collect()]
-        b = [tuple(r) for r in S.page_table(df, page, limit, top_k_rows=0).collect()]
-        assert a == b, (page, limit)
+def test_pages_by_a_partial_key_fit_together(spark):
+    df = spark.range(60).selectExpr("id % 3 AS k", "id AS v").repartition(7)
+    rows = [tuple(r) for page in (1, 2, 3, 4) for r in S.page_table(df, page, 20, order_by=["k"]).collect()]
+    assert rows == sorted((i % 3, i) for i in range(60))
 
 
 def test_format_detection(spark, lake, tmp_dir):

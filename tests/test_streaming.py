@@ -184,3 +184,20 @@ def test_stream_rejects_bad_messages_and_counts_accepted(spark, tmp_dir):
     assert v["latest_reading"].collect()[0].seq == 4
     archived = spark.read.json(f"{tmp_dir}/views/archive").select("seq").collect()
     assert sorted(r.seq for r in archived) == [1, 2, 3, 4]  # the archive keeps every decoded message
+
+
+def test_decode_keeps_records_with_bad_fields(spark):
+    from frostlake.sources.topics import accepted, decode_json_values, rejected
+
+    values = [
+        '{"Pump_Hours":1234.5,"Device_ID":"a"}', '{"Pump_Hours":1000.0,"Device_ID":"b"}', '{"CO2_Level_PPM":"n/a","Device_ID":"c"}',
+        '{"Entering_Chilled_Water_Temperature_Sensor":"70.0","Device_ID":"d"}', '{"Device_ID":"e","Pump_Hours":{"x":1}}', '{"CO2_Level_PPM":"512","Device_ID":"f"}',
+        "[1, 2]", "7", '"text"', "null", "{broken", "", None,
+    ]
+    decoded = decode_json_values(spark.createDataFrame([(v,) for v in values], "value string"))
+    got = {r["Device_ID"]: r for r in accepted(decoded).collect()}
+    assert sorted(got) == list("abcdef")
+    assert [got[k]["Pump_Hours"] for k in "abe"] == [None, 1000, None]
+    assert (got["c"]["CO2_Level_PPM"], got["f"]["CO2_Level_PPM"]) == (None, 512)
+    assert got["d"]["Entering_Chilled_Water_Temperature_Sensor"] == 70.0
+    assert rejected(decoded).count() == 7
