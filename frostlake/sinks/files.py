@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,7 +46,9 @@ def write_layer(
     if path_exists(spark, path) and not overwrite_schema:
         try:
             old = spark.read.format(fmt).load(path).schema
-        except Exception:  # noqa: BLE001 - unreadable old layer: nothing to protect
+        except AnalysisException as e:  # an empty folder has nothing to protect; any other failure stops the write
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             old = None
         if old is not None and _schema_signature(old) != _schema_signature(df.schema):
             raise SchemaMismatch(

@@ -24,6 +24,18 @@ def test_write_layer_guards_schema(spark, tmp_dir):
     assert spark.read.parquet(path).dtypes == [("id", "int"), ("s", "double")]
 
 
+def test_write_layer_stops_if_the_old_layer_is_unreadable(spark, tmp_dir):
+    df = spark.createDataFrame([(1,)], "id int")
+    os.makedirs(f"{tmp_dir}/empty")
+    assert K.write_layer(df, f"{tmp_dir}/empty") == 1
+    os.makedirs(f"{tmp_dir}/broken")
+    with open(f"{tmp_dir}/broken/part-0.parquet", "wb") as f:
+        f.write(b"not parquet at all")
+    with pytest.raises(Exception):
+        K.write_layer(df, f"{tmp_dir}/broken")
+    assert os.path.exists(f"{tmp_dir}/broken/part-0.parquet")
+
+
 def test_export_csv_quotes_and_nulls(spark, tmp_dir):
     df = spark.createDataFrame([("a\"b", None, 1.5), ("plain", "x,y", None)], "s string, t string, v double")
     out = f"{tmp_dir}/csv"
