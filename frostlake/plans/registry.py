@@ -30,6 +30,9 @@ from frostlake.streaming import live as L
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Folders of a written lake that hold tables.
+LAKE_FOLDERS = ("batch", "staging", "silver", *(f"gold/{t}" for t in G.GOLD_TABLES))
+
 
 def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(staging(telemetry(spark, sf_dir)))
@@ -59,6 +62,13 @@ def _medallion() -> dict[str, Query]:
     return qs
 
 
+def _page_table_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5 by a key with many ties: three pages in a row hold each row once."""
+    df = gold_of(spark, sf_dir, "fact_hourly_telemetry")
+    pages = [S.page_table(df, page, 50, ["Hour_of_Day"]) for page in (2, 3, 4)]
+    return pages[0].unionByName(pages[1]).unionByName(pages[2])
+
+
 def _dashboard() -> dict[str, Query]:
     return {
         "dashboard_daily_costs": dashboard_daily_costs,
@@ -70,6 +80,7 @@ def _dashboard() -> dict[str, Query]:
             gold_of(s, d, "mart_daily_costs"), gold_of(s, d, "mart_sla_breach_summary")
         ),
         "page_table": lambda s, d: S.page_table(gold_of(s, d, "fact_hourly_telemetry"), page=3, limit=50),
+        "page_table_ties": _page_table_ties,
         "count_table": lambda s, d: S.count_table(silver_of(s, d)),
     }
 
@@ -139,7 +150,9 @@ def _lake_io() -> dict[str, Query]:
         "export_json": _export_json,
         "encode_keyed_json": _encode_keyed_json,
         "pipeline_run_log": lambda s, d: s.read.parquet(f"{workspace(s, d).lake}/_runs"),
+        "pipeline_run_rows": lambda s, d: s.read.parquet(f"{workspace(s, d).lake}/_runs").select("stage", "rows"),
         "lake_manifest": lambda s, d: K.lake_manifest(s, workspace(s, d).lake),
+        "lake_manifest_rows": lambda s, d: K.layer_row_counts(s, workspace(s, d).lake, LAKE_FOLDERS),
     }
 
 
@@ -161,6 +174,19 @@ def lake_view_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def lake_table_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q9 with what each listed table holds: its rows and columns, as read from the lake."""
+    lake = workspace(spark, sf_dir).lake
+    sizes = None
+    for layer, table in LK.list_lake_tables(spark, lake):
+        df = LK.read_layer(spark, lake, layer, table)
+        one = df.agg(F.count("*").alias("row_count")).select(
+            F.lit(S.view_name(layer, table)).alias("view_name"), "row_count", F.lit(len(df.columns)).alias("column_count")
+        )
+        sizes = one if sizes is None else sizes.unionByName(one)
+    return S.list_tables(spark, lake).join(sizes, "view_name")
+
+
 def _register_gold_views(spark: SparkSession, sf_dir: str, tables: tuple[str, ...], with_silver: bool) -> None:
     slv = silver_of(spark, sf_dir)
     frames = {f"gold_{t}": G.gold_table(slv, t) for t in tables}
@@ -189,6 +215,7 @@ def _serving_lake() -> dict[str, Query]:
         "register_lake_views": lake_view_counts,
         "run_sql": _run_sql,
         "list_tables": lambda s, d: S.list_tables(s, workspace(s, d).lake),
+        "list_table_sizes": lake_table_sizes,
     }
     for key in C.CONFORMANCE:
         out[key] = _conformance_query(key)
@@ -305,6 +332,10 @@ def _dashboard_sql() -> dict[str, str]:
             f"SELECT * FROM gold_fact_hourly_telemetry ORDER BY {HOURLY_ORDER} LIMIT 50 OFFSET 100",
             gold=("fact_hourly_telemetry",),
         ),
+        "page_table_ties": O.with_layers(
+            f"SELECT * FROM gold_fact_hourly_telemetry ORDER BY Hour_of_Day ASC NULLS FIRST, {HOURLY_ORDER} LIMIT 150 OFFSET 50",
+            gold=("fact_hourly_telemetry",),
+        ),
         "count_table": O.with_layers("SELECT COUNT(*) AS total FROM silver"),
     }
 
@@ -318,7 +349,15 @@ def _filters_sql() -> dict[str, str]:
     }
 
 
+def _row_counts(name: str) -> str:
+    """The rows of each folder of the lake."""
+    tables = {"batch": "telemetry"} | {f: f.replace("/", "_") for f in LAKE_FOLDERS if f != "batch"}
+    return "\nUNION ALL\n".join(f"SELECT '{f}' AS {name}, COUNT(*) AS rows FROM {t}" for f, t in tables.items())
+
+
 def _lake_io_sql() -> dict[str, str]:
+    # stages that write no table of their own, or many
+    untimed = "\nUNION ALL\n".join(f"SELECT '{stage}' AS stage, CAST(NULL AS BIGINT) AS rows" for stage in ("raw", "gold", "total"))
     return {
         "read_raw_json": O.with_layers("SELECT * FROM telemetry", upto="telemetry"),
         "land_raw": O.with_layers("SELECT * FROM telemetry", upto="telemetry"),
@@ -327,6 +366,8 @@ def _lake_io_sql() -> dict[str, str]:
         "export_csv": O.with_layers("SELECT * FROM gold_mart_daily_costs", gold=("mart_daily_costs",)),
         "export_json": O.with_layers("SELECT * FROM gold_mart_daily_costs", gold=("mart_daily_costs",)),
         "encode_keyed_json": O.with_live('SELECT "Device_ID" AS key, * FROM live'),
+        "pipeline_run_rows": O.with_layers(f"{_row_counts('stage')}\nUNION ALL\n{untimed}", gold=G.GOLD_TABLES),
+        "lake_manifest_rows": O.with_layers(_row_counts("layer"), gold=G.GOLD_TABLES),
     }
 
 
@@ -340,7 +381,15 @@ def _serving_lake_sql() -> dict[str, str]:
     values = ", ".join(
         f"('{layer}', {'NULL' if t is None else repr(t)}, '{'gold_' + t if t else layer}')" for layer, t in catalogue
     )
+    wide = {"batch": "telemetry", "staging": "staging", "silver": "silver"}
+    sizes = "\nUNION ALL\n".join(
+        f"SELECT '{layer}' AS layer, {'NULL' if t is None else repr(t)} AS \"table\", '{'gold_' + t if t else layer}' AS view_name, "
+        f"(SELECT COUNT(*) FROM {wide.get(layer, f'gold_{t}')}) AS row_count, "
+        f"CAST((SELECT COUNT(*) FROM (DESCRIBE SELECT * FROM {wide.get(layer, f'gold_{t}')})) AS INTEGER) AS column_count"
+        for layer, t in catalogue
+    )
     out = {
+        "list_table_sizes": O.with_layers(sizes, gold=G.GOLD_TABLES),
         "list_tables": f'SELECT * FROM (VALUES {values}) AS c(layer, "table", view_name)',
         "register_lake_views": O.with_layers("\nUNION ALL\n".join(counts), gold=G.GOLD_TABLES),
         "run_sql": O.with_layers(C.RUN_SQL_EXAMPLE.rstrip(";"), gold=C.RUN_SQL_TABLES),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import tempfile
 import uuid
 
@@ -95,41 +93,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python's os functions can use the path."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def _hadoop_fs(spark: SparkSession, path: str):
+def hadoop_fs(spark: SparkSession, path: str):
+    """The file system that Spark itself would use for ``path``: one without a
+    scheme belongs to ``fs.defaultFS``, never to the driver's own disk."""
     sc = spark.sparkContext
     p = sc._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check that works for any Hadoop file system."""
-    if is_local_path(path):
-        return os.path.exists(local_path(path))
-    fs, p = _hadoop_fs(spark, path)
+    fs, p = hadoop_fs(spark, path)
     return bool(fs.exists(p))
 
 
 def list_subdirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-folders of ``path`` (metadata only; [] if missing)."""
-    if is_local_path(path):
-        lp = local_path(path)
-        if not os.path.isdir(lp):
-            return []
-        return sorted(d for d in os.listdir(lp) if os.path.isdir(os.path.join(lp, d)))
-    fs, p = _hadoop_fs(spark, path)
+    fs, p = hadoop_fs(spark, path)
     if not fs.exists(p):
         return []
     return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
@@ -137,28 +116,15 @@ def list_subdirs(spark: SparkSession, path: str) -> list[str]:
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Recursively delete ``path`` (used to retire old stream snapshots)."""
-    if is_local_path(path):
-        shutil.rmtree(local_path(path), ignore_errors=True)
-        return
-    fs, p = _hadoop_fs(spark, path)
+    fs, p = hadoop_fs(spark, path)
     fs.delete(p, True)
 
 
 def path_size_bytes(spark: SparkSession, path: str) -> int | None:
-    """Total bytes under ``path`` from file-system metadata (no data read)."""
-    if is_local_path(path):
-        lp = local_path(path)
-        if not os.path.exists(lp):
-            return None
-        total = 0
-        for dirpath, _, files in os.walk(lp):
-            total += sum(os.path.getsize(os.path.join(dirpath, f)) for f in files)
-        return total
-    try:
-        fs, p = _hadoop_fs(spark, path)
-        return int(fs.getContentSummary(p).getLength())
-    except Exception:  # noqa: BLE001 - sizing is advisory
-        return None
+    """Total bytes under ``path`` from file-system metadata (no data read);
+    None if it is missing."""
+    fs, p = hadoop_fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else None
 
 
 def shuffle_partitions_for(

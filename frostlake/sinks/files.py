@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from frostlake.session import path_exists, scratch_path
+from frostlake.session import hadoop_fs, path_exists, scratch_path
 
 
 class SchemaMismatch(ValueError):
@@ -187,14 +187,39 @@ class RunLog:
 # ------------------------------------------------------------------ manifest
 
 
-def lake_manifest(spark: SparkSession, root: str) -> DataFrame:
+FILE_STATUS_SCHEMA = "path string, length bigint, modificationTime timestamp"
+
+
+def _hidden_files(spark: SparkSession, root: str) -> list[tuple]:
+    """Files that the file source skips: those with a ``_`` or ``.`` name, or
+    in such a folder (``_SUCCESS``, ``_runs``, a table log). Globbed level by
+    level inside the file system, so that only their names reach Python."""
+    fs, top = hadoop_fs(spark, root)
+    glob = lambda text: fs.globStatus(hadoop_fs(spark, text)[1]) or ()
+    found: dict[str, tuple] = {}
+    level = top.toString()
+    while len(glob(f"{level}/*")):
+        for st in glob(f"{level}/{{_,.}}*"):
+            inside = fs.listFiles(st.getPath(), True)
+            while inside.hasNext():
+                file = inside.next()
+                path, when = file.getPath().toString(), dt.datetime.fromtimestamp(file.getModificationTime() / 1000, tz=dt.timezone.utc)
+                found[path] = (path, file.getLen(), when)
+        level += "/*"
+    return list(found.values())
+
+
+def lake_manifest(spark: SparkSession, root: str, hidden: bool = False) -> DataFrame:
     """K8: every data file under ``root`` with its path relative to the root.
 
     ``binaryFile`` only reads file contents when the ``content`` column is
-    selected, so this is a distributed listing. Hidden names (``_``/``.``
-    prefixes, e.g. ``_SUCCESS``, CRC files) are skipped by the file source.
+    selected, so this is a distributed listing. The source skips hidden
+    names; with ``hidden`` those files (table logs, run logs, markers) are
+    listed too, so that a copy made from the manifest is a whole lake.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).drop("content")
+    if hidden:
+        files = files.unionByName(spark.createDataFrame(_hidden_files(spark, root), FILE_STATUS_SCHEMA))
     base = root.rstrip("/").split(":", 1)[-1].lstrip("/")
     rel = F.regexp_extract(F.col("path"), r"^.*?\Q" + base + r"\E/(.*)$", 1)
     return files.select(
@@ -203,3 +228,19 @@ def lake_manifest(spark: SparkSession, root: str) -> DataFrame:
         F.col("length"),
         F.col("modificationTime").alias("modification_time"),
     )
+
+
+def layer_row_counts(spark: SparkSession, root: str, layers: Sequence[str]) -> DataFrame:
+    """``(layer, rows)``: the rows each data file holds, joined to the
+    manifest by path and summed by layer folder. Reads Parquet footers only.
+    Rows of a file that the manifest lacks are missing from the sum."""
+    listed = lake_manifest(spark, root)
+    per_file = None
+    for layer in layers:
+        one = spark.read.parquet(f"{root}/{layer}").select(F.col("_metadata.file_path").alias("path"))
+        one = one.groupBy("path").agg(F.count("*").alias("rows")).withColumn("layer", F.lit(layer))
+        per_file = one if per_file is None else per_file.unionByName(one)
+    # the two sources write a local path with one or three slashes
+    same = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    both = per_file.withColumn("path", same("path")).join(listed.select(same("path").alias("path")), "path")
+    return both.groupBy("layer").agg(F.sum("rows").alias("rows"))
