@@ -12,7 +12,12 @@ Scale notes
   columns, partially combined before the shuffle. Its shuffle width is derived
   from the batch layer's size on storage (``shuffle_partitions_for``), never
   below the session default; AQE coalesces small partitions.
-* silver is narrow; optionally ``partition_by=("Date",)`` for pruned reads.
+* silver is written range-clustered by day, hour and device, so that a
+  device-hour lies in one or two files: gold's partial aggregates then shrink
+  to about one row a group before their shuffle, files hold few days (pruned
+  by their footers), and ``partition_by=("Date",)`` writes few files a day. A
+  device-hour that holds much of the data is split by its readings' times.
+* gold's shuffles are sized from silver's bytes, as staging's from batch's.
 * gold (shared form) scans silver twice: once into hourly partial states,
   once for the three off-grain dimensions. Both results are small and are
   written as Parquet tables in the shared checkpoint folder (computed once,
@@ -30,6 +35,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from frostlake.operators import gold as G
 from frostlake.operators.silver import DEFAULT_RULES, SilverRules, silver
@@ -63,6 +69,12 @@ def _shuffle_partitions(spark: SparkSession, n: int):
         spark.conf.set(key, old)
 
 
+def clustered(silver_df: DataFrame, partitions: int) -> DataFrame:
+    """``silver_df`` in ranges of day, hour and device; the hash of a reading's
+    time splits a device-hour that is larger than a range."""
+    return silver_df.repartitionByRange(partitions, "Date", "Hour_of_Day", "Device_ID", F.xxhash64("timestamp"))
+
+
 def build_gold(
     spark: SparkSession,
     silver_df: DataFrame,
@@ -117,8 +129,9 @@ def run_pipeline(
 
     t = time.time()
     stg = read_layer(spark, lake_root, "staging", fmt=fmt)
+    width = shuffle_partitions_for(spark, resolve_table(lake_root, "staging"))
     n = write_layer(
-        silver(stg, config.rules),
+        clustered(silver(stg, config.rules), width),
         resolve_table(lake_root, "silver"),
         fmt,
         config.overwrite_schema,
@@ -129,7 +142,8 @@ def run_pipeline(
     t_gold = time.time()
     slv = read_layer(spark, lake_root, "silver", fmt=fmt)
     scratch: list[str] = []
-    tables = build_gold(spark, slv, config.gold_form, config.rules.rounding, scratch)
+    with _shuffle_partitions(spark, shuffle_partitions_for(spark, resolve_table(lake_root, "silver"))):
+        tables = build_gold(spark, slv, config.gold_form, config.rules.rounding, scratch)
 
     def write_one(item):
         name, df = item

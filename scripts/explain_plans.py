@@ -29,6 +29,26 @@ def final_plan_text(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def partial_rows(df) -> tuple[int, int]:
+    """(rows of the partial aggregate, groups) of a one-aggregate query, from the plan's own metrics."""
+    groups = len(df.collect())
+    node = df._jdf.queryExecution().executedPlan()
+    found = []
+
+    def walk(p):
+        if p.nodeName() == "AdaptiveSparkPlan":
+            return walk(p.executedPlan())
+        if p.nodeName().endswith("QueryStage"):
+            return walk(p.plan())
+        if p.nodeName() == "HashAggregate" and "partial_" in p.toString().splitlines()[0]:
+            found.append(int(p.metrics().apply("numOutputRows").value()))
+        for i in range(p.children().size()):
+            walk(p.children().apply(i))
+
+    walk(node)
+    return found[-1], groups
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", shuffle_partitions=8)
@@ -46,6 +66,8 @@ def main() -> None:
         "page_table(silver)": S.page_table(silver, 3, 50),
         "sql_left_join_costs_breaches": spark.sql(CONFORMANCE["sql_left_join_costs_breaches"][0]),
     }
+    got, groups = partial_rows(G.hourly_partials(silver))
+    print(f"hourly_partials over {len(silver.inputFiles())} files: {got} partial rows for {groups} groups ({got / groups:.2f})")
     for name, df in cases.items():
         print(f"\n===== {name}")
         df.explain("formatted")
