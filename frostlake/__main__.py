@@ -6,7 +6,7 @@
     python -m frostlake sql LAKE "SELECT ..." [--cap 1000]
     python -m frostlake dashboard LAKE
     python -m frostlake export LAKE LAYER [TABLE] --out DIR [--format csv|json] [--page 1] [--limit 50]
-    python -m frostlake drain (--files DIR | --kafka SERVERS --topic T) --out OUT --checkpoint CK
+    python -m frostlake drain (--files DIR | --kafka SERVERS --topic T) --out OUT --checkpoint CK [--rejects DIR]
     python -m frostlake live (--files DIR | --kafka SERVERS --topic T) --root ROOT --checkpoint CK [--once]
 
 Serving commands print JSON. On a cluster, run through spark-submit and let
@@ -35,12 +35,21 @@ def _print(obj) -> None:
     sys.stdout.write("\n")
 
 
+def _values(spark, args):
+    """The messages, undecoded."""
+    from frostlake.sources import topics as TP
+
+    if args.kafka:
+        return TP.kafka_stream(spark, args.kafka, args.topic, args.starting_offsets)
+    return TP.file_value_stream(spark, args.files, max_files_per_trigger=args.max_files_per_trigger)
+
+
 def _stream_source(spark, args):
     from frostlake.sources import topics as TP
 
+    values = _values(spark, args)
     if args.kafka:
-        return TP.decode_topic(TP.kafka_stream(spark, args.kafka, args.topic, args.starting_offsets))
-    values = TP.file_value_stream(spark, args.files, max_files_per_trigger=args.max_files_per_trigger)
+        return TP.decode_topic(values)
     return TP.accepted(TP.decode_json_values(values, TP.live_schema_with_seq()))
 
 
@@ -94,6 +103,7 @@ def main(argv: list[str] | None = None) -> int:
         a.add_argument("--checkpoint", required=True)
         if name == "drain":
             a.add_argument("--out", required=True)
+            a.add_argument("--rejects", help="folder for messages that are no JSON object")
         else:
             a.add_argument("--root", required=True)
             a.add_argument("--once", action="store_true", help="process what is available, then stop")
@@ -140,8 +150,10 @@ def main(argv: list[str] | None = None) -> int:
         (export_csv if args.format == "csv" else export_json)(page, args.out, single_file=True)
         _print({"exported": args.out, "format": args.format, "page": args.page, "limit": args.limit})
     elif args.cmd == "drain":
-        from frostlake.streaming.live import start_dump_json
+        from frostlake.streaming.live import start_dump_json, start_dump_rejects
 
+        if args.rejects:
+            start_dump_rejects(_values(spark, args), args.rejects, f"{args.checkpoint.rstrip('/')}-rejects").awaitTermination()
         start_dump_json(_stream_source(spark, args), args.out, args.checkpoint).awaitTermination()
     elif args.cmd == "live":
         from frostlake.streaming.live import start_live_views

@@ -25,7 +25,7 @@ from frostlake.session import path_exists, scratch_path
 from frostlake.sinks import files as K
 from frostlake.sources import lake as LK
 from frostlake.sources import topics as TP
-from frostlake.sources.fixtures import live, telemetry
+from frostlake.sources.fixtures import dirty_messages_sql, live, telemetry
 from frostlake.streaming import live as L
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -265,6 +265,8 @@ def _streaming() -> dict[str, Query]:
             TP.decode_json_values(s.read.text(workspace(s, d).live_json), schema)
         ),
         "drain_topic": lambda s, d: s.read.schema(schema).json(workspace(s, d).live_drained),
+        "drain_dirty_topic": lambda s, d: s.read.schema(schema).json(workspace(s, d).dirty_accepted),
+        "rejected_messages": lambda s, d: s.read.schema("message string").json(workspace(s, d).dirty_rejects),
         "live_non_null": lambda s, d: s.read.schema(schema).json(workspace(s, d).live_accepted),
         "empty_source_fallback": _drain_fallback,
         "tail_topic": _tail,
@@ -403,7 +405,17 @@ def _streaming_sql() -> dict[str, str]:
     cols = ", ".join(f'"{c}"' for c in ("seq",) + LIVE_FIELDS)
     ok = 'WHERE "Entering_Chilled_Water_Temperature_Sensor" IS NOT NULL'
     newest = f"SELECT {cols} FROM live {ok} ORDER BY seq DESC LIMIT 1"
+    absent = ", ".join(
+        f'CAST(NULL AS {"VARCHAR" if c == "timestamp" or c == "Active_Fault_Code" else "DOUBLE"}) AS "{c}"'
+        for c in LIVE_FIELDS
+        if c not in ("Device_ID", "Pump_Hours", "CO2_Level_PPM")
+    )
     return {
+        "drain_dirty_topic": f"SELECT event_id AS seq, {absent}, 'C' || CAST(user_id AS VARCHAR) AS \"Device_ID\", "
+        'CASE WHEN event_id % 9 <> 2 THEN CAST(event_id AS BIGINT) END AS "Pump_Hours", '
+        'CASE WHEN event_id % 9 <> 4 THEN CAST(410 AS BIGINT) END AS "CO2_Level_PPM" FROM events WHERE event_id % 9 < 5',
+        "rejected_messages": f"SELECT CASE WHEN trim(value) = '' THEN '\"\"' ELSE value END AS message "
+        f"FROM ({dirty_messages_sql()}) WHERE kind >= 5",
         "decode_json_values": O.with_live(f"SELECT {cols} FROM live"),
         "drain_topic": O.with_live(f"SELECT {cols} FROM live"),
         "live_non_null": O.with_live(f"SELECT {cols} FROM live {ok}"),

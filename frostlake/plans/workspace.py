@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from frostlake.plans.medallion import run_pipeline
 from frostlake.session import app_id, scratch_path
 from frostlake.sinks.files import dump_json
-from frostlake.sources.fixtures import live, telemetry
+from frostlake.sources.fixtures import dirty_messages, live, telemetry
 from frostlake.sources.topics import accepted, decode_json_values, file_value_stream, live_schema_with_seq
 from frostlake.streaming import live as L
 
@@ -70,6 +70,24 @@ class Workspace:
 
         return self._once("live_json", build)
 
+    @property
+    def dirty_text(self) -> str:
+        """Messages of every good and bad kind, one a line."""
+        return self._once("dirty_text", lambda p: dirty_messages(self.spark, self.sf_dir).select("value").write.text(p))
+
+    def _drained_dirty(self, name: str, start) -> str:
+        values = file_value_stream(self.spark, self.dirty_text)
+        return self._once(name, lambda p: start(values, p, f"{self.root}/_ckpt/{name}").awaitTermination())
+
+    @property
+    def dirty_accepted(self) -> str:
+        decode = lambda v: accepted(decode_json_values(v, live_schema_with_seq()))
+        return self._drained_dirty("dirty_accepted", lambda v, p, c: L.start_dump_json(decode(v), p, c))
+
+    @property
+    def dirty_rejects(self) -> str:
+        return self._drained_dirty("dirty_rejects", L.start_dump_rejects)
+
     @property
     def live_drained(self) -> str:
         """S4 + K3: everything decodable drained into JSON lines (the drain's

@@ -166,6 +166,34 @@ def live_from_events(events: DataFrame) -> DataFrame:
     return events.selectExpr(*live_select_list("spark"))
 
 
+#: Kinds of message in the dirty topic, dealt by ``event_id``; the last four are no JSON object.
+DIRTY_KINDS = 9
+_DIRTY_VALUES = (
+    """'{"seq":' || id || ',"Device_ID":"C' || dev || '","Pump_Hours":' || id || ',"CO2_Level_PPM":410}'""",
+    """'{"seq":' || id || ',"Device_ID":"C' || dev || '","Pump_Hours":' || id || '.0,"CO2_Level_PPM":410}'""",
+    """'{"seq":' || id || ',"Device_ID":"C' || dev || '","Pump_Hours":' || id || '.5,"CO2_Level_PPM":410}'""",
+    """'{"seq":' || id || ',"Device_ID":"C' || dev || '","Pump_Hours":"' || id || '","CO2_Level_PPM":"410"}'""",
+    """'{"seq":' || id || ',"Device_ID":"C' || dev || '","Pump_Hours":' || id || ',"CO2_Level_PPM":"n/a"}'""",
+    """'[' || id || ',' || dev || ']'""",
+    """'{"seq":' || id || ',"Device_ID":'""",
+    "'   '",
+    "'null'",
+)
+
+
+_DIRTY_KEYS = ("event_id AS seq", f"event_id % {DIRTY_KINDS} AS kind", "CAST(event_id AS STRING) AS id", "CAST(user_id AS STRING) AS dev")
+_DIRTY_VALUE = "CASE kind " + " ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(_DIRTY_VALUES)) + " END AS value"
+
+
+def dirty_messages_sql(events: str = "events") -> str:
+    """(seq, kind, value): one message text per event, in SQL that both engines read."""
+    return f"SELECT seq, kind, {_DIRTY_VALUE} FROM (SELECT {', '.join(_DIRTY_KEYS)} FROM {events})"
+
+
+def dirty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_events(spark, sf_dir).selectExpr(*_DIRTY_KEYS).selectExpr("seq", "kind", _DIRTY_VALUE)
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
@@ -179,7 +207,10 @@ def live(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = [
+    "DIRTY_KINDS",
     "SEQ_COLUMN",
+    "dirty_messages",
+    "dirty_messages_sql",
     "live",
     "live_from_events",
     "live_sql",

@@ -223,6 +223,18 @@ def start_dump_json(
     return w.start()
 
 
+def start_dump_rejects(
+    values: DataFrame, path: str, checkpoint: str, available_now: bool = True, processing_time: str = "1 second"
+) -> StreamingQuery:
+    """The text (``message``) of every message of ``values`` that is no JSON object, as
+    JSON lines: nothing that S6 rejects is lost without a trace."""
+    from frostlake.sources.topics import CORRUPT, decode_json_values, rejected
+
+    # a JSON reader would take the corrupt column's own name for its report
+    messages = rejected(decode_json_values(values)).withColumnRenamed(CORRUPT, "message")
+    return start_dump_json(messages, path, checkpoint, available_now, processing_time)
+
+
 def accepted_live(decoded_stream: DataFrame) -> DataFrame:
     """F5 over decoded records: the messages the live views count."""
     return live_non_null(decoded_stream)
@@ -324,16 +336,22 @@ def drain_topic(
     out_path: str,
     checkpoint: str,
     options: dict | None = None,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
     """S4 + K3: drain everything not yet consumed (from the earliest offsets
     on the first run, then from the checkpoint) into JSON lines, and stop.
 
     The end offsets are fixed when the run starts (``availableNow``); a
-    second drain reads only what arrived since. Needs the Kafka connector.
+    second drain reads only what arrived since. With ``rejects_path``, a
+    query with its own checkpoint (``<checkpoint>-rejects``) writes the
+    messages that are no JSON object there. Needs the Kafka connector.
     """
     from frostlake.sources.topics import decode_topic, kafka_stream
 
-    stream = decode_topic(kafka_stream(spark, bootstrap_servers, topic, "earliest", options))
+    values = kafka_stream(spark, bootstrap_servers, topic, "earliest", options)
+    if rejects_path:
+        start_dump_rejects(values, rejects_path, f"{checkpoint.rstrip('/')}-rejects").awaitTermination()
+    stream = decode_topic(values)
     q = start_dump_json(stream, out_path, checkpoint, available_now=True)
     q.awaitTermination()
     return q
