@@ -125,10 +125,10 @@ def _index(terms, gap: int, schema: pa.Schema):
     return run
 
 
-def _phrases(lists: dict[int, np.ndarray], window: tuple[int, ...], count: dict[int, int]) -> np.ndarray:
-    """Positions at which the window begins."""
+def _phrases(lists: dict[int, np.ndarray], window: tuple[int, ...], count: dict[int, int], places: np.ndarray | None = None) -> np.ndarray:
+    """Positions at which the window begins; ``places`` are those of the rarest term, if fewer come into question."""
     order = sorted(range(len(window)), key=lambda k: (count[window[k]], k))
-    begin = lists[window[order[0]]] - order[0]
+    begin = (lists[window[order[0]]] if places is None else places) - order[0]
     for k in order[1:]:
         if not len(begin):
             break
@@ -139,27 +139,32 @@ def _phrases(lists: dict[int, np.ndarray], window: tuple[int, ...], count: dict[
     return begin
 
 
-def _near(lists: dict[int, np.ndarray], window: tuple[int, ...], count: dict[int, int], span: int) -> np.ndarray:
-    """Positions from which all distinct terms of the window occur within ``span`` words, one of them there."""
-    terms = sorted(set(window), key=lambda t: (count[t], t))
-    rare = lists[terms[0]]
-    for t in terms[1:]:  # the rarest term's places that have every other term around
+def _places(lists: dict[int, np.ndarray], window: tuple[int, ...], count: dict[int, int], span: int) -> np.ndarray:
+    """The rarest term's places that have each other term less than ``span`` words away; every phrase and
+    every near match holds one."""
+    first, *others = sorted(set(window), key=lambda t: (count[t], window.index(t)))
+    rare = lists[first]
+    for t in others:
+        if not len(rare):
+            break
         own = lists[t]
         i = np.searchsorted(own, rare - span + 1)
-        ok = i < len(own)
-        ok[ok] = own[i[ok]] < rare[ok] + span
-        rare = rare[ok]
-        if not len(rare):
-            return rare
+        i[i == len(own)] = 0  # all of own is then below by span or more
+        rare = rare[np.abs(own[i] - rare) < span]
+    return rare
+
+
+def _near(lists: dict[int, np.ndarray], window: tuple[int, ...], span: int, rare: np.ndarray) -> np.ndarray:
+    """Positions from which all distinct terms of the window occur within ``span`` words, one of them
+    there; ``rare`` are the places of ``_places``."""
     begin = []
-    for t in terms:  # a spanning stretch begins at some term, at most span - 1 before the rarest one
+    for t in set(window):  # a spanning stretch begins at some term, at most span - 1 before the rarest one
         own = lists[t]
-        i = np.searchsorted(rare, own)
-        ok = i < len(rare)
-        ok[ok] = rare[i[ok]] < own[ok] + span
-        begin.append(own[ok])
+        low = np.searchsorted(own, rare - span + 1)
+        size = np.searchsorted(own, rare, side="right") - low
+        begin.append(own[np.repeat(low - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())])
     begin = np.unique(np.concatenate(begin))
-    for t in terms:
+    for t in set(window):
         own = lists[t]
         i = np.searchsorted(own, begin)
         ok = i < len(own)
@@ -183,7 +188,11 @@ def _search(block, counts, slop: int | None):
             for t in window:
                 if t not in lists:
                     lists[t] = np.cumsum(unvarint(data[t]))
-            for kind, begin, size in (("phrase", _phrases(lists, window, count), len(window)), ("near", _near(lists, window, count, len(window) + slop) if slop is not None else (), len(window) + (slop or 0))):
+            rare = None if slop is None else _places(lists, window, count, len(window) + slop)
+            if rare is not None and not len(rare):
+                continue
+            near = () if rare is None else _near(lists, window, len(window) + slop, rare)
+            for kind, begin, size in (("phrase", _phrases(lists, window, count, rare), len(window)), ("near", near, len(window) + (slop or 0))):
                 if len(begin):
                     doc = np.searchsorted(starts, begin, side="right") - 1
                     first = begin - starts[doc]
