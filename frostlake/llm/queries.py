@@ -80,7 +80,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup(_table(spark, sf_dir, "documents"), max_bits=3, similarity=0.8)
+    found = line_dedup(_table(spark, sf_dir, "documents"), max_bits=None, similarity=0.8)
     return found.select("doc_id", "n_lines", "n_dropped", "kept_text")
 
 

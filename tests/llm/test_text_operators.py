@@ -151,6 +151,29 @@ def test_line_dedup(spark):
     assert line_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_line_dedup_by_edit_similarity_alone(spark):
+    r = random.Random(12)
+    vocabulary = [f"{r.choice('bcdfgh')}{k}{r.choice(['a', 'ough', 'ing'])}" for k in range(4000)]
+    base = [" ".join(r.choice(vocabulary) for _ in range(n)) for n in (1, 2, 2, 3, 4, 5, 6, 8, 10, 14, 20, 30, 50) for _ in range(3)]
+
+    def line():
+        words = r.choice(base).split()
+        for _ in range(r.randint(0, 1 + len(words) // 10)):
+            k = r.randrange(len(words))
+            words[k] = r.choice([r.choice(vocabulary), words[k][1:] or "x", words[k] + "s"])
+        text = " ".join(words)
+        k = r.randrange(len(text))
+        return r.choice([text, text[:k] + r.choice("xyz ") + text[k + r.randint(0, 1) :]])
+
+    rows = [(i, "\n".join(line() for _ in range(3))) for i in range(25)]
+    rows += [(97, "same " * 30), (98, "same " * 29 + "other"), (99, "Chapter 12"), (100, "Chapter 13"), (101, "ab"), (102, "ac")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    by_rule = lambda bits: sorted(((x["doc_id"], x["n_lines"], x["n_dropped"], x["kept_text"]) for x in line_dedup(docs, max_bits=bits).collect()), key=str)
+    wanted = sorted(brute_lines(rows, max_bits=64), key=str)
+    assert by_rule(None) == wanted
+    assert by_rule(3) != wanted
+
+
 # ---------------------------------------------------------------- quality
 
 
