@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from frostlake.llm import chat, quality
+from frostlake.llm import chat, licenses, quality
 from frostlake.llm.chat import format_chats
 from frostlake.llm.licenses import TEMPLATES, Scanner, license_scan
 from frostlake.llm.line_dedup import line_dedup
@@ -81,6 +81,29 @@ def test_license_scan_against_plain_search(spark):
     assert license_scan(docs.limit(0)).count() == 0
 
 
+def test_wrapped_changed_and_longer_notices(spark):
+    apache = licenses.FORMS["Apache-2.0"][0]
+    mit = licenses.FORMS["MIT"][0]
+    wrap = lambda t: "/*\n * " + re.sub(r"((?:\S+ ){6})", r"\1\n * ", t) + "\n */"
+    rows = [
+        ("Licensed under the Apache License,\nVersion 2.0.", ["Apache-2.0"]),
+        ("éé “Released under the MIT\n# Licence.”", ["MIT"]),
+        ("We say that this program is licensed under the GNU General Public License, version 3, and more", ["GPL-3.0"]),
+        ("It is released today under the MIT License. Use it", ["MIT"]),
+        (wrap(apache), ["Apache-2.0"]),
+        ("Copyright 2020 Someone\n\n" + wrap(mit.replace("AUTHORS OR ", "")), ["MIT"]),
+        ("# SPDX-License-Identifier: (EPL-2.0 OR ISC)\ncode", ["(EPL-2.0 OR ISC)"]),
+        ("Released under the BSD License.", []),
+        ("This work is licensed under the GNU General Public License, version 4.", []),
+        ("Licensed under CC BY-NC-ND 4.0.", ["CC-BY-NC-ND-4.0"]),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = sorted(license_scan(docs).collect(), key=lambda x: (x["doc_id"], x["begin"]))
+    assert [[x["license"] for x in got if x["doc_id"] == i] for i in range(len(rows))] == [w for _, w in rows]
+    for i, begin, end in ((0, 0, 47), (1, 8, 41)):
+        assert [(x["begin"], x["end"]) for x in got if x["doc_id"] == i] == [(begin, end)]
+
+
 # ---------------------------------------------------------------- lines
 
 
