@@ -6,6 +6,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 from frostlake.session import checkpoint_root, scratch_path
 
@@ -29,13 +30,13 @@ def _freed_shuffles(spark: SparkSession):
             spark.conf.set(_CLEANUP, before)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut there, and a lost
     executor costs no more than a re-read."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     with _freed_shuffles(spark):
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -50,12 +51,20 @@ def fresh_name(df: DataFrame, base: str) -> str:
 def with_row_id(df: DataFrame, name: str) -> DataFrame:
     """A unique number for each row, so that null and repeated ids need no special case.
 
-    It is the scan's partition and row number: the same in each run over the same written
-    table, also when a partition is computed again. Write other inputs first.
+    It is the scan's partition and row number, and holds for one scan only: the next may be split
+    otherwise, as the splits follow the cores there are at planning time. What is decided by number in one
+    scan and applied in another needs ``numbered``.
     """
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a unique number for each row, written once: the number is stored beside its row."""
+    empty = [f.name for f in df.schema if isinstance(f.dataType, NullType)]
+    stored = materialize(with_row_id(df.drop(*empty), name), "rows", "zstd")
+    return stored.select(*[F.lit(None).alias(c) if c in empty else stored[f"`{c}`"] for c in df.columns], name)
+
+
 def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``rows`` rows; df must be written already."""
     return F.broadcast(df) if df.count() <= rows else df

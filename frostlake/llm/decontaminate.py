@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from frostlake.llm.common import drop_rows, fresh_name, materialize, small_enough, with_row_id
+from frostlake.llm.common import drop_rows, fresh_name, materialize, numbered, small_enough, with_row_id
 
 #: A-Z to a-z; 0-9, a-z and all bytes of non-ASCII characters are word characters.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -220,14 +220,15 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     have no words. Empty tables give no rows. Other columns are not read.
     """
     spark = docs.sparkSession
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL").distinct()
+    chars = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = -(-chars // BLOCK_CHARS) or 1
     if row_col is None:
         row_col = fresh_name(docs, "_row")
-        docs = with_row_id(docs, row_col)
+        # each block scans the documents
+        docs = numbered(docs.select(id_col, text_col), row_col) if blocks > 1 else with_row_id(docs, row_col)
     docs = docs.select(F.col(row_col).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType.fromDDL("shard long, term int, n long, data binary, row long, n_words long, start long").add("doc_id", docs.schema["doc_id"].dataType)
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL").distinct()
-    chars = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-chars // BLOCK_CHARS) or 1
     documents, matches = None, None
     for k in range(blocks):
         own = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).collect()  # about BLOCK_CHARS
@@ -269,6 +270,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 10) -> DataFrame:
     """The rows of ``docs``, all their columns, in which no benchmark window occurs."""
     row = fresh_name(docs, "_row")
-    docs = with_row_id(docs, row)
+    docs = numbered(docs, row)
     found = contamination(docs, benchmark, id_col, text_col, size=size, slop=None, row_col=row)
     return drop_rows(docs, row, materialize(found.where("n_hit > 0").select(F.col("row").alias(row)), "contaminated"))

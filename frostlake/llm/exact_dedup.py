@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from frostlake.llm import exchange as X
-from frostlake.llm.common import drop_rows, fresh_name, materialize, small_enough, with_row_id
+from frostlake.llm.common import drop_rows, fresh_name, materialize, numbered, small_enough, with_row_id
 
 #: Deleted before texts are compared: ASCII white space.
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -129,6 +129,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all their columns, that ``exact_dedup`` keeps."""
     row = fresh_name(docs, "_row")
-    docs = with_row_id(docs, row)
+    docs = numbered(docs, row)
     found = exact_dedup(docs, id_col, text_col, row)
     return drop_rows(docs, row, materialize(found.where(~F.col("kept")).select(F.col("row_id").alias(row)), "copies"))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from frostlake.llm.common import drop_rows, fresh_name, materialize, with_row_id
+from frostlake.llm.common import drop_rows, fresh_name, materialize, numbered, with_row_id
 
 #: Bytes of a passage, about; it ends with a word (a longer word is cut).
 PASSAGE_BYTES = 1500
@@ -229,6 +229,6 @@ def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) ->
     """The rows of ``docs``, all their columns, that are predicted 1. Texts are scored where they lie:
     the verdicts are a column beside each row's number, and only rejected numbers are joined."""
     row = fresh_name(docs, "_row")
-    docs = with_row_id(docs, row)
+    docs = numbered(docs, row)
     found = score(docs, train(docs, labels), row_col=row)
     return drop_rows(docs, row, materialize(found.where(F.col("score") < threshold).select(F.col("row").alias(row)), "rejected"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from frostlake.llm.common import connected_components, drop_rows, fresh_name, materialize, small_enough, with_row_id
+from frostlake.llm.common import connected_components, drop_rows, fresh_name, materialize, numbered, small_enough, with_row_id
 
 #: A-Z to a-z.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -248,6 +248,6 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """The rows of ``docs``, all their columns, that ``simhash_dedup`` keeps."""
     row = fresh_name(docs, "_row")
-    docs = with_row_id(docs, row)
+    docs = numbered(docs, row)
     found = simhash_dedup(docs, id_col, text_col, shingle, max_bits, row_col=row)
     return drop_rows(docs, row, materialize(found.where(~F.col("kept")).select(F.col("row_id").alias(row)), "near-copies"))

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from frostlake.llm import exchange as X
-from frostlake.llm.common import fresh_name, materialize, small_enough, with_row_id
+from frostlake.llm.common import fresh_name, materialize, numbered, small_enough
 
 #: Text bytes of a shard (a longer document is a shard of its own) and of a partition by id.
 SHARD_BYTES = 4_000_000
@@ -202,7 +202,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     if row_col is None:
         row_col = fresh_name(docs, "_row")
-        docs = with_row_id(docs, row_col)
+        docs = numbered(docs.select(id_col, text_col), row_col)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     docs = docs.select(F.col(row_col).alias("row"), F.col(id_col).alias("doc_id"), text.alias("text"))
 

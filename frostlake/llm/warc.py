@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frostlake.llm.common import fresh_name, materialize, small_enough, with_row_id
+from frostlake.llm.common import fresh_name, materialize, numbered, small_enough
 
 #: Fixed values of the WARC 1.1 standard.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -56,7 +56,7 @@ def write_archive(records: DataFrame, path: str, id_col: str = "page_id", url_co
     """
     spark = records.sparkSession
     row = fresh_name(records, "_row")
-    records = with_row_id(records, row)
+    records = numbered(records.select(id_col, url_col, payload_col), row)
     clean = F.regexp_replace(F.col(url_col).cast("string"), r"[\x00-\x20\x7f]", "%20")
     body = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
     records = records.select(F.col(row).alias("row"), F.col(id_col).alias("page_id"), clean.alias("url"), body.alias("body"))
