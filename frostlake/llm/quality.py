@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -173,9 +173,9 @@ def fold(id_col) -> F.Column:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_bags: int = 4000, max_passages: int = 60_000) -> Model | None:
     """Fit on labelled documents outside fold 0: at most ``max_bags``, the first by hash of their id.
 
-    Of these, documents are taken in that order while they have ``max_passages`` passages together, so
-    the driver's share is bounded. Rows without id, label or text are left out, as is an id whose
-    labels disagree. Null if either class has no document.
+    Of these, documents are taken in that order if they fit into what is left of ``max_passages``, and
+    skipped otherwise, so the driver's share is bounded. Rows without id, label or text are left out, as is
+    an id whose labels disagree. Null if either class has no document; an error if it has some, but none taken.
     """
     marks = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("doc_id IS NOT NULL AND label IN (0, 1)")
     marks = marks.where(fold(F.col("doc_id")) != 0).groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other")).where("label = other").drop("other")
@@ -193,10 +193,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     schema = T.StructType([*texts.select("doc_id", "label").schema, T.StructField("n", T.IntegerType()), T.StructField("bag", T.BinaryType())])
     encoded = materialize(texts.select("doc_id", "label", "text").mapInArrow(encode, schema), "bags")
     once = encoded.groupBy("doc_id").agg(F.min(F.struct("n", "label", "bag")).alias("b")).select("doc_id", "b.*")  # a repeated id's first text
-    before = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = once.withColumn("upto", before).where(F.col("upto") <= max_passages).orderBy("upto").select("label", "bag").collect()
+    once = materialize(once, "training-bags")
+    left, taken = max_passages, []
+    for x in once.orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id", "n").collect():  # at most max_bags rows
+        if x["n"] <= left:
+            left -= x["n"]
+            taken.append((x["doc_id"], len(taken)))
+    places = docs.sparkSession.createDataFrame(taken, T.StructType([once.schema["doc_id"], T.StructField("place", T.IntegerType())]))
+    rows = once.join(F.broadcast(places), "doc_id").orderBy("place").select("label", "bag").collect()
     y = np.array([x["label"] for x in rows])
     if not len(y) or y.min() == y.max():
+        if ids.select("label").distinct().count() > 1:
+            raise ValueError(f"a class has labelled documents, but none among the training sample ({max_bags} documents, {max_passages} passages)")
         return None
     return fit([np.frombuffer(x["bag"], "<f4").reshape(-1, DIM) for x in rows], y)
 

@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from frostlake.llm import chat, licenses, quality
 from frostlake.llm.chat import format_chats
@@ -248,6 +249,16 @@ def test_classifier_on_the_documents(spark):
     assert kept.columns == [*docs.columns, "score"] and {x["doc_id"] for x in kept.select("doc_id").collect()} == {x["doc_id"] for x in got if x["predicted"]}
 
 
+def test_training_skips_a_document_that_does_not_fit(spark):
+    rows = [(i, "word " * 3, i % 2) for i in range(1, 41)]
+    first = spark.createDataFrame(rows, "doc_id long, text string, quality int").where(quality.fold(F.col("doc_id")) != 0).orderBy(F.xxhash64("doc_id")).first()["doc_id"]
+    rows[first - 1] = (first, "word " * 60_000, first % 2)  # some 200 passages
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    assert quality.train(docs.drop("quality"), docs.select("doc_id", "quality"), max_passages=50) is not None
+    with pytest.raises(ValueError, match="none among the training sample"):
+        quality.train(docs.drop("quality"), docs.select("doc_id", "quality"), max_passages=0)
+
+
 def test_classifier_edge_cases(spark):
     docs = spark.createDataFrame([(1, None, 0), (1, "", 0), (None, "text", 0), (2, "w " * 100_000, 1)], "doc_id long, text string, quality int")
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (2, 1, 0), (None, 0, 0), (7, None, 0)], "doc_id long, quality int, toxic int")
