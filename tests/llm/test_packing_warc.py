@@ -44,6 +44,16 @@ def test_boundaries_pad_least(found, buckets):
     assert cost(got) == min(map(cost, some))
 
 
+def test_extra_padding_is_below_a_512th(spark, tmp_dir):
+    rng = np.random.default_rng(3)
+    lengths = np.sort(rng.integers(1025, 5000, 300))
+    spark.createDataFrame([(int(n),) for n in lengths], "n_tokens int").write.parquet(f"{tmp_dir}/lengths")
+    padded = lambda ends: int((np.array(ends)[np.searchsorted(ends, lengths)] - lengths).sum())
+    best = best_boundaries(*(x.astype(np.int64) for x in (*np.unique(lengths, return_counts=True), np.unique(lengths) * np.unique(lengths, return_counts=True)[1])), 6)
+    binned = best_boundaries(*histogram(spark.read.parquet(f"{tmp_dir}/lengths")), 6)
+    assert padded(best) <= padded(binned) < padded(best) + (padded(best) + lengths.sum()) / 512
+
+
 def test_histogram_is_bounded_and_exact_below_1025(spark, tmp_dir):
     lengths = [0, 1, 1024, 1025, 1026, 1027, 5000, 5001, 10**9, 10**9 - 1]
     spark.createDataFrame([(n,) for n in lengths], "n_tokens long").write.parquet(f"{tmp_dir}/n")
