@@ -64,5 +64,50 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    octets = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    step = "list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))"
+    return f"xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {octets}), lambda c, b: {step}))"
+
+
+def _merkle() -> str:
+    """Trees of runs of 8, a level a step: as many steps as 8^7 leaves need; a tree that has one node waits."""
+    field = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')"
+    leaf = lambda text: "sha256(" + " || ".join([field("doc_id"), field("source"), field("lang"), field("n_chars"), field(text)]) + ")"
+    lowered = f"CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END"
+    parts = [
+        f"d AS (SELECT doc_id, lang, source, n_chars, text, {lowered} AS forged FROM documents)",
+        f"l AS (SELECT doc_id, lang, {leaf('text')} AS leaf, {leaf('forged')} AS forged FROM d)",
+        "a0 AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS r, doc_id, leaf, forged, leaf AS h, '' AS proof, forged AS f FROM l)",
+    ]
+
+    def climb(k: int, source: str, out: str, group: str, rows: str) -> None:
+        # nodes of the level, their runs, and each leaf's next node with the others of the run
+        parts.append(f"{out}n AS (SELECT DISTINCT {group} AS g, r, h FROM {source})")
+        parts.append(f"{out}c AS (SELECT g, count(*) AS n FROM {out}n GROUP BY g)")
+        parts.append(f"{out}r AS (SELECT g, r // 8 AS r, list(h ORDER BY r) AS hs, sha256(string_agg(h, '' ORDER BY r)) AS h FROM {out}n GROUP BY g, r // 8)")
+        own = "CAST(s.r % 8 AS BIGINT)"
+        parts.append(
+            f"{out} AS (SELECT {rows}, CASE WHEN n = 1 THEN s.r ELSE s.r // 8 END AS r, CASE WHEN n = 1 THEN s.h ELSE u.h END AS h, "
+            f"CASE WHEN n = 1 THEN s.proof ELSE s.proof || array_to_string(hs[: {own}], '') || array_to_string(hs[{own} + 2 :], '') END AS proof, "
+            f"CASE WHEN n = 1 THEN s.f ELSE sha256(array_to_string(hs[: {own}], '') || s.f || array_to_string(hs[{own} + 2 :], '')) END AS f "
+            f"FROM {source} AS s JOIN {out}c AS c ON s.{group} IS NOT DISTINCT FROM c.g JOIN {out}r AS u ON s.{group} IS NOT DISTINCT FROM u.g AND u.r = s.r // 8)"
+        )
+
+    for k in range(7):
+        climb(k, f"a{k}", f"a{k + 1}", "lang", "doc_id, lang, leaf, forged")
+    parts.append("b0 AS (SELECT doc_id, 0 AS whole, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS r, leaf, h AS subroot, h, proof, f FROM a7)")
+    for k in range(4):
+        climb(k, f"b{k}", f"b{k + 1}", "whole", "doc_id, whole, leaf, subroot")
+    return "WITH " + ",\n".join(parts) + "\nSELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = h AS verified FROM b4"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP, "op3_warc": WARC, "op6_chat_formatting": CHAT, "op4_decontamination": DECONTAMINATION}
+    return {
+        "op1_exact_dedup": EXACT_DEDUP,
+        "op3_warc": WARC,
+        "op6_chat_formatting": CHAT,
+        "op4_decontamination": DECONTAMINATION,
+        "op13_merkle_manifest": _merkle(),
+    }

@@ -12,6 +12,7 @@ from frostlake.llm.decontaminate import contamination
 from frostlake.llm.exact_dedup import exact_dedup
 from frostlake.llm.licenses import license_scan
 from frostlake.llm.line_dedup import line_dedup
+from frostlake.llm.merkle import digest, manifest, proof
 from frostlake.llm.packing import pack_documents
 from frostlake.llm.quality import classify
 from frostlake.llm.simhash_dedup import simhash_dedup
@@ -84,6 +85,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", "kept_text")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    claims = {"text": F.when(tampered, lowered).otherwise(F.col("text"))}
+    found = manifest(_table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], claims=claims)
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", digest(proof(F.col("path"))).alias("proof_sha256"), "folded_root", "verified")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -96,6 +105,7 @@ def queries() -> dict[str, Query]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_quality": op9_quality,
         "op10_line_dedup": op10_line_dedup,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
