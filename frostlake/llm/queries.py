@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from frostlake.llm.chat import format_chats
 from frostlake.llm.decontaminate import contamination
 from frostlake.llm.exact_dedup import exact_dedup
+from frostlake.llm.fingerprints import edited_fingerprints
 from frostlake.llm.licenses import license_scan
 from frostlake.llm.line_dedup import line_dedup
 from frostlake.llm.merkle import digest, manifest, proof
@@ -85,6 +86,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", "kept_text")
 
 
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(_table(spark, sf_dir, "documents"), radius=3)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
     lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -105,6 +110,7 @@ def queries() -> dict[str, Query]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_quality": op9_quality,
         "op10_line_dedup": op10_line_dedup,
+        "op11_document_fingerprints": op11_document_fingerprints,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 
