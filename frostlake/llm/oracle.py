@@ -103,11 +103,82 @@ def _merkle() -> str:
     return "WITH " + ",\n".join(parts) + "\nSELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = h AS verified FROM b4"
 
 
+def _repair() -> str:
+    """One turn a step: of all ways to each state, the cheapest, ties by the initials; no halving."""
+    states = {"n": "", "s": "", "u": "", "a": ""}
+    way = lambda cost, audit, said: f"{{'cost': {cost}, 'audit': {audit}, 'said': {said}}}"
+    turn = lambda who: f"[{who} || ':' || text]"
+    empty = lambda who: f"['{who}:']"
+
+    def after(old: str, cost: str, marks: str, said: str) -> str:
+        return way(f"{old}.cost + {cost}", f"{old}.audit || '{marks}'", f"list_concat({old}.said, {said})")
+
+    extra = "CASE WHEN fault = 3 THEN 3 ELSE 0 END"
+    ways: dict[str, list[tuple[str, str]]] = {s: [("true", way(f"w.{s}.cost + 4", f"w.{s}.audit || 'D'", f"w.{s}.said"))] for s in states}
+    live = "fault NOT IN (1, 2)"
+    ways["s"].append((f"{live} AND role[1] = 's'", after("w.n", extra, "K", turn("role"))))
+    for old in "nsa":
+        ways["u"].append((f"{live} AND role[1] = 'u'", after(f"w.{old}", extra, "K", turn("role"))))
+        ways["u"].append((live, after(f"w.{old}", f"3 + {extra}", "R", turn("'user'"))))
+        ways["a"].append((f"{live} AND role[1] = 'a'", after(f"w.{old}", f"3 + {extra}", "IK", f"list_concat({empty('user')}, {turn('role')})")))
+        ways["a"].append((live, after(f"w.{old}", f"6 + {extra}", "IR", f"list_concat({empty('user')}, {turn(chr(39) + 'assistant' + chr(39))})")))
+    ways["a"].append((f"{live} AND role[1] = 'a'", after("w.u", extra, "K", turn("role"))))
+    ways["a"].append((live, after("w.u", f"3 + {extra}", "R", turn("'assistant'"))))
+    ways["u"].append((f"{live} AND role[1] = 'u'", after("w.u", f"3 + {extra}", "IK", f"list_concat({empty('assistant')}, {turn('role')})")))
+    ways["u"].append((live, after("w.u", f"6 + {extra}", "IR", f"list_concat({empty('assistant')}, {turn(chr(39) + 'user' + chr(39))})")))
+    best = {s: "list_min([" + ", ".join(f"CASE WHEN {c} THEN {w} END" for c, w in found) + "])" for s, found in ways.items()}
+    none = "CAST([] AS VARCHAR[])"
+    far = way("1000000", "''", none)
+    close = [
+        "w.n", "w.a",
+        after("w.u", "3", "I", empty("assistant")),
+        after("w.s", "6", "II", f"list_concat({empty('user')}, {empty('assistant')})"),
+    ]
+    key = "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+    return f"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc32(key)} % 20 AS f FROM conversations
+), d AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM c WHERE f <> 0
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM d
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS said,
+         regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*\\z', 1) AS ending
+  FROM p
+), t AS MATERIALIZED (
+  SELECT conv_id, turn, i, role, text, CASE WHEN ending = '' THEN 1 WHEN said > 1 THEN 2 WHEN ending NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+         lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair
+  FROM o
+), w(conv_id, i, n, s, u, a) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), {way("0", "''", none)}, {far}, {far}, {far} FROM t
+  UNION ALL
+  SELECT w.conv_id, t.i, {", ".join(best.values())}
+  FROM w JOIN t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.i = w.i + 1
+), e AS (
+  SELECT conv_id, list_min([{", ".join(close)}]) AS r FROM w
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1
+), g AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+         count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM t GROUP BY conv_id
+)
+SELECT k.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(r.cost, 0) AS BIGINT) AS cost, coalesce(r.audit, '') AS audit, sha256(coalesce(array_to_string(r.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS k
+LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM k.conv_id LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM k.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": EXACT_DEDUP,
         "op3_warc": WARC,
         "op6_chat_formatting": CHAT,
         "op4_decontamination": DECONTAMINATION,
+        "op12_conversation_repair": _repair(),
         "op13_merkle_manifest": _merkle(),
     }

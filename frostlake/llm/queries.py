@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frostlake.llm.chat import format_chats
+from frostlake.llm.conversation_repair import read_out, repair_conversations
 from frostlake.llm.decontaminate import contamination
 from frostlake.llm.exact_dedup import exact_dedup
 from frostlake.llm.fingerprints import edited_fingerprints
@@ -90,6 +91,28 @@ def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(_table(spark, sf_dir, "documents"), radius=3)
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """``conversations`` with planted faults, chosen by the CRC-32 of each turn's id and number."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = (F.crc32(F.concat_ws(":", space("conv_id"), space("turn"))) % 20).alias("fault")
+    rows = turns.select("conv_id", "turn", space("role").alias("role"), space("text").alias("text"), fault).where("fault <> 0")
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("fault") == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(F.col("fault") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    steps, overview = repair_conversations(damaged(turns))
+    every = turns.select("conv_id").distinct().alias("e")
+    o, r = overview.alias("o"), read_out(steps).alias("r")
+    same = lambda t: F.col("e.conv_id").eqNullSafe(F.col(f"{t}.conv_id"))
+    found = every.join(o, same("o"), "left").join(r, same("r"), "left")
+    counts = [F.coalesce(f"o.{c}", F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select("e.conv_id", *counts, F.coalesce("r.audit", F.lit("")).alias("audit"), F.coalesce("r.repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
     lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -111,6 +134,7 @@ def queries() -> dict[str, Query]:
         "op9_quality": op9_quality,
         "op10_line_dedup": op10_line_dedup,
         "op11_document_fingerprints": op11_document_fingerprints,
+        "op12_conversation_repair": op12_conversation_repair,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 
