@@ -43,6 +43,7 @@ from frostlake.operators.staging import staging
 from frostlake.session import delete_path, shuffle_partitions_for
 from frostlake.sinks.files import RunLog, land_raw, materialize, write_layer
 from frostlake.sources.lake import conform_raw, read_layer, read_raw_json, resolve_table
+from frostlake.sources.versions import current_path
 
 
 @dataclass(frozen=True)
@@ -69,6 +70,11 @@ def _shuffle_partitions(spark: SparkSession, n: int):
         spark.conf.set(key, old)
 
 
+def _width(spark: SparkSession, lake_root: str, layer: str) -> int:
+    """Shuffle width for all of a layer, by the bytes of its current version."""
+    return shuffle_partitions_for(spark, current_path(spark, resolve_table(lake_root, layer)))
+
+
 def clustered(silver_df: DataFrame, partitions: int) -> DataFrame:
     """``silver_df`` in ranges of day, hour and device; the hash of a reading's
     time splits a device-hour that is larger than a range."""
@@ -122,14 +128,14 @@ def run_pipeline(
     t = time.time()
     batch = read_layer(spark, lake_root, "batch", fmt=fmt)
     # the one full-data shuffle: size it from the batch layer's bytes
-    width = shuffle_partitions_for(spark, resolve_table(lake_root, "batch"))
+    width = _width(spark, lake_root, "batch")
     with _shuffle_partitions(spark, width):
         n = write_layer(staging(batch), resolve_table(lake_root, "staging"), fmt, config.overwrite_schema)
     log.record("staging", t, n)
 
     t = time.time()
     stg = read_layer(spark, lake_root, "staging", fmt=fmt)
-    width = shuffle_partitions_for(spark, resolve_table(lake_root, "staging"))
+    width = _width(spark, lake_root, "staging")
     n = write_layer(
         clustered(silver(stg, config.rules), width),
         resolve_table(lake_root, "silver"),
@@ -142,7 +148,7 @@ def run_pipeline(
     t_gold = time.time()
     slv = read_layer(spark, lake_root, "silver", fmt=fmt)
     scratch: list[str] = []
-    with _shuffle_partitions(spark, shuffle_partitions_for(spark, resolve_table(lake_root, "silver"))):
+    with _shuffle_partitions(spark, _width(spark, lake_root, "silver")):
         tables = build_gold(spark, slv, config.gold_form, config.rules.rounding, scratch)
 
     def write_one(item):

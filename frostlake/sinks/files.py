@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from frostlake.session import hadoop_fs, path_exists, scratch_path
+from frostlake.sources import versions as V
+from frostlake.sources.lake import list_lake_tables, resolve_table
 
 
 class SchemaMismatch(ValueError):
@@ -35,17 +37,24 @@ def write_layer(
     partition_by: Sequence[str] | None = None,
     observe_rows: bool = True,
 ) -> int | None:
-    """K1: full-snapshot overwrite of a layer.
+    """K1: full-snapshot overwrite of a layer, atomic.
 
     Like a table format would, an overwrite that changes the column names or
     types of an existing layer fails unless ``overwrite_schema``. The check
     reads only file metadata. The number of rows written is collected by an
     ``Observation`` during the write itself (no second job) and returned.
+
+    The rows go to a new version's folder, which becomes the layer by one atomic
+    step after the write (``sources.versions``; read it with ``read_layer`` or at
+    ``current_path``). A write that fails leaves the old version as it was. Of
+    two writers of one layer, the one whose version is the later stays. Delta
+    layers are left to Delta's own log.
     """
     spark = df.sparkSession
+    versioned = fmt != "delta"
     if path_exists(spark, path) and not overwrite_schema:
         try:
-            old = spark.read.format(fmt).load(path).schema
+            old = spark.read.format(fmt).load(V.current_path(spark, path) if versioned else path).schema
         except AnalysisException as e:  # an empty folder has nothing to protect; any other failure stops the write
             if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
@@ -57,12 +66,16 @@ def write_layer(
             )
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}") if observe_rows else None
     out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if obs else df
-    writer = out.write.format(fmt).mode("overwrite")
-    if overwrite_schema and fmt == "delta":
-        writer = writer.option("overwriteSchema", "true")
+    writer = out.write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    if versioned:
+        version = V.new_version(spark, path)
+        writer.save(f"{path.rstrip('/')}/{version}")
+        V.commit(spark, path, version)
+    else:
+        writer = writer.mode("overwrite")
+        (writer.option("overwriteSchema", "true") if overwrite_schema else writer).save(path)
     return int(obs.get["rows"]) if obs else None
 
 
@@ -213,13 +226,19 @@ def lake_manifest(spark: SparkSession, root: str, hidden: bool = False) -> DataF
     """K8: every data file under ``root`` with its path relative to the root.
 
     ``binaryFile`` only reads file contents when the ``content`` column is
-    selected, so this is a distributed listing. The source skips hidden
+    selected, so this is a distributed listing. Of a layer's versions the
+    current one is listed. The source skips hidden
     names; with ``hidden`` those files (table logs, run logs, markers) are
     listed too, so that a copy made from the manifest is a whole lake.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).drop("content")
     if hidden:
         files = files.unionByName(spark.createDataFrame(_hidden_files(spark, root), FILE_STATUS_SCHEMA))
+    # names of versions are unique: one list for all layers, a name each
+    current = [n for layer, table in list_lake_tables(spark, root) for n in V.committed(spark, resolve_table(root, layer, table))[-1:]]
+    version = F.regexp_extract("path", V.VERSION_IN_PATH, 1)
+    marker = F.regexp_extract("path", f"/{V.COMMITS}/([^/]+)$", 1)
+    files = files.where(((version == "") | version.isin(current)) & ((marker == "") | marker.isin(current)))
     base = root.rstrip("/").split(":", 1)[-1].lstrip("/")
     rel = F.regexp_extract(F.col("path"), r"^.*?\Q" + base + r"\E/(.*)$", 1)
     return files.select(
@@ -237,7 +256,7 @@ def layer_row_counts(spark: SparkSession, root: str, layers: Sequence[str]) -> D
     listed = lake_manifest(spark, root)
     per_file = None
     for layer in layers:
-        one = spark.read.parquet(f"{root}/{layer}").select(F.col("_metadata.file_path").alias("path"))
+        one = spark.read.parquet(V.current_path(spark, f"{root}/{layer}")).select(F.col("_metadata.file_path").alias("path"))
         one = one.groupBy("path").agg(F.count("*").alias("rows")).withColumn("layer", F.lit(layer))
         per_file = one if per_file is None else per_file.unionByName(one)
     # the two sources write a local path with one or three slashes

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from frostlake.schema import RAW_SCHEMA
 from frostlake.session import list_subdirs, path_exists
+from frostlake.sources.versions import current_path, has_data
 
 LAYERS = ("batch", "staging", "silver", "gold")
 CORRUPT_COLUMN = "_corrupt_record"
@@ -98,12 +99,13 @@ def resolve_table(lake_root: str, layer: str, table: str | None = None) -> str:
 def read_layer(
     spark: SparkSession, lake_root: str, layer: str, table: str | None = None, fmt: str = "parquet"
 ) -> DataFrame:
-    """S2 + S3: load a layer by name; a missing path raises ``TableNotFound``."""
+    """S2 + S3: load a layer by name, in its current version; a missing path raises
+    ``TableNotFound``. Writes that end later do not change what is read."""
     path = resolve_table(lake_root, layer, table)
     if not path_exists(spark, path):
         raise TableNotFound(f"table path not found: {path}")
     try:
-        return spark.read.format(fmt).load(path)
+        return spark.read.format(fmt).load(current_path(spark, path))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             raise TableNotFound(f"table path not found: {path}") from e
@@ -114,11 +116,12 @@ def list_lake_tables(spark: SparkSession, lake_root: str) -> list[tuple[str, str
     """(layer, table) pairs present under ``lake_root`` (metadata only)."""
     out: list[tuple[str, str | None]] = []
     for layer in ("batch", "staging", "silver"):
-        if path_exists(spark, resolve_table(lake_root, layer)):
+        if has_data(spark, resolve_table(lake_root, layer)):
             out.append((layer, None))
     gold_root = f"{lake_root.rstrip('/')}/gold"
     for name in _list_dirs(spark, gold_root):
-        out.append(("gold", name))
+        if has_data(spark, f"{gold_root}/{name}"):
+            out.append(("gold", name))
     return out
 
 

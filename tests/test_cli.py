@@ -9,6 +9,7 @@ from conftest import SF_SMALL
 from frostlake.__main__ import main
 from frostlake.sinks.files import dump_json
 from frostlake.sources.fixtures import telemetry
+from frostlake.sources.lake import read_layer
 
 
 def _run(capsys, *argv):
@@ -26,9 +27,9 @@ def test_cli_pipeline_and_serving(spark, tmp_dir, capsys):
     page = _run(capsys, "page", lake, "gold", "mart_daily_costs", "--page", "2", "--limit", "5")
     assert len(page["data"]) == 5 and page["pagination"]["has_next"]
     q = _run(capsys, "sql", lake, "SELECT COUNT(*) AS n FROM silver;")
-    assert q["data"][0]["n"] == spark.read.parquet(f"{lake}/silver").count()
+    assert q["data"][0]["n"] == read_layer(spark, lake, "silver").count()
     dash = _run(capsys, "dashboard", lake)
-    assert len(dash["metrics"]["daily_costs"]) == spark.read.parquet(f"{lake}/gold/mart_daily_costs").select(
+    assert len(dash["metrics"]["daily_costs"]) == read_layer(spark, lake, "gold", "mart_daily_costs").select(
         "Date").distinct().count()
     out_csv = f"{tmp_dir}/export"
     _run(capsys, "export", lake, "gold", "mart_daily_costs", "--out", out_csv, "--limit", "7")
