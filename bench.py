@@ -70,8 +70,8 @@ def _live(spark, sf_dir: str, root: str) -> float:
     def run():
         values = file_value_stream(spark, src, max_files_per_trigger=8)
         decoded = accepted(decode_json_values(values, live_schema_with_seq()))
-        L.start_live_views(decoded, f"{root}/views", f"{root}/ckpt", available_now=True).awaitTermination()
-        views = L.read_live_views(spark, f"{root}/views")
+        L.start_live_views(decoded, f"{root}/ckpt", available_now=True).awaitTermination()
+        views = L.read_live_views(spark, f"{root}/ckpt")
         views["live_kpis"].collect()
         views["live_points"].collect()
 

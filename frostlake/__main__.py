@@ -105,7 +105,7 @@ def main(argv: list[str] | None = None) -> int:
             a.add_argument("--out", required=True)
             a.add_argument("--rejects", help="folder for messages that are no JSON object")
         else:
-            a.add_argument("--root", required=True)
+            a.add_argument("--archive", help="folder for every decoded message, as JSON lines")
             a.add_argument("--once", action="store_true", help="process what is available, then stop")
 
     args = p.parse_args(argv)
@@ -158,7 +158,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "live":
         from frostlake.streaming.live import start_live_views
 
-        q = start_live_views(_stream_source(spark, args), args.root, args.checkpoint, available_now=args.once)
+        q = start_live_views(_stream_source(spark, args), args.checkpoint, archive=args.archive, available_now=args.once)
         q.awaitTermination()
     if owned:
         spark.stop()

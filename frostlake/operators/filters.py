@@ -21,9 +21,14 @@ def fault_or_breach(df: DataFrame, healthy_code: str = "0") -> DataFrame:
     return df.where(fault_or_breach_condition(healthy_code))
 
 
+def live_present(column: str = "Entering_Chilled_Water_Temperature_Sensor") -> Column:
+    """the entering temperature is present."""
+    return F.col(column).isNotNull()
+
+
 def live_non_null(df: DataFrame, column: str = "Entering_Chilled_Water_Temperature_Sensor") -> DataFrame:
     """keep a live reading only when the entering temperature is present."""
-    return df.where(F.col(column).isNotNull())
+    return df.where(live_present(column))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -245,13 +245,13 @@ def _tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     trigger, stopped once it has caught up. (A Kafka tail starts at the latest
     offsets; the file-fed stand-in starts at the first file.)"""
     ws = workspace(spark, sf_dir)
-    root = scratch_path(spark, "tail")
-    q = L.start_live_views(decoded_live_stream(spark, ws.live_json), root, f"{root}/_ckpt", processing_time="1 second")
+    checkpoint = scratch_path(spark, "tail")
+    q = L.start_live_views(decoded_live_stream(spark, ws.live_json), checkpoint, processing_time="1 second")
     try:
         q.processAllAvailable()
     finally:
         q.stop()
-    return L.read_live_views(spark, root)["last_n_readings"]
+    return L.read_live_views(spark, checkpoint)["last_n_readings"]
 
 
 def _live_view(name: str) -> Query:

@@ -111,11 +111,10 @@ class Workspace:
 
     @property
     def live_views(self) -> str:
-        """R1-R4 from one streaming query (one parse per message)."""
+        """R1-R4 from one streaming query (one parse per message): its checkpoint."""
 
         def build(p: str) -> None:
-            stream = decoded_live_stream(self.spark, self.live_json)
-            L.start_live_views(stream, p, f"{self.root}/_ckpt/live_views", available_now=True).awaitTermination()
+            L.start_live_views(decoded_live_stream(self.spark, self.live_json), p, available_now=True).awaitTermination()
 
         return self._once("live_views", build)
 

@@ -1,7 +1,6 @@
 """Structured Streaming live views (R1-R5) and topic drain/tail entry points."""
 
 from frostlake.streaming.live import (
-    LiveViewsWriter,
     drain_topic,
     last_n_readings,
     latest_reading,
@@ -15,7 +14,6 @@ from frostlake.streaming.live import (
 )
 
 __all__ = [
-    "LiveViewsWriter",
     "drain_topic",
     "last_n_readings",
     "latest_reading",

@@ -1,31 +1,23 @@
 """Live views over the message stream: newest readings, latest, counts, KPIs.
 
 Every operator has a batch form (a DataFrame function, also used as the test
-oracle) and runs in Structured Streaming:
-
-* R1/R4 (newest N by arrival) keep a bounded snapshot through
-  ``foreachBatch``: snapshot ``v{batch}`` = top N of (snapshot before it ∪ the
-  batch). Snapshots are written to new folders and never in place, so
-  replaying a batch after a failure rewrites the same result.
-* R2/R3 (latest message, running count) are a global ``max_by(struct(*),
-  seq)`` + ``count``: either a stateful streaming aggregate (state of one
-  row) or, in ``LiveViewsWriter``, the batch's row merged with the previous
-  snapshot's row. Each micro-batch is partially aggregated per partition.
-* ``start_live_views`` serves R1-R4 from ONE streaming query: each message is
-  read and parsed once, whatever the number of views.
+oracle) and runs in Structured Streaming. ``start_live_views`` serves R1-R4 from
+ONE streaming query: each message is read and parsed once, whatever the number of
+views. What they need is the query's own state (``streaming.state``), committed
+together with the source's offsets; ``read_live_views`` reads it as batch
+DataFrames, and gives R5.
 """
 
 from __future__ import annotations
 
-import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from frostlake.functions.columns import round2
-from frostlake.operators.filters import live_non_null
+from frostlake.operators.filters import live_non_null, live_present
 from frostlake.schema import SEQ_COLUMN
-from frostlake.session import delete_path, list_subdirs, path_exists
+from frostlake.streaming.state import has_state, read_state, start_newest
 
 LAST_N_DEFAULT = 100
 CHART_POINTS_DEFAULT = 20
@@ -97,116 +89,6 @@ def live_kpis(latest: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ stream forms
 
 
-_SNAP = re.compile(r"^v(\d+)$")
-
-
-def list_snapshots(spark: SparkSession, root: str) -> list[int]:
-    """Batch ids of the committed snapshots under ``root`` (metadata only)."""
-    root = root.rstrip("/")
-    ids = []
-    for name in list_subdirs(spark, root):
-        m = _SNAP.match(name)
-        if m and path_exists(spark, f"{root}/{name}/_SUCCESS"):
-            ids.append(int(m.group(1)))
-    return sorted(ids)
-
-
-def snapshot_path(root: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/v{batch_id:012d}"
-
-
-class LastNSnapshots:
-    """``foreachBatch`` writer that keeps the newest ``n`` rows by ``order_col``.
-
-    Idempotent per batch id: batch ``b`` reads the newest committed snapshot
-    with an id below ``b`` and writes ``v{b}`` (overwrite). Older snapshots
-    beyond ``retain`` are deleted.
-    """
-
-    def __init__(self, root: str, n: int = LAST_N_DEFAULT, order_col: str = SEQ_COLUMN, retain: int = 3):
-        self.root, self.n, self.order_col, self.retain = root.rstrip("/"), n, order_col, retain
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        older = [b for b in list_snapshots(spark, self.root) if b < batch_id]
-        cur = batch
-        if older:
-            prev = spark.read.schema(batch.schema).parquet(snapshot_path(self.root, older[-1]))
-            cur = cur.unionByName(prev)
-        top = cur.orderBy(F.col(self.order_col).desc()).limit(self.n)
-        top.write.mode("overwrite").parquet(snapshot_path(self.root, batch_id))
-        for b in older[: max(0, len(older) + 1 - self.retain)]:
-            self._delete(spark, snapshot_path(self.root, b))
-
-    @staticmethod
-    def _delete(spark: SparkSession, path: str) -> None:
-        delete_path(spark, path)
-
-
-def read_last_n(spark: SparkSession, root: str, order_col: str = SEQ_COLUMN) -> DataFrame | None:
-    """The current snapshot in arrival order, or None before the first batch."""
-    ids = list_snapshots(spark, root)
-    if not ids:
-        return None
-    return spark.read.parquet(snapshot_path(root, ids[-1])).orderBy(F.col(order_col).asc())
-
-
-def start_last_n(
-    stream: DataFrame,
-    root: str,
-    checkpoint: str,
-    n: int = LAST_N_DEFAULT,
-    order_col: str = SEQ_COLUMN,
-    available_now: bool = False,
-    processing_time: str = "1 second",
-) -> StreamingQuery:
-    """Run R1 (n=100) or R4's input (n=20) as a streaming query."""
-    w = stream.writeStream.foreachBatch(LastNSnapshots(root, n, order_col)).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return w.start()
-
-
-class OverwriteSnapshot:
-    """``foreachBatch`` writer for complete-mode aggregates: each batch's
-    whole result replaces the previous one (written to ``v{batch}``)."""
-
-    def __init__(self, root: str, retain: int = 2):
-        self.root, self.retain = root.rstrip("/"), retain
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(snapshot_path(self.root, batch_id))
-        older = [b for b in list_snapshots(spark, self.root) if b < batch_id]
-        for b in older[: max(0, len(older) + 1 - self.retain)]:
-            LastNSnapshots._delete(spark, snapshot_path(self.root, b))
-
-
-def start_latest_and_count(
-    stream: DataFrame,
-    root: str,
-    checkpoint: str,
-    order_col: str = SEQ_COLUMN,
-    available_now: bool = False,
-    processing_time: str = "1 second",
-) -> StreamingQuery:
-    """Run R2 + R3 as one stateful global aggregate (complete mode)."""
-    agg = latest_and_count(stream, order_col)
-    w = (
-        agg.writeStream.outputMode("complete")
-        .foreachBatch(OverwriteSnapshot(root))
-        .option("checkpointLocation", checkpoint)
-    )
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return w.start()
-
-
-def read_latest_and_count(spark: SparkSession, root: str) -> DataFrame | None:
-    ids = list_snapshots(spark, root)
-    if not ids:
-        return None
-    return spark.read.parquet(snapshot_path(root, ids[-1]))
-
-
 def start_dump_json(
     stream: DataFrame, path: str, checkpoint: str, available_now: bool = True, processing_time: str = "1 second"
 ) -> StreamingQuery:
@@ -243,85 +125,41 @@ def accepted_live(decoded_stream: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ all live views, one query
 
 
-class LiveViewsWriter:
-    """One ``foreachBatch`` writer for every live view of a decoded stream.
-
-    Each micro-batch is read and parsed once, persisted, and then:
-
-    * optionally archived as JSON lines under ``archive/batch_id=<b>``
-      (overwrite per batch id, so a replay does not duplicate rows);
-    * filtered with F5 and merged into the newest-``n`` snapshot (R1; R4 is
-      its newest ``chart_n``);
-    * merged into the latest-message-and-count snapshot (R2 + R3): the batch's
-      own ``max_by``/``count`` row combined with the previous snapshot's row.
-
-    State is two bounded snapshots (n rows and one row), never the stream.
-    """
-
-    def __init__(self, root: str, n: int = LAST_N_DEFAULT, order_col: str = SEQ_COLUMN, archive: bool = False):
-        self.root, self.n, self.order_col, self.archive = root.rstrip("/"), n, order_col, archive
-        self.last_n = LastNSnapshots(f"{self.root}/last_n", n, order_col)
-        self.latest_root = f"{self.root}/latest"
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            if self.archive:
-                batch.write.mode("overwrite").option("ignoreNullFields", "false").json(
-                    f"{self.root}/archive/batch_id={batch_id}"
-                )
-            ok = live_non_null(batch)
-            self.last_n(ok, batch_id)
-            cur = latest_and_count(ok, self.order_col)
-            older = [b for b in list_snapshots(spark, self.latest_root) if b < batch_id]
-            if older:
-                prev = spark.read.schema(cur.schema).parquet(snapshot_path(self.latest_root, older[-1]))
-                cur = cur.unionByName(prev).agg(
-                    F.max_by("latest", F.col(f"latest.{self.order_col}")).alias("latest"),
-                    F.sum("messages_received").cast("bigint").alias("messages_received"),
-                )
-            cur.coalesce(1).write.mode("overwrite").parquet(snapshot_path(self.latest_root, batch_id))
-            for b in older[:-1]:
-                LastNSnapshots._delete(spark, snapshot_path(self.latest_root, b))
-        finally:
-            batch.unpersist()
-
-
 def start_live_views(
     decoded_stream: DataFrame,
-    root: str,
     checkpoint: str,
     n: int = LAST_N_DEFAULT,
     order_col: str = SEQ_COLUMN,
-    archive: bool = False,
+    archive: str | None = None,
     available_now: bool = False,
     processing_time: str = "1 second",
 ) -> StreamingQuery:
-    """Run R1-R4 (and optionally the archive) as a single streaming query."""
-    w = decoded_stream.writeStream.foreachBatch(LiveViewsWriter(root, n, order_col, archive)).option(
-        "checkpointLocation", checkpoint
-    )
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return w.start()
+    """Run R1-R4 as a single streaming query; the views are its state, under ``checkpoint``.
+
+    With ``archive``, every decoded message also goes to that folder as JSON lines, exactly
+    once; the views count those that pass F5.
+    """
+    return start_newest(decoded_stream, checkpoint, n, order_col, live_present(), archive, available_now=available_now, processing_time=processing_time)
 
 
 def read_live_views(
-    spark: SparkSession, root: str, chart_n: int = CHART_POINTS_DEFAULT, order_col: str = SEQ_COLUMN
+    spark: SparkSession,
+    checkpoint: str,
+    n: int = LAST_N_DEFAULT,
+    chart_n: int = CHART_POINTS_DEFAULT,
+    order_col: str = SEQ_COLUMN,
 ) -> dict[str, DataFrame]:
-    """Batch DataFrames of the current live views (empty dict before the
-    first micro-batch)."""
-    root = root.rstrip("/")
-    last = read_last_n(spark, f"{root}/last_n", order_col)
-    lat = read_latest_and_count(spark, f"{root}/latest")
-    if last is None or lat is None:
+    """Batch DataFrames of the live views as of the last committed batch (empty dict before the first one)."""
+    if not has_state(spark, checkpoint):
         return {}
-    latest = lat.where(F.col("latest").isNotNull()).select("latest.*")
+    newest = read_state(spark, checkpoint, "newest")
+    latest = latest_reading(read_state(spark, checkpoint, "latest"), order_col)
+    total = F.coalesce(F.sum("messages"), F.lit(0)).cast("bigint").alias("messages_received")
     return {
-        "last_n_readings": last,
-        "live_points": to_chart_points(last_n_readings(last, chart_n, order_col), order_col),
+        "last_n_readings": last_n_readings(newest, n, order_col),
+        "live_points": live_points(newest, chart_n, order_col),
         "latest_reading": latest,
-        "messages_received": lat.select("messages_received"),
+        "messages_received": read_state(spark, checkpoint, "seen").agg(total),
         "live_kpis": live_kpis(latest),
     }
 
@@ -361,9 +199,9 @@ def tail_topic_views(
     spark: SparkSession,
     bootstrap_servers: str,
     topic: str,
-    root: str,
     checkpoint: str,
     options: dict | None = None,
+    archive: str | None = None,
     processing_time: str = "1 second",
 ) -> StreamingQuery:
     """S5 + R1-R4: tail the topic from the latest offsets and keep the live
@@ -371,4 +209,4 @@ def tail_topic_views(
     from frostlake.sources.topics import decode_topic, tail_topic
 
     stream = decode_topic(tail_topic(spark, bootstrap_servers, topic, options))
-    return start_live_views(stream, root, checkpoint, processing_time=processing_time)
+    return start_live_views(stream, checkpoint, archive=archive, processing_time=processing_time)

@@ -51,3 +51,16 @@ def test_serving_latency_goes_to_the_run_log(spark, tmp_dir, capsys):
     S.dashboard_response(spark, lake, log=log)
     assert [e[2] for e in log.entries] == ["serve/page", "serve/query", "serve/dashboard"]
     assert log.entries[0][5] == 3
+
+
+def test_cli_live_keeps_views_in_its_checkpoint(spark, tmp_dir, capsys):
+    from frostlake.sources.fixtures import live
+    from frostlake.streaming.live import read_live_views
+
+    messages = live(spark, SF_SMALL)
+    messages.write.option("ignoreNullFields", "false").json(f"{tmp_dir}/src")
+    assert main(["live", "--files", f"{tmp_dir}/src", "--checkpoint", f"{tmp_dir}/ck", "--archive", f"{tmp_dir}/all", "--once"]) == 0
+    views = read_live_views(spark, f"{tmp_dir}/ck")
+    kept = messages.where("Entering_Chilled_Water_Temperature_Sensor IS NOT NULL").count()
+    assert views["messages_received"].collect()[0][0] == kept and views["live_points"].count() == 20
+    assert spark.read.json(f"{tmp_dir}/all").count() == messages.count()

@@ -9,7 +9,7 @@ import pytest
 from frostlake.session import delete_path, list_subdirs, path_exists, path_size_bytes
 from frostlake.sinks.files import SchemaMismatch, lake_manifest, write_layer
 from frostlake.sources.lake import TableNotFound, read_layer
-from frostlake.streaming import live as L
+from frostlake.streaming.state import has_state
 
 
 @pytest.fixture()
@@ -37,11 +37,12 @@ def test_path_without_scheme_is_on_the_default_file_system(spark, mounted):
     assert not os.path.exists(f"{mounted}/silver")
 
 
-def test_snapshots_accumulate_on_the_default_file_system(spark, mounted):
-    writer = L.LastNSnapshots("/lake/last", n=2)
-    for batch_id, seqs in enumerate(([1, 2], [3])):
-        writer(spark.createDataFrame([(s,) for s in seqs], "seq long"), batch_id)
-    assert [r.seq for r in L.read_last_n(spark, "/lake/last").collect()] == [2, 3]
+def test_live_state_is_looked_for_on_the_default_file_system(spark, mounted):
+    assert not has_state(spark, "/lake/views")
+    os.makedirs(f"{mounted}/views/commits")
+    assert not has_state(spark, "/lake/views")
+    open(f"{mounted}/views/commits/0", "w").close()
+    assert has_state(spark, "/lake/views")
 
 
 def test_manifest_names_hidden_files_too(spark, tmp_dir):

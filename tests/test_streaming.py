@@ -1,10 +1,11 @@
-"""Streaming: decoding, drains, bounded top-N snapshots, batch = stream,
+"""Streaming: decoding, drains, live views in the query's state, batch = stream,
 restart from checkpoint and replay of a batch."""
 
 from __future__ import annotations
 
 import json
 import os
+import time
 
 import pytest
 from conftest import SF_SMALL
@@ -12,6 +13,7 @@ from conftest import SF_SMALL
 from frostlake.sources import topics as TP
 from frostlake.sources.fixtures import live
 from frostlake.streaming import live as L
+from frostlake.streaming.state import SHARDS, read_state
 
 
 def _write_lines(path, name, lines):
@@ -89,65 +91,85 @@ def live_files(spark):
     return d, lv
 
 
+def _run_views(spark, src, checkpoint, **options):
+    L.start_live_views(_stream(spark, src), checkpoint, available_now=True, **options).awaitTermination()
+    return L.read_live_views(spark, checkpoint, **{k: v for k, v in options.items() if k == "n"})
+
+
+def _assert_views_equal(views, messages, n=100):
+    ok = L.accepted_live(messages)
+    assert views["last_n_readings"].collect() == L.last_n_readings(ok, n).collect()
+    assert views["live_points"].collect() == L.live_points(ok, 20).collect()
+    assert views["latest_reading"].collect() == L.latest_reading(ok).collect()
+    assert views["messages_received"].collect() == L.messages_received(ok).collect()
+    assert views["live_kpis"].collect() == L.live_kpis(L.latest_reading(ok)).collect()
+
+
 def test_stream_equals_batch(spark, live_files, tmp_dir):
     d, lv = live_files
-    ok = L.accepted_live(lv)
-    L.start_last_n(L.accepted_live(_stream(spark, f"{d}/src")), f"{tmp_dir}/l100", f"{tmp_dir}/c1", 100,
-                   available_now=True).awaitTermination()
-    L.start_last_n(L.accepted_live(_stream(spark, f"{d}/src")), f"{tmp_dir}/l20", f"{tmp_dir}/c2", 20,
-                   available_now=True).awaitTermination()
-    L.start_latest_and_count(L.accepted_live(_stream(spark, f"{d}/src")), f"{tmp_dir}/lat", f"{tmp_dir}/c3",
-                             available_now=True).awaitTermination()
-    assert L.read_last_n(spark, f"{tmp_dir}/l100").collect() == L.last_n_readings(ok, 100).collect()
-    assert (L.to_chart_points(L.read_last_n(spark, f"{tmp_dir}/l20")).collect()
-            == L.live_points(ok, 20).collect())
-    lat = L.read_latest_and_count(spark, f"{tmp_dir}/lat")
-    assert lat.select("latest.*").collect() == L.latest_reading(ok).collect()
-    assert lat.select("messages_received").collect() == L.messages_received(ok).collect()
-    assert L.live_kpis(lat.select("latest.*")).collect() == L.live_kpis(L.latest_reading(ok)).collect()
-    # snapshots are bounded: only the newest few are retained
-    assert len(L.list_snapshots(spark, f"{tmp_dir}/l100")) <= 3
+    assert L.read_live_views(spark, f"{tmp_dir}/ck") == {}
+    _assert_views_equal(_run_views(spark, f"{d}/src", f"{tmp_dir}/ck"), lv)
+    # the state is bounded: up to n messages a shard
+    newest = spark.read.format("statestore").option("path", f"{tmp_dir}/ck").option("stateVarName", "newest").load()
+    assert newest.count() <= SHARDS * 100
 
 
 def test_restart_from_checkpoint(spark, tmp_dir):
-    src = f"{tmp_dir}/src"
+    src, ck = f"{tmp_dir}/src", f"{tmp_dir}/ck"
     _write_lines(src, "a.json", [_msg(i) for i in range(0, 150)])
-    L.start_last_n(L.accepted_live(_stream(spark, src)), f"{tmp_dir}/snap", f"{tmp_dir}/ck", 100,
-                   available_now=True).awaitTermination()
+    first = _run_views(spark, src, ck)
+    assert first["messages_received"].collect()[0][0] == 150
     _write_lines(src, "b.json", [_msg(i) for i in range(150, 180)] + [_msg(999, ent=None)])
-    L.start_last_n(L.accepted_live(_stream(spark, src)), f"{tmp_dir}/snap", f"{tmp_dir}/ck", 100,
-                   available_now=True).awaitTermination()
-    got = [r.seq for r in L.read_last_n(spark, f"{tmp_dir}/snap").collect()]
-    assert got == list(range(80, 180))
+    views = _run_views(spark, src, ck)
+    assert [r.seq for r in views["last_n_readings"].collect()] == list(range(80, 180))
+    assert views["messages_received"].collect()[0][0] == 180 and views["latest_reading"].collect()[0].seq == 179
+    # nothing new: nothing changes
+    again = _run_views(spark, src, ck)
+    assert again["messages_received"].collect()[0][0] == 180
+
+
+def test_batch_that_was_not_committed_is_run_again(spark, tmp_dir):
+    """Offsets are logged and the state may be written, but the process ended before the commit."""
+    src, ck = f"{tmp_dir}/src", f"{tmp_dir}/ck"
+    for k in range(3):
+        _write_lines(src, f"{k}.json", [_msg(i) for i in range(k * 60, k * 60 + 60)])
+    whole = _run_views(spark, src, ck)
+    want = {k: v.collect() for k, v in whole.items()}
+    last = max(int(n) for n in os.listdir(f"{ck}/commits") if n.isdigit())
+    assert last == 2
+    for name in (str(last), f".{last}.crc"):
+        if os.path.exists(f"{ck}/commits/{name}"):
+            os.remove(f"{ck}/commits/{name}")
+    assert L.read_live_views(spark, ck)["messages_received"].collect()[0][0] == 120  # what is committed
+    views = _run_views(spark, src, ck)
+    assert {k: v.collect() for k, v in views.items()} == want
+
+
+def test_stopped_query_goes_on(spark, live_files, tmp_dir):
+    """Stopped after some batches, and started again: as if it had not been stopped."""
+    d, lv = live_files
+    q = L.start_live_views(_stream(spark, f"{d}/src"), f"{tmp_dir}/ck", processing_time="0 seconds")
+    while q.lastProgress is None and q.exception() is None:
+        time.sleep(0.05)
+    q.stop()
+    _assert_views_equal(_run_views(spark, f"{d}/src", f"{tmp_dir}/ck"), lv)
 
 
-def test_replayed_batch_is_idempotent(spark, tmp_dir):
-    schema = TP.live_schema_with_seq()
-    rows = [json.loads(_msg(i)) for i in range(10)]
-    batch0 = spark.createDataFrame([tuple(r[f.name] for f in schema.fields) for r in rows[:6]], schema)
-    batch1 = spark.createDataFrame([tuple(r[f.name] for f in schema.fields) for r in rows[6:]], schema)
-    w = L.LastNSnapshots(f"{tmp_dir}/s", n=5)
-    w(batch0, 0)
-    w(batch1, 1)
-    first = L.read_last_n(spark, f"{tmp_dir}/s").collect()
-    w(batch1, 1)  # replay after a failure
-    assert L.read_last_n(spark, f"{tmp_dir}/s").collect() == first
-    assert [r.seq for r in first] == [5, 6, 7, 8, 9]
-
-
-def test_one_query_live_views_equal_batch(spark, live_files, tmp_dir):
+def test_new_checkpoint_is_a_new_state(spark, tmp_dir):
+    src = f"{tmp_dir}/src"
+    _write_lines(src, "a.json", [_msg(i) for i in range(30)])
+    _run_views(spark, src, f"{tmp_dir}/one")
+    views = _run_views(spark, src, f"{tmp_dir}/two", n=7)
+    assert views["messages_received"].collect()[0][0] == 30
+    assert [r.seq for r in views["last_n_readings"].collect()] == list(range(23, 30))
+
+
+def test_archive_comes_from_the_same_query(spark, live_files, tmp_dir):
     d, lv = live_files
-    ok = L.accepted_live(lv)
-    L.start_live_views(_stream(spark, f"{d}/src"), f"{tmp_dir}/views", f"{tmp_dir}/ck", archive=True,
-                       available_now=True).awaitTermination()
-    v = L.read_live_views(spark, f"{tmp_dir}/views")
-    assert v["last_n_readings"].collect() == L.last_n_readings(ok, 100).collect()
-    assert v["live_points"].collect() == L.live_points(ok, 20).collect()
-    assert v["latest_reading"].collect() == L.latest_reading(ok).collect()
-    assert v["messages_received"].collect() == L.messages_received(ok).collect()
-    assert v["live_kpis"].collect() == L.live_kpis(L.latest_reading(ok)).collect()
-    archived = spark.read.json(f"{tmp_dir}/views/archive")
-    assert archived.count() == lv.count()
+    views = _run_views(spark, f"{d}/src", f"{tmp_dir}/ck", archive=f"{tmp_dir}/archive")
+    _assert_views_equal(views, lv)
+    archived = spark.read.schema(lv.schema).json(f"{tmp_dir}/archive").select(lv.columns)
+    assert archived.exceptAll(lv).isEmpty() and lv.exceptAll(archived).isEmpty()
 
 
 def test_struct_arrival_order_like_kafka(spark, tmp_dir):
@@ -163,26 +185,24 @@ def test_struct_arrival_order_like_kafka(spark, tmp_dir):
                                      "Device_ID string")
     df = df.select(F.struct("ts", F.col("p").alias("partition"), F.col("o").alias("offset")).alias("seq"),
                    "Entering_Chilled_Water_Temperature_Sensor", "Device_ID")
-    w = L.LiveViewsWriter(f"{tmp_dir}/v", n=5)
-    w(df.where(F.col("seq.offset") < 20), 0)
-    w(df.where(F.col("seq.offset") >= 20), 1)
-    last = L.read_last_n(spark, f"{tmp_dir}/v/last_n").collect()
-    assert [r.seq.offset for r in last] == [25, 26, 27, 28, 29]
-    lat = L.read_latest_and_count(spark, f"{tmp_dir}/v/latest").collect()[0]
-    assert lat.latest.Device_ID == "D29" and lat.messages_received == 30
+    for k in (0, 1):
+        df.where(F.col("seq.offset").between(20 * k, 20 * k + 19)).coalesce(1).write.parquet(f"{tmp_dir}/src/k={k}")
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", "1").parquet(f"{tmp_dir}/src/*")
+    L.start_live_views(stream, f"{tmp_dir}/ck", n=5, available_now=True).awaitTermination()
+    latest, last = (read_state(spark, f"{tmp_dir}/ck", v) for v in ("latest", "newest"))
+    assert [r.seq.offset for r in L.last_n_readings(last, 5).collect()] == [25, 26, 27, 28, 29]
+    assert L.latest_reading(latest).collect()[0].Device_ID == "D29"
 
 
 def test_stream_rejects_bad_messages_and_counts_accepted(spark, tmp_dir):
     src = f"{tmp_dir}/src"
     lines = [_msg(1), "{broken", "[1, 2]", "", _msg(2, ent=None), "42", _msg(3), "null", _msg(4)]
     _write_lines(src, "a.json", lines)
-    L.start_live_views(_stream(spark, src), f"{tmp_dir}/views", f"{tmp_dir}/ck", available_now=True,
-                       archive=True).awaitTermination()
-    v = L.read_live_views(spark, f"{tmp_dir}/views")
+    v = _run_views(spark, src, f"{tmp_dir}/ck", archive=f"{tmp_dir}/archive")
     assert v["messages_received"].collect()[0][0] == 3  # 1, 3, 4: decodable and with a temperature
     assert [r.seq for r in v["last_n_readings"].collect()] == [1, 3, 4]
     assert v["latest_reading"].collect()[0].seq == 4
-    archived = spark.read.json(f"{tmp_dir}/views/archive").select("seq").collect()
+    archived = spark.read.json(f"{tmp_dir}/archive").select("seq").collect()
     assert sorted(r.seq for r in archived) == [1, 2, 3, 4]  # the archive keeps every decoded message
 
 
