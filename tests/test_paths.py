@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from frostlake.session import delete_path, list_subdirs, path_exists, path_size_bytes
 from frostlake.sinks.files import SchemaMismatch, lake_manifest, write_layer
 from frostlake.sources.lake import TableNotFound, read_layer
-from frostlake.streaming.state import has_state
+from frostlake.streaming.state import has_state, read_state, start_newest
 
 
 @pytest.fixture()
@@ -17,8 +19,9 @@ def mounted(spark, tmp_dir):
     """``/lake`` without a scheme is a folder of a view file system, not of this machine's root."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     old = conf.get("fs.defaultFS")
-    conf.set("fs.viewfs.mounttable.lakes.link./lake", f"file://{tmp_dir}")
-    conf.set("fs.defaultFS", "viewfs://lakes/")
+    name = f"lakes{uuid.uuid4().hex[:8]}"  # file systems are cached by name, and this one's folder is the test's own
+    conf.set(f"fs.viewfs.mounttable.{name}.link./lake", f"file://{tmp_dir}")
+    conf.set("fs.defaultFS", f"viewfs://{name}/")
     yield tmp_dir
     conf.set("fs.defaultFS", old)
 
@@ -37,12 +40,13 @@ def test_path_without_scheme_is_on_the_default_file_system(spark, mounted):
     assert not os.path.exists(f"{mounted}/silver")
 
 
-def test_live_state_is_looked_for_on_the_default_file_system(spark, mounted):
+def test_live_state_is_on_the_default_file_system(spark, mounted):
+    schema = "seq long, Entering_Chilled_Water_Temperature_Sensor double"
+    spark.createDataFrame([(i, 70.0) for i in range(6)], schema).write.json("/lake/messages")
     assert not has_state(spark, "/lake/views")
-    os.makedirs(f"{mounted}/views/commits")
-    assert not has_state(spark, "/lake/views")
-    open(f"{mounted}/views/commits/0", "w").close()
-    assert has_state(spark, "/lake/views")
+    start_newest(spark.readStream.schema(schema).json("/lake/messages"), "/lake/views", 2, "seq", F.lit(True), available_now=True).awaitTermination()
+    assert has_state(spark, "/lake/views") and os.path.isdir(f"{mounted}/views/state")
+    assert sum(r.messages for r in read_state(spark, "/lake/views", "seen").collect()) == 6
 
 
 def test_manifest_names_hidden_files_too(spark, tmp_dir):
