@@ -42,7 +42,9 @@ from frostlake.operators.silver import DEFAULT_RULES, SilverRules, silver
 from frostlake.operators.staging import staging
 from frostlake.session import delete_path, shuffle_partitions_for
 from frostlake.sinks.files import RunLog, land_raw, materialize, write_layer
+from frostlake.sources.drift import raw_lines, schema_drift
 from frostlake.sources.lake import conform_raw, read_layer, read_raw_json, resolve_table
+from frostlake.sources.resolution import resolve_source
 from frostlake.sources.versions import current_path
 
 
@@ -56,6 +58,7 @@ class PipelineConfig:
     run_log: bool = True
     max_concurrent_writes: int = 4
     land_raw: bool = True
+    drift_report: bool = False
 
 
 @contextmanager
@@ -110,11 +113,28 @@ def run_pipeline(
     raw: DataFrame | str,
     lake_root: str,
     config: PipelineConfig = PipelineConfig(),
+    fallback: DataFrame | None = None,
 ) -> RunLog:
-    """Run every stage and return the run log (also appended to ``_runs``)."""
+    """Run every stage and return the run log (also appended to ``_runs``).
+
+    With a ``fallback``, raw files that are missing, empty or unreadable give way to it (S7); what was used,
+    and why, is appended to ``_sources``. ``drift_report`` writes the raw files' ``schema_drift`` to ``_drift``.
+    """
     log = RunLog()
     fmt = config.fmt
 
+    if isinstance(raw, str) and fallback is not None:
+        t, path = time.time(), raw
+        found = resolve_source(spark, path, lambda: read_raw_json(spark, path), fallback)
+        found.append_to(spark, f"{lake_root.rstrip('/')}/_sources")
+        raw = raw if found.used == "primary" else found.df
+        log.record(f"source/{found.reason}", t)
+
+    if isinstance(raw, str) and config.drift_report:
+        t = time.time()
+        schema_drift(raw_lines(spark, raw)).write.mode("overwrite").parquet(f"{lake_root.rstrip('/')}/_drift")
+        log.record("drift", t)
+
     if isinstance(raw, str) and config.land_raw:
         t = time.time()
         land_raw(spark, raw, f"{lake_root.rstrip('/')}/raw")  # K2: untouched copy of the input

@@ -23,8 +23,11 @@ from frostlake.plans.workspace import decoded_live_stream, workspace
 from frostlake.schema import LIVE_FIELDS
 from frostlake.session import path_exists, scratch_path
 from frostlake.sinks import files as K
+from frostlake.sources import drift as DR
 from frostlake.sources import lake as LK
+from frostlake.sources import resolution as RS
 from frostlake.sources import topics as TP
+from frostlake.sources import fixtures as FX
 from frostlake.sources.fixtures import dirty_messages_sql, live, telemetry
 from frostlake.streaming import live as L
 
@@ -99,6 +102,18 @@ def _read_raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LK.read_raw_json(spark, workspace(spark, sf_dir).raw_json)
 
 
+def _raw_extra_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 with ``_extra``, through a layer of its own; the VARIANT is shown as JSON."""
+    root = scratch_path(spark, "drift_lake")
+    K.write_layer(DR.read_raw_json_with_extra(spark, workspace(spark, sf_dir).drifting_json), LK.resolve_table(root, "batch"))
+    back = LK.read_layer(spark, root, "batch")
+    return back.select(*[c for c in back.columns if c != DR.EXTRA_COLUMN], F.to_json(DR.EXTRA_COLUMN).alias("extra"))
+
+
+def _raw_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DR.schema_drift(DR.raw_lines(spark, workspace(spark, sf_dir).drifting_json))
+
+
 def _land_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "raw_landing")
     K.land_raw(spark, workspace(spark, sf_dir).raw_json, out)
@@ -146,6 +161,8 @@ def _encode_keyed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _lake_io() -> dict[str, Query]:
     return {
         "read_raw_json": _read_raw_json,
+        "raw_extra_keys": _raw_extra_keys,
+        "raw_schema_drift": _raw_schema_drift,
         "land_raw": _land_raw,
         "read_layer": _read_layer,
         "write_layer": _write_layer,
@@ -240,6 +257,48 @@ def _drain_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TP.empty_source_fallback(primary, live(spark, sf_dir))
 
 
+def _resolved(make) -> Query:
+    """S7 with the reason beside each row; ``make(spark, sf_dir, path)`` reads a source that fails in one way."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "source")
+        found = RS.resolve_source(spark, "live", lambda: make(spark, sf_dir, path), live(spark, sf_dir))
+        return found.df.select(F.lit(found.used).alias("used"), F.lit(found.reason).alias("reason"), *found.df.columns)
+
+    return run
+
+
+def _unreadable(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """Messages as text, read as if they were Parquet."""
+    live(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value")).write.text(path)
+    return spark.read.schema(TP.live_schema_with_seq()).parquet(path)
+
+
+def _emptied(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    live(spark, sf_dir).where("seq < 0").write.parquet(path)
+    return spark.read.schema(TP.live_schema_with_seq()).parquet(path)
+
+
+def _no_broker(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """A topic that cannot be reached: no connector is installed here, and no broker listens there."""
+    topic = spark.read.format("kafka").option("kafka.bootstrap.servers", "localhost:1").option("subscribe", "live")
+    return TP.accepted(TP.decode_json_values(topic.load(), TP.live_schema_with_seq()))
+
+
+def _readable(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    live(spark, sf_dir).where("Entering_Chilled_Water_Temperature_Sensor IS NOT NULL").write.parquet(path)
+    return spark.read.schema(TP.live_schema_with_seq()).parquet(path)
+
+
+SOURCE_BRANCHES = {
+    "source_ok": (_readable, "primary", RS.OK),
+    "source_empty": (_emptied, "fallback", RS.EMPTY),
+    "source_missing": (lambda s, d, path: s.read.schema(TP.live_schema_with_seq()).json(path), "fallback", RS.PATH_MISSING),
+    "source_unreadable": (_unreadable, "fallback", RS.READ_ERROR),
+    "source_unreachable": (_no_broker, "fallback", RS.UNREACHABLE),
+}
+
+
 def _tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live views as an unbounded query on a 1-second processing-time
     trigger, stopped once it has caught up. (A Kafka tail starts at the latest
@@ -276,6 +335,8 @@ def _streaming() -> dict[str, Query]:
     }
     for name in ("last_n_readings", "latest_reading", "messages_received", "live_points", "live_kpis"):
         out[name] = _live_view(name)
+    for name, (make, _, _) in SOURCE_BRANCHES.items():
+        out[name] = _resolved(make)
     return out
 
 
@@ -360,11 +421,28 @@ def _row_counts(name: str) -> str:
     return "\nUNION ALL\n".join(f"SELECT '{f}' AS {name}, COUNT(*) AS rows FROM {t}" for f, t in tables.items())
 
 
+def _drift_sql() -> str:
+    rows = [
+        ("Firmware_Version", "added", "STRING", FX.ADDED_TEXT),
+        ("Vibration_mm_s", "added", "DECIMAL", FX.ADDED_NUMBER),
+        ("Diagnostics", "added", "OBJECT", FX.ADDED_OBJECT),
+        ("Oil_Temperature_Sensor", "missing", None, FX.DROPPED_OIL),
+        ("CO2_Level_PPM", "retyped", "BIGINT", FX.NUMBER_CO2),
+        ("LWT_Setpoint", "retyped", "ARRAY", FX.LIST_SETPOINT),
+    ]
+    text = lambda v: f"'{v}'" if v else "CAST(NULL AS VARCHAR)"
+    parts = [f"SELECT {text(k)} AS key, {text(d)} AS drift, {text(t)} AS type, {FX.drift_case(rule)} AND NOT {FX.drift_case(FX.BROKEN)} AS found FROM events" for k, d, t, rule in rows]
+    parts.append(f"SELECT {text(None)}, 'malformed', {text(None)}, {FX.drift_case(FX.BROKEN)} FROM events")
+    return "SELECT key, drift, type, count(*) AS records FROM (" + "\nUNION ALL\n".join(parts) + ") WHERE found GROUP BY ALL"
+
+
 def _lake_io_sql() -> dict[str, str]:
     # stages that write no table of their own, or many
     untimed = "\nUNION ALL\n".join(f"SELECT '{stage}' AS stage, CAST(NULL AS BIGINT) AS rows" for stage in ("raw", "gold", "total"))
     return {
         "read_raw_json": O.with_layers("SELECT * FROM telemetry", upto="telemetry"),
+        "raw_extra_keys": FX.drifting_sql(),
+        "raw_schema_drift": _drift_sql(),
         "land_raw": O.with_layers("SELECT * FROM telemetry", upto="telemetry"),
         "read_layer": O.with_layers("SELECT * FROM silver"),
         "write_layer": O.with_layers("SELECT * FROM gold_mart_daily_costs", gold=("mart_daily_costs",)),
@@ -413,7 +491,11 @@ def _streaming_sql() -> dict[str, str]:
         for c in LIVE_FIELDS
         if c not in ("Device_ID", "Pump_Hours", "CO2_Level_PPM")
     )
-    return {
+    branches = {
+        name: O.with_live(f"SELECT '{used}' AS used, '{reason}' AS reason, {cols} FROM live {ok if used == 'primary' else ''}")
+        for name, (_, used, reason) in SOURCE_BRANCHES.items()
+    }
+    return branches | {
         "drain_dirty_topic": f"SELECT event_id AS seq, {absent}, 'C' || CAST(user_id AS VARCHAR) AS \"Device_ID\", "
         'CASE WHEN event_id % 9 <> 2 THEN CAST(event_id AS BIGINT) END AS "Pump_Hours", '
         'CASE WHEN event_id % 9 <> 4 THEN CAST(410 AS BIGINT) END AS "CO2_Level_PPM" FROM events WHERE event_id % 9 < 5',

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from frostlake.plans.medallion import run_pipeline
 from frostlake.session import app_id, scratch_path
 from frostlake.sinks.files import dump_json
-from frostlake.sources.fixtures import dirty_messages, live, telemetry
+from frostlake.sources.fixtures import dirty_messages, drifting_lines, live, telemetry
 from frostlake.sources.topics import accepted, decode_json_values, file_value_stream, live_schema_with_seq
 from frostlake.streaming import live as L
 
@@ -70,6 +70,11 @@ class Workspace:
 
         return self._once("live_json", build)
 
+    @property
+    def drifting_json(self) -> str:
+        """Raw JSON lines whose keys and types drift from the 40 text fields."""
+        return self._once("drifting_json", lambda p: drifting_lines(self.spark, self.sf_dir).write.text(p))
+
     @property
     def dirty_text(self) -> str:
         """Messages of every good and bad kind, one a line."""

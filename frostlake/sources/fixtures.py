@@ -194,6 +194,50 @@ def dirty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_events(spark, sf_dir).selectExpr(*_DIRTY_KEYS).selectExpr("seq", "kind", _DIRTY_VALUE)
 
 
+# How a drifting feed differs from the 40 text fields, as (event_id's modulus, remainder).
+ADDED_TEXT, ADDED_NUMBER, ADDED_OBJECT = (5, 0), (8, 1), (10, 3)
+DROPPED_OIL, NUMBER_CO2, LIST_SETPOINT, BROKEN = (7, 2), (11, 4), (13, 6), (97, 5)
+_DRIFTING = ("Oil_Temperature_Sensor", "CO2_Level_PPM", "LWT_Setpoint")
+
+
+def drift_case(rule: tuple[int, int]) -> str:
+    return f"event_id % {rule[0]} = {rule[1]}"
+
+
+def drifting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines (``value``), one per event: readings with added, missing and re-typed keys, and broken ones."""
+    steady = ", ".join(f for f in RAW_FIELDS if f not in _DRIFTING)
+    members = [
+        f"""CASE WHEN {drift_case(DROPPED_OIL)} THEN '' ELSE ',"Oil_Temperature_Sensor":"' || Oil_Temperature_Sensor || '"' END""",
+        f"""',"CO2_Level_PPM":' || CASE WHEN {drift_case(NUMBER_CO2)} THEN CO2_Level_PPM ELSE '"' || CO2_Level_PPM || '"' END""",
+        f"""',"LWT_Setpoint":' || CASE WHEN {drift_case(LIST_SETPOINT)} THEN '[' || LWT_Setpoint || ',7]' ELSE '"' || LWT_Setpoint || '"' END""",
+        f"""CASE WHEN {drift_case(ADDED_TEXT)} THEN ',"Firmware_Version":"v' || user_id || '"' ELSE '' END""",
+        f"""CASE WHEN {drift_case(ADDED_NUMBER)} THEN ',"Vibration_mm_s":' || (event_id % 9) || '.5' ELSE '' END""",
+        f"""CASE WHEN {drift_case(ADDED_OBJECT)} THEN ',"Diagnostics":{{"rpm":' || event_id || '}}' ELSE '' END""",
+    ]
+    rows = read_events(spark, sf_dir).selectExpr("event_id", "user_id", *telemetry_select_list("spark"))
+    whole = f"to_json(struct({steady}), map('ignoreNullFields', 'false'))"
+    value = " || ".join([f"substring({whole}, 1, length({whole}) - 1)", *members, "'}'"])
+    return rows.selectExpr(f"CASE WHEN {drift_case(BROKEN)} THEN '[' || event_id ELSE {value} END AS value")
+
+
+def drifting_sql() -> str:
+    """The 40 fields and ``extra`` (JSON text, keys in order) of ``drifting_lines``, for DuckDB."""
+    exprs = dict(zip(RAW_FIELDS, telemetry_select_list("duckdb")))
+    text = lambda f: exprs[f].rsplit(" AS ", 1)[0]
+    exprs["Oil_Temperature_Sensor"] = f"CASE WHEN NOT {drift_case(DROPPED_OIL)} THEN {text('Oil_Temperature_Sensor')} END AS x"
+    exprs["LWT_Setpoint"] = f"CASE WHEN {drift_case(LIST_SETPOINT)} THEN '[' || {text('LWT_Setpoint')} || ',7]' ELSE {text('LWT_Setpoint')} END AS x"
+    fields = ",\n".join(f'CASE WHEN NOT {drift_case(BROKEN)} THEN {e.rsplit(" AS ", 1)[0]} END AS "{f}"' for f, e in exprs.items())
+    parts = [
+        (ADDED_OBJECT, """'"Diagnostics":{"rpm":' || event_id || '}'"""),
+        (ADDED_TEXT, """'"Firmware_Version":"v' || user_id || '"'"""),
+        (ADDED_NUMBER, """'"Vibration_mm_s":' || (event_id % 9) || '.5'"""),
+    ]
+    listed = ", ".join(f"CASE WHEN {drift_case(rule)} THEN {value} END" for rule, value in parts)
+    some = " OR ".join(drift_case(rule) for rule, _ in parts)
+    return f"SELECT {fields},\nCASE WHEN NOT {drift_case(BROKEN)} AND ({some}) THEN '{{' || concat_ws(',', {listed}) || '}}' END AS extra FROM events"
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
