@@ -173,6 +173,9 @@ def _near(lists: dict[int, np.ndarray], window: tuple[int, ...], span: int, rare
     return begin
 
 
+KINDS = np.array(["phrase", "near"], object)
+
+
 def _search(block, counts, slop: int | None):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         windows, count = block.value, counts.value
@@ -181,7 +184,8 @@ def _search(block, counts, slop: int | None):
         own = pdf[pdf["term"] >= 0]
         data = dict(zip(own["term"].astype(int), own["data"]))
         lists: dict[int, np.ndarray] = {}
-        out = []
+        names: dict[str | None, int] = {}
+        found: list[tuple[int, int, int, np.ndarray]] = []
         for window, items in windows.items():
             if any(t not in data for t in window):
                 continue
@@ -192,23 +196,29 @@ def _search(block, counts, slop: int | None):
             if rare is not None and not len(rare):
                 continue
             near = () if rare is None else _near(lists, window, len(window) + slop, rare)
-            for kind, begin, size in (("phrase", _phrases(lists, window, count, rare), len(window)), ("near", near, len(window) + (slop or 0))):
+            for kind, begin, size in ((0, _phrases(lists, window, count, rare), len(window)), (1, near, len(window) + (slop or 0))):
                 if len(begin):
-                    doc = np.searchsorted(starts, begin, side="right") - 1
-                    first = begin - starts[doc]
-                    for item in items:
-                        out.append(pd.DataFrame({"row": rows[doc], "item_id": item, "kind": kind, "begin": first, "end": first + size}))
-        if not out:
-            return pd.DataFrame({"row": pd.Series([], dtype="int64"), "item_id": pd.Series([], dtype=object), "kind": pd.Series([], dtype=object), "begin": pd.Series([], dtype="int64"), "end": pd.Series([], dtype="int64")})
-        found = pd.concat(out).sort_values(["row", "item_id", "kind", "begin"], kind="stable")
-        # one row for each run of windows that touch or overlap
-        same = (found[["row", "kind"]].eq(found[["row", "kind"]].shift()).all(axis=1) & (found["item_id"].fillna("") == found["item_id"].shift().fillna("")) & (found["item_id"].isna() == found["item_id"].shift().isna()) & (found["begin"] <= found["end"].shift()))
-        run_of = (~same).cumsum()
-        return found.groupby(run_of).agg(row=("row", "first"), item_id=("item_id", "first"), kind=("kind", "first"), begin=("begin", "first"), end=("end", "max"))
+                    found += [(names.setdefault(item, len(names)), kind, size, begin) for item in items]
+        return _runs(found, list(names), starts, rows)
 
     return run
 
 
+def _runs(found: list[tuple[int, int, int, np.ndarray]], names: list[str | None], starts: np.ndarray, rows: np.ndarray) -> pd.DataFrame:
+    """MATCHES of windows (item's number, kind, size, places): one row for each run of windows that touch or overlap."""
+    times = [len(f[3]) for f in found]
+    item, kind, size = (np.repeat(np.array([f[k] for f in found], np.int64), times) for k in range(3))
+    begin = np.concatenate([f[3] for f in found]) if found else np.empty(0, np.int64)
+    doc = np.searchsorted(starts, begin, side="right") - 1
+    row, begin = rows[doc], begin - starts[doc]
+    order = np.lexsort((begin, kind, item, row))
+    row, item, kind, begin, end = row[order], item[order], kind[order], begin[order], (begin + size)[order]
+    other = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (kind[1:] != kind[:-1]) | (begin[1:] > end[:-1])
+    first = np.flatnonzero(np.r_[True, other]) if len(row) else np.empty(0, np.int64)
+    last = np.maximum.reduceat(end, first) if len(first) else end
+    return pd.DataFrame({"row": row[first], "item_id": np.array(names, object)[item[first]] if names else np.empty(0, object), "kind": KINDS[kind[first]], "begin": begin[first], "end": last})
+
+
 def find_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", size: int = 10, slop: int | None = 2, row_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(documents, matches): (row, doc_id, n_words) of every row, and where benchmark windows occur.
 
