@@ -220,7 +220,7 @@ def _conformance_query(key: str) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         _register_gold_views(spark, sf_dir, tables, with_silver="silver" in text)
-        return spark.sql(text)
+        return S.run_sql(spark, text, views=[f"gold_{t}" for t in tables] + ["silver"])
 
     return run
 

@@ -7,7 +7,8 @@ so a dashboard over 100 TB of telemetry is the same plan as over a sample.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import warnings
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,8 @@ from pyspark.sql import types as T
 from frostlake.functions.columns import round2
 from frostlake.operators.filters import nan_to_null
 from frostlake.operators.gold import GOLD_TABLES
-from frostlake.sources.lake import LAYERS, TableNotFound, list_lake_tables, read_layer
+from frostlake.plans import guard
+from frostlake.sources.lake import LAYERS, TableNotFound, TableReadError, list_lake_tables, read_layer
 
 DEFAULT_PAGE_LIMIT = 50
 DEFAULT_SQL_CAP = 1000
@@ -147,8 +149,8 @@ def register_lake_views(spark: SparkSession, lake_root: str, fmt: str = "parquet
         try:
             read_layer(spark, lake_root, layer, table, fmt).createOrReplaceTempView(view_name(layer, table))
             names.append(view_name(layer, table))
-        except (TableNotFound, Exception) as e:  # noqa: BLE001 - registration only warns
-            print(f"warning: could not register {layer}/{table}: {e}")
+        except (TableNotFound, TableReadError) as e:
+            warnings.warn(f"could not register {layer}/{table}: {e}", stacklevel=2)
     return names
 
 
@@ -159,19 +161,22 @@ def clean_sql(text: str) -> str:
     return text
 
 
-def run_sql(spark: SparkSession, text: str, cap: int | None = None) -> DataFrame:
+def run_sql(spark: SparkSession, text: str, cap: int | None = None, views: Collection[str] | None = None) -> DataFrame:
     """Q8: free SQL over the registered views; only queries run, no DDL or DML.
 
-    Trims the text and one trailing ``;``. The statement is first analysed as
-    a subquery, so DDL/DML cannot run. All rows are returned unless ``cap``
-    is given. NaN becomes null (F6). Functions that reach outside the views
-    (reflection, script transforms, path relations) are not refused: run
-    untrusted text in a session that has no rights beyond them.
+    Trims the text and one trailing ``;``. The statement is first analysed as a subquery, so
+    that anything but a query fails before it can run, and its plan is checked (``plans.guard``):
+    it may read the registered views (``views``; any temporary view without them) and use
+    Spark's own relational operators and functions, but no paths, catalogue tables, script
+    transforms, reflection or added functions. All rows are returned, or up to ``cap`` if it is
+    given and the query has no limit of its own as its last step. NaN becomes null (F6).
     """
     text = clean_sql(text)
-    spark.sql(f"SELECT * FROM (\n{text}\n)")  # analysis only: rejects non-queries
-    df = nan_to_null(spark.sql(text))
-    return df if cap is None else df.limit(cap)
+    guard.check_plan(spark, guard.analysed(spark.sql(f"SELECT * FROM (\n{text}\n)")), views)
+    df = spark.sql(text)
+    own = cap is not None and guard.has_own_limit(df)
+    df = nan_to_null(df)
+    return df if cap is None or own else df.limit(cap)
 
 
 # ------------------------------------------------------------- catalogue
@@ -239,15 +244,17 @@ def query_response(
     spark: SparkSession, lake_root: str | None, text: str, cap: int = DEFAULT_SQL_CAP, log=None, fmt: str = "parquet"
 ) -> dict:
     """Q7 + Q8 as a response: ``{"data", "truncated", "latency_ms"}`` (logged as
-    ``serve/query`` when a ``RunLog`` is given). At most ``cap`` rows are sent;
-    ``truncated`` says that there are more."""
+    ``serve/query`` when a ``RunLog`` is given). With a lake, its views are all that can be
+    read. At most ``cap`` rows are sent, unless the query ends in a limit of its own, which
+    then stands; ``truncated`` says that there are more."""
     import time
 
     started = time.time()
-    if lake_root:
-        register_lake_views(spark, lake_root, fmt)
-    data = _records(run_sql(spark, text, cap + 1))
-    data, truncated = data[:cap], len(data) > cap
+    views = register_lake_views(spark, lake_root, fmt) if lake_root else None
+    df = run_sql(spark, text, views=views)
+    own = guard.has_own_limit(spark.sql(clean_sql(text)))
+    data = _records(df if own else df.limit(cap + 1))
+    data, truncated = (data, False) if own else (data[:cap], len(data) > cap)
     if log is not None:
         log.record("serve/query", started, len(data))
     return {"data": data, "truncated": truncated, "latency_ms": round((time.time() - started) * 1000, 2)}
