@@ -104,6 +104,9 @@ def main(argv: list[str] | None = None) -> int:
         if name == "drain":
             a.add_argument("--out", required=True)
             a.add_argument("--rejects", help="folder for messages that are no JSON object")
+            a.add_argument("--quiet-polls", type=int, default=3, help="end after so many runs that find nothing new")
+            a.add_argument("--pause", type=float, default=1.0, help="seconds between runs")
+            a.add_argument("--timeout", type=float, default=300.0, help="start no run after so many seconds")
         else:
             a.add_argument("--archive", help="folder for every decoded message, as JSON lines")
             a.add_argument("--once", action="store_true", help="process what is available, then stop")
@@ -150,11 +153,15 @@ def main(argv: list[str] | None = None) -> int:
         (export_csv if args.format == "csv" else export_json)(page, args.out, single_file=True)
         _print({"exported": args.out, "format": args.format, "page": args.page, "limit": args.limit})
     elif args.cmd == "drain":
-        from frostlake.streaming.live import start_dump_json, start_dump_rejects
+        from dataclasses import asdict
 
+        from frostlake.streaming.live import drain_until_quiet, start_dump_json, start_dump_rejects
+
+        run = lambda: start_dump_json(_stream_source(spark, args), args.out, args.checkpoint)
+        found = drain_until_quiet(run, args.quiet_polls, args.pause, args.timeout)
         if args.rejects:
             start_dump_rejects(_values(spark, args), args.rejects, f"{args.checkpoint.rstrip('/')}-rejects").awaitTermination()
-        start_dump_json(_stream_source(spark, args), args.out, args.checkpoint).awaitTermination()
+        _print(asdict(found))
     elif args.cmd == "live":
         from frostlake.streaming.live import start_live_views
 

@@ -257,6 +257,20 @@ def _drain_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TP.empty_source_fallback(primary, live(spark, sf_dir))
 
 
+def _drain_until_quiet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 while messages still arrive: a third of them comes before each of the first three runs."""
+    root, messages = scratch_path(spark, "arriving"), live(spark, sf_dir)
+    parts = iter(range(3))
+
+    def run():
+        if (part := next(parts, None)) is not None:
+            messages.where(F.pmod("seq", F.lit(3)) == part).write.option("ignoreNullFields", "false").mode("append").json(f"{root}/src")
+        return L.start_dump_json(decoded_live_stream(spark, f"{root}/src"), f"{root}/out", f"{root}/_ckpt")
+
+    L.drain_until_quiet(run, quiet_polls=2, pause=0.0)
+    return spark.read.schema(TP.live_schema_with_seq()).json(f"{root}/out")
+
+
 def _resolved(make) -> Query:
     """S7 with the reason beside each row; ``make(spark, sf_dir, path)`` reads a source that fails in one way."""
 
@@ -327,6 +341,7 @@ def _streaming() -> dict[str, Query]:
             TP.decode_json_values(s.read.text(workspace(s, d).live_json), schema)
         ),
         "drain_topic": lambda s, d: s.read.schema(schema).json(workspace(s, d).live_drained),
+        "drain_until_quiet": _drain_until_quiet,
         "drain_dirty_topic": lambda s, d: s.read.schema(schema).json(workspace(s, d).dirty_accepted),
         "rejected_messages": lambda s, d: s.read.schema("message string").json(workspace(s, d).dirty_rejects),
         "live_non_null": lambda s, d: s.read.schema(schema).json(workspace(s, d).live_accepted),
@@ -503,6 +518,7 @@ def _streaming_sql() -> dict[str, str]:
         f"FROM ({dirty_messages_sql()}) WHERE kind >= 5",
         "decode_json_values": O.with_live(f"SELECT {cols} FROM live"),
         "drain_topic": O.with_live(f"SELECT {cols} FROM live"),
+        "drain_until_quiet": O.with_live(f"SELECT {cols} FROM live"),
         "live_non_null": O.with_live(f"SELECT {cols} FROM live {ok}"),
         "empty_source_fallback": O.with_live(f"SELECT {cols} FROM live"),
         "last_n_readings": O.with_live(f"SELECT {cols} FROM live {ok} ORDER BY seq DESC LIMIT 100"),

@@ -2,6 +2,7 @@
 
 from frostlake.streaming.live import (
     drain_topic,
+    drain_until_quiet,
     last_n_readings,
     latest_reading,
     live_kpis,
@@ -15,6 +16,7 @@ from frostlake.streaming.live import (
 
 __all__ = [
     "drain_topic",
+    "drain_until_quiet",
     "last_n_readings",
     "latest_reading",
     "live_kpis",

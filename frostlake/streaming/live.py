@@ -10,6 +10,10 @@ DataFrames, and gives R5.
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -167,6 +171,45 @@ def read_live_views(
 # ------------------------------------------------------------------ topic entry points
 
 
+@dataclass(frozen=True)
+class Drained:
+    """What a drain did: ``rows`` read in ``runs`` runs; ``quiet`` says that it ended because nothing more came
+    (otherwise its time was up)."""
+
+    rows: int
+    runs: int
+    quiet: bool
+    seconds: float
+
+
+def drain_until_quiet(
+    start: Callable[[], StreamingQuery], quiet_polls: int = 3, pause: float = 1.0, timeout: float = 300.0
+) -> Drained:
+    """Chase a source until it is quiet.
+
+    ``start`` starts one ``availableNow`` run; all runs have the same checkpoint, so each reads what came since the
+    one before. A run is quiet if it read no row and left the source's end offsets as they were; the drain ends after
+    ``quiet_polls`` quiet runs in a row, with ``pause`` seconds before each further run. No run is started when
+    ``timeout`` seconds have passed, so a source that never falls quiet does not keep the drain from ending. What was
+    read is committed run by run: a drain that is ended or killed goes on where it was.
+    """
+    began, rows, runs, quiet, ends = time.time(), 0, 0, 0, None
+    while quiet < quiet_polls:
+        if runs:
+            time.sleep(pause)
+        if time.time() - began >= timeout:
+            return Drained(rows, runs, False, time.time() - began)
+        query = start()
+        query.awaitTermination()
+        progress = query.recentProgress
+        read = sum(p["numInputRows"] for p in progress)
+        now = [s["endOffset"] for s in progress[-1]["sources"]] if progress else ends
+        moved = read or (ends is not None and now != ends)
+        quiet = 0 if moved else quiet + 1
+        rows, runs, ends = rows + read, runs + 1, now
+    return Drained(rows, runs, True, time.time() - began)
+
+
 def drain_topic(
     spark: SparkSession,
     bootstrap_servers: str,
@@ -175,24 +218,25 @@ def drain_topic(
     checkpoint: str,
     options: dict | None = None,
     rejects_path: str | None = None,
-) -> StreamingQuery:
+    quiet_polls: int = 3,
+    pause: float = 1.0,
+    timeout: float = 300.0,
+) -> Drained:
     """S4 + K3: drain everything not yet consumed (from the earliest offsets
-    on the first run, then from the checkpoint) into JSON lines, and stop.
+    on the first run, then from the checkpoint) into JSON lines, until the topic
+    is quiet (``drain_until_quiet``).
 
-    The end offsets are fixed when the run starts (``availableNow``); a
-    second drain reads only what arrived since. With ``rejects_path``, a
-    query with its own checkpoint (``<checkpoint>-rejects``) writes the
+    A second drain reads only what arrived since. With ``rejects_path``, a
+    query with its own checkpoint (``<checkpoint>-rejects``) then writes the
     messages that are no JSON object there. Needs the Kafka connector.
     """
     from frostlake.sources.topics import decode_topic, kafka_stream
 
     values = kafka_stream(spark, bootstrap_servers, topic, "earliest", options)
+    found = drain_until_quiet(lambda: start_dump_json(decode_topic(values), out_path, checkpoint, available_now=True), quiet_polls, pause, timeout)
     if rejects_path:
         start_dump_rejects(values, rejects_path, f"{checkpoint.rstrip('/')}-rejects").awaitTermination()
-    stream = decode_topic(values)
-    q = start_dump_json(stream, out_path, checkpoint, available_now=True)
-    q.awaitTermination()
-    return q
+    return found
 
 
 def tail_topic_views(

@@ -70,6 +70,47 @@ def test_drain_twice_reads_only_new(spark, tmp_dir):
     assert spark.read.schema(schema).json(out).count() == 5
 
 
+def test_drain_chases_until_quiet(spark, tmp_dir):
+    src, out, ck = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    os.makedirs(src)
+    arriving = [[0, 1], [], [2, 3, 4], [], [], [5]]  # before each run; the last comes after the drain's end
+    runs = iter(enumerate(arriving))
+
+    def run():
+        k, seqs = next(runs)
+        if seqs:
+            _write_lines(src, f"{k}.json", [_msg(i) for i in seqs])
+        return L.start_dump_json(_stream(spark, src), out, ck)
+
+    found = L.drain_until_quiet(run, quiet_polls=2, pause=0.0)
+    assert (found.rows, found.runs, found.quiet) == (5, 5, True)
+    schema = TP.live_schema_with_seq()
+    assert sorted(r.seq for r in spark.read.schema(schema).json(out).collect()) == [0, 1, 2, 3, 4]
+    again = L.drain_until_quiet(run, quiet_polls=1, pause=0.0, timeout=0.0)
+    assert (again.rows, again.runs, again.quiet) == (0, 0, False)  # no time, nothing read, nothing lost
+    assert L.drain_until_quiet(lambda: L.start_dump_json(_stream(spark, src), out, ck), 1, 0.0).rows == 0
+    _write_lines(src, "late.json", [_msg(5)])
+    assert L.drain_until_quiet(lambda: L.start_dump_json(_stream(spark, src), out, ck), 1, 0.0).rows == 1
+
+
+def test_drain_of_an_empty_source_ends(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/src")
+    found = L.drain_until_quiet(lambda: L.start_dump_json(_stream(spark, f"{tmp_dir}/src"), f"{tmp_dir}/out", f"{tmp_dir}/ck"), 2, 0.0)
+    assert (found.rows, found.runs, found.quiet) == (0, 2, True)
+
+
+def test_drain_ends_when_its_time_is_up(spark, tmp_dir):
+    src, n = f"{tmp_dir}/src", iter(range(1000))
+
+    def run():
+        k = next(n)
+        _write_lines(src, f"{k}.json", [_msg(k)])
+        return L.start_dump_json(_stream(spark, src), f"{tmp_dir}/out", f"{tmp_dir}/ck")
+
+    found = L.drain_until_quiet(run, quiet_polls=1, pause=0.0, timeout=3.0)
+    assert not found.quiet and found.rows == found.runs > 0
+
+
 def test_fallback_only_when_empty(spark):
     schema = TP.live_schema_with_seq()
     empty = spark.createDataFrame([], schema)
