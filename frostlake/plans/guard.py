@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 _PLANS = "org.apache.spark.sql.catalyst.plans.logical."
 _EXPRESSIONS = "org.apache.spark.sql.catalyst.expressions."
@@ -25,15 +25,16 @@ class QueryRefused(ValueError):
     """The text is a query, or is none, that may not run here."""
 
 
-def _items(spark: SparkSession, seq) -> list:
-    return list(spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(seq))
+def _items(seq) -> list:
+    """The elements of a Scala sequence."""
+    return [seq.apply(i) for i in range(seq.size())]
 
 
 def _class(node) -> str:
     return node.getClass().getName()
 
 
-def _check_function(spark: SparkSession, expression) -> None:
+def _check_function(expression) -> None:
     stack = [expression]
     while stack:
         e = stack.pop()
@@ -41,10 +42,10 @@ def _check_function(spark: SparkSession, expression) -> None:
         short = name.rsplit(".", 1)[-1]
         if short in _REFUSED_FUNCTIONS or not name.startswith(_EXPRESSIONS):
             raise QueryRefused(f"function {e.prettyName()!r} is not allowed")
-        stack += _items(spark, e.children())
+        stack += _items(e.children())
 
 
-def check_plan(spark: SparkSession, plan, views: Collection[str] | None = None) -> None:
+def check_plan(plan, views: Collection[str] | None = None) -> None:
     """Raise ``QueryRefused`` if the analysed ``plan`` has something that is not allowed. ``views`` are the
     registered views' names; without them, every temporary view counts as registered."""
     allowed = None if views is None else {v.lower() for v in views}
@@ -58,15 +59,15 @@ def check_plan(spark: SparkSession, plan, views: Collection[str] | None = None)
             if not node.isTempView() or (allowed is not None and view.lower() not in allowed):
                 raise QueryRefused(f"{view!r} is not a registered view")
             continue
-        children = _items(spark, node.children())
+        children = _items(node.children())
         if short in _REFUSED_NODES or not name.startswith(_PLANS):
             what = "a relation that is no registered view" if not children else node.nodeName()
             raise QueryRefused(f"{what} is not allowed")
         if not children and short not in _FREE_LEAVES:
             raise QueryRefused(f"{node.nodeName()} is not allowed")
-        for e in _items(spark, node.expressions()):
-            _check_function(spark, e)
-        stack += children + _items(spark, node.subqueries())
+        for e in _items(node.expressions()):
+            _check_function(e)
+        stack += children + _items(node.subqueries())
 
 
 def analysed(df: DataFrame):

@@ -172,7 +172,7 @@ def run_sql(spark: SparkSession, text: str, cap: int | None = None, views: Colle
     given and the query has no limit of its own as its last step. NaN becomes null (F6).
     """
     text = clean_sql(text)
-    guard.check_plan(spark, guard.analysed(spark.sql(f"SELECT * FROM (\n{text}\n)")), views)
+    guard.check_plan(guard.analysed(spark.sql(f"SELECT * FROM (\n{text}\n)")), views)
     df = spark.sql(text)
     own = cap is not None and guard.has_own_limit(df)
     df = nan_to_null(df)
