@@ -64,3 +64,16 @@ def test_cli_live_keeps_views_in_its_checkpoint(spark, tmp_dir, capsys):
     kept = messages.where("Entering_Chilled_Water_Temperature_Sensor IS NOT NULL").count()
     assert views["messages_received"].collect()[0][0] == kept and views["live_points"].count() == 20
     assert spark.read.json(f"{tmp_dir}/all").count() == messages.count()
+
+
+def test_cli_drain_reads_until_quiet(spark, tmp_dir, capsys):
+    from frostlake.sources.fixtures import live
+
+    messages = live(spark, SF_SMALL)
+    messages.write.option("ignoreNullFields", "false").json(f"{tmp_dir}/src")
+    args = ("drain", "--files", f"{tmp_dir}/src", "--out", f"{tmp_dir}/out", "--checkpoint", f"{tmp_dir}/ck", "--quiet-polls", "1", "--pause", "0")
+    n = messages.count()
+    found = _run(capsys, *args)
+    assert (found["rows"], found["runs"], found["quiet"]) == (n, 2, True)
+    assert _run(capsys, *args)["rows"] == 0  # nothing new
+    assert spark.read.json(f"{tmp_dir}/out").count() == n
