@@ -56,14 +56,19 @@ def cast_sensors(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def reading_day_hour(rules: SilverRules = DEFAULT_RULES) -> tuple[Column, Column]:
+    """The day and the hour of a reading (D2, D3), from staging's epoch text."""
+    wall = seconds_to_utc_wall_clock(epoch_ms_to_seconds("timestamp"), rules.time_zone)
+    return F.to_date(wall), F.hour(wall)
+
+
 def derived_columns(rules: SilverRules = DEFAULT_RULES) -> list[Column]:
     """D1-D16 as expressions over the (already cast) sensor columns."""
     r = rounder(rules.rounding)
     c = F.col
 
     secs = epoch_ms_to_seconds("timestamp")
-    wall = seconds_to_utc_wall_clock(secs, rules.time_zone)
-    hour = F.hour(wall)
+    day, hour = reading_day_hour(rules)
     deviation = r(c("Leaving_Chilled_Water_Temperature_Sensor") - c("Leaving_Chilled_Water_Temperature_Setpoint"))
 
     shift = (
@@ -73,7 +78,7 @@ def derived_columns(rules: SilverRules = DEFAULT_RULES) -> list[Column]:
     )
     return [
         seconds_to_timestamp(secs).alias("timestamp_formatted"),  # D1
-        F.to_date(wall).alias("Date"),  # D2
+        day.alias("Date"),  # D2
         hour.alias("Hour_of_Day"),  # D3
         shift.alias("Operational_Shift"),  # D4
         r(c("Entering_Chilled_Water_Temperature_Sensor") - c("Leaving_Chilled_Water_Temperature_Sensor")).alias(

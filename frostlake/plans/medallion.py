@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frostlake.operators import gold as G
-from frostlake.operators.silver import DEFAULT_RULES, SilverRules, silver
+from frostlake.operators.silver import DEFAULT_RULES, SilverRules, reading_day_hour, silver
 from frostlake.operators.staging import staging
 from frostlake.session import delete_path, shuffle_partitions_for
 from frostlake.sinks.files import RunLog, land_raw, materialize, write_layer
@@ -78,10 +78,17 @@ def _width(spark: SparkSession, lake_root: str, layer: str) -> int:
     return shuffle_partitions_for(spark, current_path(spark, resolve_table(lake_root, layer)))
 
 
-def clustered(silver_df: DataFrame, partitions: int) -> DataFrame:
-    """``silver_df`` in ranges of day, hour and device; the hash of a reading's
-    time splits a device-hour that is larger than a range."""
-    return silver_df.repartitionByRange(partitions, "Date", "Hour_of_Day", "Device_ID", F.xxhash64("timestamp"))
+def clustered(df: DataFrame, partitions: int, rules: SilverRules | None = None) -> DataFrame:
+    """``df`` in ranges of day, hour and device; the hash of a reading's time
+    splits a device-hour that is larger than a range.
+
+    With ``rules``, ``df`` is staging, whose day and hour are computed by those
+    rules. Spark evaluates what lies below a range shuffle a second time, for
+    the bounds; over staging that is a scan, over silver the whole projection,
+    and silver's derived columns need not be shuffled either.
+    """
+    day, hour = (F.col("Date"), F.col("Hour_of_Day")) if rules is None else reading_day_hour(rules)
+    return df.repartitionByRange(partitions, day, hour, F.col("Device_ID"), F.xxhash64("timestamp"))
 
 
 def build_gold(
@@ -157,7 +164,7 @@ def run_pipeline(
     stg = read_layer(spark, lake_root, "staging", fmt=fmt)
     width = _width(spark, lake_root, "staging")
     n = write_layer(
-        clustered(silver(stg, config.rules), width),
+        silver(clustered(stg, width, config.rules), config.rules),
         resolve_table(lake_root, "silver"),
         fmt,
         config.overwrite_schema,

@@ -6,6 +6,8 @@ import glob
 
 from pyspark.sql import functions as F
 
+from frostlake.operators.silver import DEFAULT_RULES, silver
+from frostlake.operators.staging import staging
 from frostlake.plans.medallion import PipelineConfig, clustered, run_pipeline
 from frostlake.sources.fixtures import telemetry
 from frostlake.sources.lake import read_layer
@@ -28,3 +30,14 @@ def test_hot_device_hour_is_split(spark):
     )
     sizes = [r["count"] for r in clustered(one, 4).groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 4000 and len(sizes) == 4 and max(sizes) < 2000
+
+
+def test_pipeline_shuffles_staging_not_silver(spark):
+    stg = staging(telemetry(spark, SF_SMALL))
+    plan = silver(clustered(stg, 4, DEFAULT_RULES))
+    assert sorted(map(str, plan.collect())) == sorted(map(str, silver(stg).collect()))
+    below = plan._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1]
+    assert "Estimated_Hourly_Cost_USD" not in below
+    # each range holds whole day-hour-device spans, but for the two at its ends
+    spans = plan.withColumn("part", F.spark_partition_id()).groupBy("Date", "Hour_of_Day", "Device_ID").agg(F.countDistinct("part").alias("n"))
+    assert spans.where("n > 1").count() <= 3
