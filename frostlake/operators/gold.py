@@ -19,7 +19,7 @@ holding a third of all readings costs one partial row per input split.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,10 +109,11 @@ def fact_hourly_telemetry(silver: DataFrame, rounding: str = "round2") -> DataFr
     )
 
 
-def fact_fault_events(silver: DataFrame, healthy_code: str = "0") -> DataFrame:
-    """Readings with a fault or an SLA breach; no grouping, no shuffle."""
+def fact_fault_events(silver: DataFrame, healthy_code: str = "0", extra: Sequence[str] = ()) -> DataFrame:
+    """Readings with a fault or an SLA breach; no grouping, no shuffle.
+    ``extra`` columns of silver follow the table's own."""
     cond = (F.col("Active_Fault_Code") != F.lit(healthy_code)) | (F.col("SLA_Breach_Flag") == 1)
-    return silver.where(cond).select(*FACT_FAULT_COLUMNS)
+    return silver.where(cond).select(*FACT_FAULT_COLUMNS, *extra)
 
 
 def mart_daily_costs(silver: DataFrame, rounding: str = "round2") -> DataFrame:
@@ -347,7 +348,7 @@ def gold_from_partials(partials: DataFrame, rounding: str = "round2") -> dict[st
     }
 
 
-_DIM_SETS = {
+DIM_SETS = {
     "dim_device": DIM_DEVICE_COLUMNS,
     "dim_fault_codes": DIM_FAULT_COLUMNS,
     "dim_status_flags": DIM_STATUS_COLUMNS,
@@ -360,15 +361,15 @@ def dimension_sets(silver: DataFrame) -> DataFrame:
     ``gid`` tells the sets apart, so a genuine null key (a null fault code) is
     not confused with a column left out of the set.
     """
-    all_cols = [c for cols in _DIM_SETS.values() for c in cols]
-    sets = [[F.col(c) for c in cols] for cols in _DIM_SETS.values()]
+    all_cols = [c for cols in DIM_SETS.values() for c in cols]
+    sets = [[F.col(c) for c in cols] for cols in DIM_SETS.values()]
     return silver.groupingSets(sets, *all_cols).agg(F.grouping_id().alias("gid"))
 
 
 def dims_from_sets(dims: DataFrame) -> dict[str, DataFrame]:
-    all_cols = [c for cols in _DIM_SETS.values() for c in cols]
+    all_cols = [c for cols in DIM_SETS.values() for c in cols]
     out = {}
-    for name, cols in _DIM_SETS.items():
+    for name, cols in DIM_SETS.items():
         # grouping_id bit i (from the left, most significant first) is 1 when
         # column i is aggregated away; the set's own columns must be 0.
         gid = sum(1 << (len(all_cols) - 1 - i) for i, c in enumerate(all_cols) if c not in cols)

@@ -59,6 +59,7 @@ class PipelineConfig:
     max_concurrent_writes: int = 4
     land_raw: bool = True
     drift_report: bool = False
+    dedupe_by_digest: bool = False
 
 
 @contextmanager
@@ -157,7 +158,7 @@ def run_pipeline(
     # the one full-data shuffle: size it from the batch layer's bytes
     width = _width(spark, lake_root, "batch")
     with _shuffle_partitions(spark, width):
-        n = write_layer(staging(batch), resolve_table(lake_root, "staging"), fmt, config.overwrite_schema)
+        n = write_layer(staging(batch, config.dedupe_by_digest), resolve_table(lake_root, "staging"), fmt, config.overwrite_schema)
     log.record("staging", t, n)
 
     t = time.time()

@@ -17,7 +17,9 @@ from frostlake.operators.filters import fault_or_breach, nan_to_null
 from frostlake.operators.silver import cast_sensors, silver
 from frostlake.operators.staging import drop_exact_duplicates, drop_missing_critical, staging
 from frostlake.plans import conformance as C
+from frostlake.plans import increments as I
 from frostlake.plans import oracle as O
+from frostlake.plans import paging as P
 from frostlake.plans import serving as S
 from frostlake.plans.workspace import decoded_live_stream, workspace
 from frostlake.schema import LIVE_FIELDS
@@ -33,6 +35,9 @@ from frostlake.streaming import live as L
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Gold tables that are also registered in the form kept up by day: one of each kind of state.
+INCREMENTAL = ("dim_device", "fact_hourly_telemetry", "fact_fault_events", "mart_daily_costs", "mart_pump_maintenance")
+
 #: Folders of a written lake that hold tables.
 LAKE_FOLDERS = ("batch", "staging", "silver", *(f"gold/{t}" for t in G.GOLD_TABLES))
 
@@ -54,6 +59,7 @@ def _medallion() -> dict[str, Query]:
         "drop_missing_critical": lambda s, d: drop_missing_critical(telemetry(s, d)),
         "drop_exact_duplicates": lambda s, d: drop_exact_duplicates(telemetry(s, d)),
         "staging": lambda s, d: staging(telemetry(s, d)),
+        "staging_by_digest": lambda s, d: staging(telemetry(s, d), by_digest=True),
         "cast_sensors": lambda s, d: cast_sensors(staging(telemetry(s, d))),
         "silver": silver_of,
     }
@@ -62,6 +68,9 @@ def _medallion() -> dict[str, Query]:
     # the same tables in the shared one-pass form the pipeline runs
     for name in G.GOLD_TABLES:
         qs[f"shared_{name}"] = lambda s, d, _n=name: G.gold_tables(silver_of(s, d), "shared")[_n]
+    # and from states that were added day by day
+    for name in INCREMENTAL:
+        qs[f"incremental_{name}"] = lambda s, d, _n=name: _incremental(s, d, _n)
     return qs
 
 
@@ -72,6 +81,20 @@ def _page_table_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages[0].unionByName(pages[1]).unionByName(pages[2])
 
 
+def _seek_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5 by bookmark and by a key with many ties: pages 1 and 2 are read for their bookmarks, page 3 is returned."""
+    df, after = gold_of(spark, sf_dir, "fact_hourly_telemetry"), None
+    for _ in range(2):
+        page = P.seek_page(df, 50, after, ["Hour_of_Day"]).collect()
+        after = P.next_bookmark(page, df, after, ["Hour_of_Day"])
+    return P.seek_page(df, 50, after, ["Hour_of_Day"])
+
+
+def _incremental(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Gold from day states: first the morning readings, then each half of the days anew, with their late readings."""
+    return I.gold_from_states(spark, workspace(spark, sf_dir).gold_states)[name]
+
+
 def _dashboard() -> dict[str, Query]:
     return {
         "dashboard_daily_costs": dashboard_daily_costs,
@@ -84,6 +107,7 @@ def _dashboard() -> dict[str, Query]:
         ),
         "page_table": lambda s, d: S.page_table(gold_of(s, d, "fact_hourly_telemetry"), page=3, limit=50),
         "page_table_ties": _page_table_ties,
+        "seek_page": _seek_pages,
         "count_table": lambda s, d: S.count_table(silver_of(s, d)),
     }
 
@@ -417,6 +441,10 @@ def _dashboard_sql() -> dict[str, str]:
             f"SELECT * FROM gold_fact_hourly_telemetry ORDER BY Hour_of_Day ASC NULLS FIRST, {HOURLY_ORDER} LIMIT 150 OFFSET 50",
             gold=("fact_hourly_telemetry",),
         ),
+        "seek_page": O.with_layers(
+            f"SELECT * FROM gold_fact_hourly_telemetry ORDER BY Hour_of_Day ASC NULLS FIRST, {HOURLY_ORDER} LIMIT 50 OFFSET 100",
+            gold=("fact_hourly_telemetry",),
+        ),
         "count_table": O.with_layers("SELECT COUNT(*) AS total FROM silver"),
     }
 
@@ -547,6 +575,9 @@ def oracle_sql() -> dict[str, str]:
     out.update(O.medallion_oracles())
     for name in G.GOLD_TABLES:
         out[f"shared_{name}"] = out[name]
+    out["staging_by_digest"] = out["staging"]
+    for name in INCREMENTAL:
+        out[f"incremental_{name}"] = out[name]
     out.update(_filters_sql())
     out.update(_dashboard_sql())
     out.update(_lake_io_sql())

@@ -111,7 +111,7 @@ def page_table(
     if page < 1 or limit < 0:
         raise ValueError("page starts at 1 and limit must be >= 0")
     first = list(order_by or ())
-    keys = [F.col(k).asc_nulls_first() for k in [*first, *(c for c in df.columns if c not in first)]]
+    keys = [F.col(f"`{k}`").asc_nulls_first() for k in [*first, *(c for c in df.columns if c not in first)]]
     return df.orderBy(*keys).offset((page - 1) * limit).limit(limit)
 
 

@@ -14,10 +14,12 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from frostlake.plans.increments import refresh_days
 from frostlake.plans.medallion import run_pipeline
 from frostlake.session import app_id, scratch_path
 from frostlake.sinks.files import dump_json
 from frostlake.sources.fixtures import dirty_messages, drifting_lines, live, telemetry
+from frostlake.sources.lake import read_layer
 from frostlake.sources.topics import accepted, decode_json_values, file_value_stream, live_schema_with_seq
 from frostlake.streaming import live as L
 
@@ -55,6 +57,21 @@ class Workspace:
         """The telemetry raw layer as JSON lines (the pipeline's input)."""
         return self._once("raw_json", lambda p: dump_json(telemetry(self.spark, self.sf_dir), p))
 
+    @property
+    def gold_states(self) -> str:
+        """A lake whose gold states were refreshed three times: by the morning readings of all days, then by all readings
+        of the later half of the days, then of the others."""
+
+        def build(root: str) -> None:
+            slv = read_layer(self.spark, self.lake, "silver")
+            refresh_days(slv.where("Hour_of_Day < 12 OR Hour_of_Day IS NULL"), root)
+            days = [r["Date"] for r in slv.select("Date").distinct().orderBy("Date").collect()]
+            half = len(days) // 2
+            for some in (days[half:], days[:half]):
+                refresh_days(slv, root, some)
+
+        return self._once("gold_states", build)
+
     @property
     def lake(self) -> str:
         """A lake written by the full pipeline from ``raw_json``."""
