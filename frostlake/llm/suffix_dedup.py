@@ -12,13 +12,16 @@ soon as its group lies in one document:
    an owner tells a shard by one bit for each digit whether a smaller document has the window.
 
 Whole documents that equal an earlier one are settled by their digest and do not enter the sort.
-Windows are equal if their 64-bit fingerprints are: with n windows left over, a false match has a
-chance of about n * n / 2**65.
+Windows are equal if their 64-bit fingerprints are; their bytes are not compared. The fingerprint is a
+polynomial with a key that each call draws anew, so that no text can be written to collide. For windows
+that differ, the chance of a match is not proven to be 2**-64: the polynomial is taken modulo 2**64, where
+differences of a regular form lose some bits. The result does not depend on the key but for such matches.
 """
 
 from __future__ import annotations
 
 import hashlib
+import secrets
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +39,7 @@ from frostlake.llm.common import fresh_name, materialize, numbered, small_enough
 SHARD_BYTES = 4_000_000
 PART_BYTES = 48_000_000
 HASHES_PER_OWNER = 2_000_000
-#: An odd base and its inverse modulo 2**64, and an odd multiplier for mixing.
-BASE = 0x9E3779B97F4A7C15
+#: Fixed value: an odd multiplier for mixing.
 MIX = np.uint64(0xD6E8FEB86659FD93)
 #: Positions that are hashed at a time: their arrays stay in the processor's cache.
 BLOCK = 1 << 16
@@ -50,13 +52,14 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class Grams:
-    """Rolling hashes: element i is that of the gram of some width that starts at byte i."""
+    """Rolling hashes by a key: element i is that of the gram of some width that starts at byte i."""
 
-    def __init__(self, longest: int):
-        every = [int.from_bytes(hashlib.sha256(bytes([b])).digest()[:8], "big") | 1 for b in range(256)]
-        self.table = np.array(every, np.uint64)
-        self.up = _powers(BASE, longest + 1)
-        self.down = _powers(pow(BASE, -1, 1 << 64), longest + 1)
+    def __init__(self, longest: int, key: bytes):
+        drawn = [int.from_bytes(hashlib.sha256(key + x).digest()[:8], "big") for x in [b"base", *(bytes([b]) for b in range(256))]]
+        base = drawn[0] & ~7 | 5  # odd, and of the greatest order modulo 2**64
+        self.table = np.array([x | 1 for x in drawn[1:]], np.uint64)
+        self.up = _powers(base, longest + 1)
+        self.down = _powers(pow(base, -1, 1 << 64), longest + 1)
 
     def sums(self, raw: np.ndarray) -> np.ndarray:
         out = np.zeros(len(raw) + 1, np.uint64)
@@ -85,11 +88,11 @@ def _least(h: np.ndarray, span: int) -> np.ndarray:
 class Shard:
     """Documents laid end to end; windows cross none of their borders."""
 
-    def __init__(self, text: bytes, sizes: np.ndarray, width: int):
+    def __init__(self, text: bytes, sizes: np.ndarray, width: int, key: bytes):
         self.raw, self.sizes, self.width = np.frombuffer(text, np.uint8), sizes, width
         self.starts = np.cumsum(sizes) - sizes
         self.doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        self.grams = Grams(BLOCK + width)
+        self.grams = Grams(BLOCK + width, key)
 
     def blocks(self, windows: bool):
         """(first position, digit, whether the window lies in one document, window hashes if asked for) by block."""
@@ -183,13 +186,13 @@ def _cut_shards(schema: pa.Schema):
     return run
 
 
-def _load(row: dict, width: int) -> tuple[Shard, bytes, np.ndarray]:
+def _load(row: dict, width: int, key: bytes) -> tuple[Shard, bytes, np.ndarray]:
     ints = lambda x: np.frombuffer(x, np.int64)
     text = zstandard.decompress(row["text"]) if len(row["text"]) else b""
-    return Shard(text, ints(row["sizes"]), width), text, ints(row["ranks"])
+    return Shard(text, ints(row["sizes"]), width, key), text, ints(row["ranks"])
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, row_col: str | None = None) -> DataFrame:
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, row_col: str | None = None, key: bytes | None = None) -> DataFrame:
     """One row per row of ``docs``: (row_id, doc_id, n_bytes, spans, kept_text).
 
     A byte is removed if some ``width``-byte string that covers it also starts in a document with a
@@ -197,8 +200,10 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     removed byte ranges [begin, end); kept_text (binary, as a cut may fall inside a character) is what
     is left. Rows with the same id are one document in this sense: none is the smaller. A null id is
     larger than all others, and null ids are equal. A null text is empty. Texts shorter than
-    ``width`` are never cut. An empty table gives no rows; other columns are not read.
+    ``width`` are never cut. An empty table gives no rows; other columns are not read. ``key`` is that of
+    the fingerprints; None draws one.
     """
+    key = key or secrets.token_bytes(16)  # one value for all tasks and their retries
     spark = docs.sparkSession
     if row_col is None:
         row_col = fresh_name(docs, "_row")
@@ -227,7 +232,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def digits(batches):
         for b in batches:
             for row in b.to_pylist():
-                shard, _, ranks = _load(row, width)
+                shard, _, ranks = _load(row, width, key)
                 out = X.list_frame(row["shard"], _first_digits(shard, ranks, bits), bits, owners)
                 yield pa.RecordBatch.from_pandas(out, list_schema, preserve_index=False)
 
@@ -236,7 +241,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def suffixes(own: pa.Table, replies: pa.Table) -> pa.Table:
         row = own.to_pylist()[0]
-        shard, _, ranks = _load(row, width)
+        shard, _, ranks = _load(row, width, key)
         _, window = _left_over(shard, _open(replies.to_pylist(), _first_digits(shard, ranks, bits), bits, owners), bits)
         return pa.Table.from_pandas(X.list_frame(row["shard"], X.distinct(window), 64, owners), list_schema, preserve_index=False)
 
@@ -248,7 +253,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def spans(own: pa.Table, replies: pa.Table) -> pa.Table:
         row = own.to_pylist()[0]
         replies = replies.to_pylist()
-        shard, text, ranks = _load(row, width)
+        shard, text, ranks = _load(row, width, key)
         digits_hit = _open([r for r in replies if r["pass"] == 1], _first_digits(shard, ranks, bits), bits, owners)
         at, window = _left_over(shard, digits_hit, bits)
         rank = ranks[shard.doc[at]]

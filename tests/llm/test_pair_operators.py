@@ -273,3 +273,13 @@ def test_proximity_matches(spark):
     ids = {x["row"]: x["doc_id"] for x in docs.collect()}
     got = sorted((ids[x["row"]], x["kind"], x["begin"]) for x in found.collect())
     assert got == [(1, "near", 1), (1, "phrase", 1), (2, "near", 0), (5, "near", 500)]
+
+
+def test_suffix_fingerprints_are_keyed(spark):
+    raw = np.frombuffer(b"the same bytes under two keys are hashed apart, and each key hashes them alike: the same bytes", np.uint8)
+    hashes = [g.of(g.sums(raw), 14) for g in (SD.Grams(200, k) for k in (b"a", b"b", b"a"))]
+    assert (hashes[0] == hashes[2]).all() and not (hashes[0] == hashes[1]).any()
+    assert hashes[0][0] == hashes[0][-1] and len(set(hashes[0].tolist())) == len(hashes[0]) - 1
+    rows = [(i, "one " * (i % 7) + "a passage that is in many of the documents, and long enough to go" + str(i % 3)) for i in range(20)]
+    cuts = [sorted(map(str, suffix_dedup(table(spark, rows), key=k).drop("row_id").collect())) for k in (b"a", b"b", None)]
+    assert cuts[0] == cuts[1] == cuts[2]
