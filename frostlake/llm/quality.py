@@ -2,8 +2,8 @@
 
 A document is a bag of passages. Each passage is encoded; gated attention, learnt from document labels
 alone, weighs the passages, and the weighted passage representation is scored. Features and scoring
-run in Spark tasks over whole texts, a passage at a time. Only the fit sees a sample: at most
-``max_bags`` labelled documents, picked by hash, and of these every passage.
+run in Spark tasks over whole texts, a passage at a time. Only the fit sees a sample, bounded by
+``max_bags`` labelled documents and ``max_passages`` of their passages (``train``).
 """
 
 from __future__ import annotations
@@ -174,16 +174,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on labelled documents outside fold 0: at most ``max_bags``, the first by hash of their id.
 
     Of these, documents are taken in that order if they fit into what is left of ``max_passages``, and
-    skipped otherwise, so the driver's share is bounded. Rows without id, label or text are left out, as is
-    an id whose labels disagree. Null if either class has no document; an error if it has some, but none taken.
+    skipped otherwise. A class that gets none this way (it is rare, or its documents are too long) is
+    stood for by its first document by hash, of which at most half of ``max_passages`` are used, spread
+    evenly. So the driver's share is bounded: ``max_bags`` documents and two more, twice ``max_passages``.
+    Rows without id, label or text are left out, as is an id whose labels disagree. Null if either class
+    has no document; an error if ``max_passages`` is less than 2.
     """
+    if max_passages < 2:
+        raise ValueError("with less than 2 passages, a class may have none among the training sample")
     marks = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("doc_id IS NOT NULL AND label IN (0, 1)")
     marks = marks.where(fold(F.col("doc_id")) != 0).groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other")).where("label = other").drop("other")
     known = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     ids = known.select("doc_id").distinct().join(marks, "doc_id")
-    chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_bags)
+    by_hash = F.struct(F.xxhash64("doc_id").alias("hash"), "doc_id")
+    first = ids.groupBy("label").agg(F.min(by_hash).alias("first")).select("first.doc_id", "label")
+    chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_bags).union(first).distinct()
     chosen = materialize(chosen, "training-ids")
-    texts = known.join(F.broadcast(chosen), "doc_id")  # at most max_bags rows
+    texts = known.join(F.broadcast(chosen), "doc_id")  # at most max_bags + 2 rows
 
     def encode(batches):
         for b in batches:
@@ -194,17 +201,30 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     encoded = materialize(texts.select("doc_id", "label", "text").mapInArrow(encode, schema), "bags")
     once = encoded.groupBy("doc_id").agg(F.min(F.struct("n", "label", "bag")).alias("b")).select("doc_id", "b.*")  # a repeated id's first text
     once = materialize(once, "training-bags")
-    left, taken = max_passages, []
-    for x in once.orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id", "n").collect():  # at most max_bags rows
+    left, taken, stand_ins = max_passages, [], {}
+    for x in once.orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id", "n", "label").collect():  # at most max_bags + 2 rows
         if x["n"] <= left:
             left -= x["n"]
-            taken.append((x["doc_id"], len(taken)))
-    places = docs.sparkSession.createDataFrame(taken, T.StructType([once.schema["doc_id"], T.StructField("place", T.IntegerType())]))
-    rows = once.join(F.broadcast(places), "doc_id").orderBy("place").select("label", "bag").collect()
+            taken.append((x["doc_id"], len(taken), x["n"]))
+            stand_ins[x["label"]] = None
+        else:
+            stand_ins.setdefault(x["label"], x["doc_id"])
+    taken += [(doc_id, len(taken) + i, max_passages // 2) for i, doc_id in enumerate(stand_ins.values()) if doc_id is not None]
+    places = docs.sparkSession.createDataFrame(taken, T.StructType([once.schema["doc_id"], T.StructField("place", T.IntegerType()), T.StructField("most", T.IntegerType())]))
+
+    def thin(batches):
+        for b in batches:
+            bags = []
+            for bag, n, most in zip(b.column("bag").to_pylist(), b.column("n").to_pylist(), b.column("most").to_pylist()):
+                some = np.arange(most) * n // most  # spread over the whole text
+                bags.append(bag if n <= most else np.frombuffer(bag, "<f4").reshape(n, -1)[some].tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("place"), b.column("label"), pa.array(bags, pa.binary())], ["place", "label", "bag"])
+
+    used = once.join(F.broadcast(places), "doc_id").select("place", "label", "n", "most", "bag")
+    used = used.mapInArrow(thin, T.StructType([used.schema["place"], used.schema["label"], used.schema["bag"]]))
+    rows = used.orderBy("place").select("label", "bag").collect()
     y = np.array([x["label"] for x in rows])
     if not len(y) or y.min() == y.max():
-        if ids.select("label").distinct().count() > 1:
-            raise ValueError(f"a class has labelled documents, but none among the training sample ({max_bags} documents, {max_passages} passages)")
         return None
     return fit([np.frombuffer(x["bag"], "<f4").reshape(-1, DIM) for x in rows], y)
 

@@ -259,6 +259,15 @@ def test_training_skips_a_document_that_does_not_fit(spark):
         quality.train(docs.drop("quality"), docs.select("doc_id", "quality"), max_passages=0)
 
 
+def test_training_takes_part_of_a_class_that_does_not_fit(spark):
+    """Of a class whose documents are all too long, or too rare to be in the sample, one document stands for it."""
+    rows = [(i, "good " * 12_000 if i % 2 else "bad " * 3, i % 2) for i in range(1, 21)]  # some 40 passages, or one
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    for bounds in ({"max_passages": 20}, {"max_bags": 1}):
+        model = quality.train(docs.drop("quality"), docs.select("doc_id", "quality"), **bounds)
+        assert model is not None and model.score(b"good " * 300) > model.score(b"bad " * 3)
+
+
 def test_classifier_edge_cases(spark):
     docs = spark.createDataFrame([(1, None, 0), (1, "", 0), (None, "text", 0), (2, "w " * 100_000, 1)], "doc_id long, text string, quality int")
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (2, 1, 0), (None, 0, 0), (7, None, 0)], "doc_id long, quality int, toxic int")
