@@ -262,3 +262,38 @@ def test_decode_keeps_records_with_bad_fields(spark):
     assert (got["c"]["CO2_Level_PPM"], got["f"]["CO2_Level_PPM"]) == (None, 512)
     assert got["d"]["Entering_Chilled_Water_Temperature_Sensor"] == 70.0
     assert rejected(decoded).count() == 7
+
+
+def test_a_task_sends_no_more_than_the_newest(spark):
+    """Of a task's messages only the newest n of each shard go to the state, and their counts say how many there were."""
+    import random
+
+    import pyarrow as pa
+
+    from frostlake.streaming.state import _COUNTS, _SHARD, Newest
+
+    draw = random.Random(5)
+    rows = [(k % 3, draw.choice([None, *range(40)]), draw.choice([None, "a", "b"]), k) for k in range(500)]
+    schema = pa.schema([(_SHARD, pa.int32()), ("t", pa.int64()), ("u", pa.string()), ("k", pa.int64()), (_COUNTS, pa.int64())])
+    batch = lambda part: pa.RecordBatch.from_pylist([dict(zip(schema.names, (*r, 1))) for r in part], schema)
+    parts = [rows[i : i + 60] for i in (0, 60, 120, 120, 180, 240, 300, 360, 420, 480)]  # one comes twice
+    sent = [r for b in Newest(7, ["t", "u"])(batch(part) for part in parts) for r in b.to_pylist()]
+    seen = [r for part in parts for r in part]
+    for shard in range(3):
+        own = [(r[1] is not None, r[1] or 0, r[2] is not None, r[2] or "", at, r[3]) for at, r in enumerate(seen) if r[0] == shard]
+        got = [r for r in sent if r[_SHARD] == shard]
+        assert sorted(r["k"] for r in got) == sorted(r[-1] for r in sorted(own)[-7:])
+        assert sum(r[_COUNTS] for r in got) == len(own)
+    assert len(sent) == 21 and list(Newest(7, ["t"])(iter([]))) == []
+
+
+def test_views_read_few_messages_of_many(spark, tmp_dir):
+    """The stateful step gets the newest of each task, not every message; the views are those of all messages."""
+    src, ck = f"{tmp_dir}/src", f"{tmp_dir}/ck"
+    _write_lines(src, "a.json", [_msg(i) for i in range(2000)])
+    q = L.start_live_views(_stream(spark, src), ck, n=5, available_now=True)
+    q.awaitTermination()
+    assert "MapInArrow" in q._jsq.explainInternal(False)
+    views = L.read_live_views(spark, ck, n=5)
+    assert [r.seq for r in views["last_n_readings"].collect()] == list(range(1995, 2000))
+    assert views["messages_received"].collect()[0][0] == 2000 and views["latest_reading"].collect()[0].seq == 1999
