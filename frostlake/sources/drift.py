@@ -32,12 +32,17 @@ def _known() -> Column:
     return F.array(*[F.lit(f) for f in RAW_FIELDS])
 
 
+def _is_known(key: Column) -> Column:
+    return key.isin(*RAW_FIELDS)  # one look into a hash set, where array_contains would compare with each
+
+
 def with_extra(lines: DataFrame) -> DataFrame:
     """Lines as raw readings (the 40 text fields, as ``read_raw_json`` gives them) with ``_extra``: an object of
     the keys outside the 40, null if there are none or the line is no JSON object. An object or list in a text
     field is its JSON without blanks (the file reader copies it with them)."""
-    known = _known()
-    extra = F.map_filter(_members(_LINE), lambda k, v: ~F.array_contains(known, k))
+    # keys are cheaper to list than members to parse; a line that only one of both can read has no extra either way
+    some = F.exists(F.json_object_keys(_LINE), lambda k: ~_is_known(k))
+    extra = F.when(some, F.map_filter(_members(_LINE), lambda k, v: ~_is_known(k)))
     corrupt = "_no_record"  # with it, a line that is not an object keeps its row
     schema = T.StructType([*RAW_SCHEMA.fields, T.StructField(corrupt, T.StringType())])
     parsed = F.from_json(_LINE, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
@@ -68,10 +73,10 @@ def schema_drift(lines: DataFrame) -> DataFrame:
     entry = lambda key, drift, type_: F.struct(key.alias("key"), F.lit(drift).alias("drift"), type_.alias("type"))
     none = F.lit(None).cast("string")
     added = F.transform(
-        F.map_entries(F.map_filter("m", lambda k, v: ~F.array_contains(known, k))), lambda e: entry(e["key"], "added", kind(e["value"]))
+        F.map_entries(F.map_filter("m", lambda k, v: ~_is_known(k))), lambda e: entry(e["key"], "added", kind(e["value"]))
     )
     retyped = F.transform(
-        F.map_entries(F.map_filter("m", lambda k, v: F.array_contains(known, k) & ~kind(v).isin("STRING", "VOID"))),
+        F.map_entries(F.map_filter("m", lambda k, v: ~F.schema_of_variant(v).isin("STRING", "VOID") & _is_known(k))),
         lambda e: entry(e["key"], "retyped", kind(e["value"])),
     )
     missing = F.transform(F.array_except(known, F.map_keys("m")), lambda k: entry(k, "missing", none))

@@ -68,3 +68,15 @@ def test_no_lines(spark, tmp_dir):
     lines = D.raw_lines(spark, f"{tmp_dir}/raw")
     assert D.schema_drift(lines).collect() == [] and D.with_extra(lines).collect() == []
     assert D.observed_schema(D.with_extra(lines)).first().schema in (None, "VOID")
+
+
+def test_extra_of_lines_that_only_one_reader_takes(spark):
+    """Keys are listed first and members are parsed only of lines with other keys; what is no object, has a key twice or
+    is cut off has no extra. A known key's value plays no part."""
+    lines = ['{"a":1}', " {\"a\":1}", '{"a":1,"a":2}', '{"a":1} x', '{"a":1', "{'a':1}", '{"a":NaN}', '["a"]', "null", "", '{"Device_ID":{"a":1}}', '{"device_id":1}', '{"":1}', '{"a":null}']
+    df = D.with_extra(spark.createDataFrame([(x,) for x in lines], "value string"))
+    got = [r.x and json.loads(r.x) for r in df.select(F.to_json(D.EXTRA_COLUMN).alias("x")).collect()]
+    one = {"a": 1}  # what follows an object is not read
+    assert got == [one, one, None, one, None, None, None, None, None, None, None, {"device_id": 1}, {"": 1}, {"a": None}]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_contains" not in plan  # a hash set is looked into instead
