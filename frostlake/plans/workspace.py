@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from frostlake.plans.increments import refresh_days
 from frostlake.plans.medallion import run_pipeline
 from frostlake.session import app_id, scratch_path
-from frostlake.sinks.files import dump_json
+from frostlake.sinks.files import PACKED, dump_json
 from frostlake.sources.fixtures import dirty_messages, drifting_lines, live, telemetry
 from frostlake.sources.lake import read_layer
 from frostlake.sources.topics import accepted, decode_json_values, file_value_stream, live_schema_with_seq
@@ -55,7 +55,7 @@ class Workspace:
     @property
     def raw_json(self) -> str:
         """The telemetry raw layer as JSON lines (the pipeline's input)."""
-        return self._once("raw_json", lambda p: dump_json(telemetry(self.spark, self.sf_dir), p))
+        return self._once("raw_json", lambda p: dump_json(telemetry(self.spark, self.sf_dir), p, packed=True))
 
     @property
     def gold_states(self) -> str:
@@ -90,7 +90,7 @@ class Workspace:
     @property
     def drifting_json(self) -> str:
         """Raw JSON lines whose keys and types drift from the 40 text fields."""
-        return self._once("drifting_json", lambda p: drifting_lines(self.spark, self.sf_dir).write.text(p))
+        return self._once("drifting_json", lambda p: drifting_lines(self.spark, self.sf_dir).write.options(**PACKED).text(p))
 
     @property
     def dirty_text(self) -> str:

@@ -89,14 +89,19 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.parquet(path), path
 
 
+#: Text that repeats its keys in every line is written as gzip, at the level that costs least time.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+
+
 def land_raw(spark: SparkSession, source_path: str, raw_dir: str) -> None:
-    """K2: keep an untouched, line-for-line copy of the raw input."""
-    spark.read.text(source_path).write.mode("overwrite").text(raw_dir)
+    """K2: keep an untouched, line-for-line copy of the raw input, as gzip files of one input split each."""
+    spark.read.text(source_path).write.mode("overwrite").options(**PACKED).text(raw_dir)
 
 
-def dump_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K3 (batch form): records as JSON lines, nulls written as ``null``."""
-    df.write.mode(mode).option("ignoreNullFields", "false").json(path)
+def dump_json(df: DataFrame, path: str, mode: str = "overwrite", packed: bool = False) -> None:
+    """K3 (batch form): records as JSON lines, nulls written as ``null``; ``packed``: as gzip files. A gzip file is
+    read by one task, so ``df``'s partitions should be of a task's size."""
+    df.write.mode(mode).options(ignoreNullFields="false", **(PACKED if packed else {})).json(path)
 
 
 def encode_keyed_json(df: DataFrame, key_column: str = "Device_ID") -> DataFrame:

@@ -16,6 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frostlake.schema import RAW_FIELDS, SEQ_COLUMN
+from frostlake.session import path_size_bytes
+
+#: Bytes of a reading's JSON to one of its event in Parquet, and of the readings that one task makes.
+WIDENED, TASK_BYTES = 72, 64 * 1024 * 1024
 
 # Sensor text columns as (name, base, multiplier, modulus,
 # divisor); value = (base + (event_id*multiplier + user_id) % modulus) / divisor,
@@ -215,9 +219,10 @@ def drifting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"""CASE WHEN {drift_case(ADDED_NUMBER)} THEN ',"Vibration_mm_s":' || (event_id % 9) || '.5' ELSE '' END""",
         f"""CASE WHEN {drift_case(ADDED_OBJECT)} THEN ',"Diagnostics":{{"rpm":' || event_id || '}}' ELSE '' END""",
     ]
-    rows = read_events(spark, sf_dir).selectExpr("event_id", "user_id", *telemetry_select_list("spark"))
+    rows = events_to_widen(spark, sf_dir).selectExpr("event_id", "user_id", *telemetry_select_list("spark"))
     whole = f"to_json(struct({steady}), map('ignoreNullFields', 'false'))"
-    value = " || ".join([f"substring({whole}, 1, length({whole}) - 1)", *members, "'}'"])
+    value = " || ".join(["substring(whole, 1, length(whole) - 1)", *members, "'}'"])
+    rows = rows.selectExpr("event_id", "user_id", *_DRIFTING, f"{whole} AS whole")
     return rows.selectExpr(f"CASE WHEN {drift_case(BROKEN)} THEN '[' || event_id ELSE {value} END AS value")
 
 
@@ -242,8 +247,20 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
+def events_to_widen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``events`` that readings are made of, dealt so that a task's readings are ``TASK_BYTES`` or so.
+
+    A reading is ``WIDENED`` times as long as what Parquet stores of its event: the scan's splits (row groups, at most)
+    would each become gigabytes of readings, which one task dedupes in memory, or writes to one file.
+    """
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    events = spark.read.parquet(path).select("event_id", "ts", "user_id", "event_type")
+    parts = -(-(path_size_bytes(spark, path) or 0) * WIDENED // TASK_BYTES)
+    return events.repartition(parts, *events.columns) if parts > 1 else events
+
+
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telemetry_from_events(read_events(spark, sf_dir))
+    return telemetry_from_events(events_to_widen(spark, sf_dir))
 
 
 def live(spark: SparkSession, sf_dir: str) -> DataFrame:

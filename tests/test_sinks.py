@@ -151,3 +151,31 @@ def test_pipeline_lands_raw_and_logs_text(spark, tmp_dir):
     assert spark.read.text(f"{tmp_dir}/lake/raw").count() == spark.read.text(raw).count()
     text = log.to_text()
     assert "[raw]" in text and "[staging]" in text and text.splitlines()[-1].startswith("[total]")
+
+
+def test_land_raw_copy_is_packed(spark, tmp_dir):
+    """The copy of JSON lines is a fraction of their bytes, line for line the same, blank lines and all."""
+    from frostlake.session import path_size_bytes
+
+    src = f"{tmp_dir}/in"
+    readings = raw_df(spark, [raw_row(timestamp=str(1704110400000 + k * 1000), CO2_Level_PPM=str(k)) for k in range(300)])
+    readings.selectExpr("to_json(struct(*)) AS value").coalesce(1).write.text(src)
+    spark.createDataFrame([("",), (" {broken",), ("\u00fc",)], "value string").coalesce(1).write.mode("append").text(src)
+    K.land_raw(spark, src, f"{tmp_dir}/raw")
+    assert 4 * path_size_bytes(spark, f"{tmp_dir}/raw") < path_size_bytes(spark, src)
+    lines = lambda path: sorted(r.value for r in spark.read.text(path).collect())
+    assert lines(f"{tmp_dir}/raw") == lines(src)
+
+
+def test_readings_of_a_large_table_are_dealt_to_tasks(spark, tmp_dir, monkeypatch):
+    """One row group of events becomes readings of several tasks; rows, nulls and copies are the same."""
+    from frostlake.sources import fixtures as FX
+
+    columns = ["id AS event_id", "timestamp_seconds(1704067200 + id * 60) AS ts", "IF(id % 10 = 3, NULL, id % 7) AS user_id", "IF(id % 5 = 0, 'error', 'view') AS event_type"]
+    events = spark.range(1000).selectExpr(*columns)
+    events.union(events.where("event_id < 20")).coalesce(1).write.parquet(f"{tmp_dir}/events.parquet")
+    monkeypatch.setattr(FX, "TASK_BYTES", 64 * 1024, raising=False)
+    got = FX.telemetry(spark, tmp_dir)
+    assert got.rdd.getNumPartitions() > 4  # two, one a branch of the union, if the scan's splits are kept
+    want = FX.telemetry_from_events(FX.read_events(spark, tmp_dir))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
