@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from frostlake.llm import chat, licenses, quality
 from frostlake.llm.chat import format_chats
 from frostlake.llm.licenses import TEMPLATES, Scanner, license_scan
+from frostlake.llm import line_dedup as lines_of
 from frostlake.llm.line_dedup import line_dedup
 from frostlake.llm.quality import classify, features, fit, keep_quality, passages, score
 
@@ -198,6 +199,49 @@ def test_line_dedup_by_edit_similarity_alone(spark):
     assert by_rule(3) != wanted
 
 
+def test_line_runs_meet_across_bands_at_places_counted_by_block(spark):
+    r = random.Random(13)
+    lines = [" ".join(f"{r.choice('abcdefgh')}{'o' * r.randint(0, 3)}{r.choice('é-'[:1] + 'xyz')}" for _ in range(r.randint(1, 60))) for _ in range(150)]
+    lines += ["one two three " * 12 + "end", "x " * 600 + "end"]
+    lines = [x.strip() for x in lines]
+
+    def keys(text):
+        words = text.split(" ")
+        ends = [len(" ".join(words[: i + 1])) for i in range(len(words))]
+        found = [(tuple(words[i : i + n]), ends[i]) for n in ((3, 2) if len(words) <= 20 else (3,)) for i in range(len(words) - n + 1)]
+        placed = len(words) <= 512 and len({k for k, _ in found}) == len(found)
+        out = {}
+        for k, at in found:
+            out[k] = at if placed else None
+        return out
+
+    runs, wanted = [keys(x) for x in lines], set()
+    for i, a in enumerate(lines):
+        for j, b in enumerate(lines):
+            allowed = int(0.2 * len(b) + 1e-6)
+            if (len(a), i) < (len(b), j) and len(b) - len(a) <= allowed:
+                for k in runs[i].keys() & runs[j].keys():
+                    p, q = runs[i][k], runs[j][k]
+                    if p is None or q is None or abs(p - q) + abs(len(b) - len(a) + p - q) <= allowed:
+                        wanted.add((i, j))
+    nodes = spark.createDataFrame([(i, len(x), x) for i, x in enumerate(lines)], "line long, size int, norm string")
+    got = {(x["a"], x["b"]) for x in lines_of._run_pairs(lines_of._placed(nodes), 0.8).collect()}
+    assert got == wanted and wanted
+
+
+def test_line_pairs_are_compared_in_parts(spark, monkeypatch):
+    """Lines that share a lead-in are all candidates of each other; their texts do not travel all at once."""
+    r = random.Random(14)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(7))
+    rows = [(i, "this is our usual lead in " + " ".join(word() for _ in range(6))) for i in range(60)]
+    rows.append((60, rows[7][1] + "s"))
+    sizes, similar = [], lines_of._similar
+    monkeypatch.setattr(lines_of, "_similar", lambda pairs, similarity: (sizes.append(pairs.count()), similar(pairs, similarity))[1])
+    got = line_dedup(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), max_bits=None)
+    assert [x["doc_id"] for x in got.collect() if x["n_dropped"]] == [60]
+    assert sum(sizes) == 61 * 60 // 2 and max(sizes) < 3 * 61
+
+
 # ---------------------------------------------------------------- quality
 
 
