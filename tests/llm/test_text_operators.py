@@ -229,6 +229,28 @@ def test_line_runs_meet_across_bands_at_places_counted_by_block(spark):
     assert got == wanted and wanted
 
 
+def test_line_parts_missing_at_their_place_rule_out_far_pairs_only(spark):
+    r = random.Random(11)
+    text = lambda n: "".join(r.choice("abcdeé ") for _ in range(n))
+    pairs = [("abcd" * 30, "dcba" * 30), ("", "abc"), ("abcdefgh" * 12, "abcdefgh" * 12)]
+    for _ in range(150):
+        a, edits = text(r.randint(1, 150)), r.randint(0, 40)
+        b = list(a)
+        for _ in range(edits):
+            at = r.randint(0, len(b))
+            b[at : at + r.randint(0, 1)] = r.choice(["", text(1)])
+        pairs += [(a, "".join(b)), (a, text(len(a)))]
+    pairs = [(i, *sorted(p, key=len)) for i, p in enumerate(pairs)]
+    found = spark.createDataFrame(pairs, "i int, norm_a string, norm_b string").selectExpr("*", "length(norm_a) size_a", "length(norm_b) size_b", "levenshtein(norm_a, norm_b) d")
+    found = found.withColumn("allowed", F.floor(0.2 * F.col("size_b")).cast("int"))
+    found = found.withColumn("missing", lines_of._missing(F.col("allowed"))).withColumn("tight", lines_of._missing(F.col("d"))).collect()
+    assert all(x["tight"] <= x["d"] for x in found)
+    assert all(x["missing"] <= x["d"] for x in found if x["d"] <= x["allowed"])
+    assert sum(x["d"] <= x["allowed"] for x in found) > 50
+    out = [x["missing"] > x["allowed"] for x in found if x["d"] > x["allowed"] and x["size_b"] >= 60]
+    assert len(out) > 50 and sum(out) > 0.5 * len(out)
+
+
 def test_line_pairs_are_compared_in_parts(spark, monkeypatch):
     """Lines that share a lead-in are all candidates of each other; their texts do not travel all at once."""
     r = random.Random(14)
