@@ -251,6 +251,31 @@ def test_line_parts_missing_at_their_place_rule_out_far_pairs_only(spark):
     assert len(out) > 50 and sum(out) > 0.5 * len(out)
 
 
+def test_line_parts_rule_out_long_far_pairs_of_few_syllables_and_no_near_pair_of_any_alphabet(spark):
+    r = random.Random(15)
+    syllables = "th er on an re he in ed nd ha at en".split() + [" "] * 5
+    alphabets = [syllables, list("abcdeghinorst \u00e9\u00e8\u00ff"), list("\u4e00\u4e8c\u4e09\u56db\u4e94\u516d\u4e03\u516b\u4e5d\U0001f600\U0001f601a ")]
+    pairs = []
+    for letters in alphabets:
+        text = lambda n: "".join(r.choice(letters) for _ in range(n))[:n]
+        for _ in range(40):
+            a = text(r.randint(500, 700))
+            b = list(a)
+            for _ in range(r.randint(0, len(a) // 4)):
+                at = r.randint(0, len(b))
+                b[at : at + r.randint(0, 1)] = r.choice(["", text(1)])
+            pairs += [(a, "".join(b)), (a, text(len(a)))]
+    pairs = [(i, *sorted(p, key=len)) for i, p in enumerate(pairs)]
+    found = spark.createDataFrame(pairs, "i int, norm_a string, norm_b string").selectExpr("*", "length(norm_a) size_a", "length(norm_b) size_b", "levenshtein(norm_a, norm_b) d")
+    found = found.withColumn("allowed", F.floor(0.2 * F.col("size_b")).cast("int"))
+    found = found.withColumn("missing", lines_of._missing(F.col("allowed"))).withColumn("tight", lines_of._missing(F.col("d"))).collect()
+    assert all(x["tight"] <= x["d"] for x in found)
+    assert all(x["missing"] <= x["d"] for x in found if x["d"] <= x["allowed"])
+    assert sum(x["d"] <= x["allowed"] for x in found) > 60
+    out = [x["missing"] > x["allowed"] for x in found if x["i"] < 80 and x["i"] % 2]
+    assert len(out) == 40 and sum(out) >= 32
+
+
 def test_line_pairs_are_compared_in_parts(spark, monkeypatch):
     """Lines that share a lead-in are all candidates of each other; their texts do not travel all at once."""
     r = random.Random(14)
